@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.common import Tables, out
 
-GROUPS = ["features"]
+GROUPS = ["features", "feeds", "quality", "evaluation"]
 
 
 def _entries():
