@@ -120,11 +120,18 @@ def savings(scheduled: DataFrame, keys: list[str] = ("session_id",)) -> DataFram
 def optimise_sessions(
     sessions: DataFrame, forecast: DataFrame, max_rate_kw: float, keys: list[str] = ("region_id",), step: str = SETTLEMENT_STEP
 ) -> DataFrame:
-    """Status and savings of every session; infeasible sessions are kept, without a schedule."""
+    """Status and savings of every session.
+
+    'infeasible' sessions have no schedule; 'short_forecast' ones lack a forecast in slots they
+    would need, so less than the need is scheduled.
+    """
     status = session_status(sessions, max_rate_kw, step)
     feasible = status.filter("status = 'optimal'").select(*sessions.columns)
     saved = savings(schedules(session_slots(feasible, forecast, keys, step), max_rate_kw))
-    return status.select("session_id", "status", "n_slots").join(saved, "session_id", "left")
+    joined = status.select("session_id", "status", "n_slots", "energy_kwh").join(saved, "session_id", "left")
+    delivered = F.coalesce(F.col("energy_delivered_kwh"), F.lit(0.0))
+    short = (F.col("status") == "optimal") & (delivered < F.col("energy_kwh") - 1e-9)
+    return joined.withColumn("status", F.when(short, "short_forecast").otherwise(F.col("status"))).drop("energy_kwh")
 
 
 def greenest_window(forecast: DataFrame, keys: list[str] = ("region_id",), ts: str = "slot", slots: int = 8) -> DataFrame:

@@ -74,35 +74,42 @@ def folds(
     n_splits: int = 5,
     gap: int = DAY_PERIODS,
     on_short: str = "error",
-    final: bool = False,
 ) -> DataFrame:
     """Each row once per fold it belongs to, with (fold, role); training expands, tests move on.
 
     Fold i (from 0) tests the block that starts (n_splits - i) blocks before the end and trains
-    on everything up to ``gap`` rows before it. ``final`` adds fold n_splits: train on all rows.
+    on everything up to ``gap`` rows before it. Rows between are in neither role.
     """
-    keys = list(keys)
-    indexed = row_index(df, ts, keys)
-    n, r = F.col("series_rows"), F.col("row_no")
+    return fold_members(row_index(df, ts, list(keys)), n_splits, gap, on_short).drop("series_rows")
+
+
+def fold_members(
+    indexed: DataFrame, n_splits: int = 5, gap: int = DAY_PERIODS, on_short: str = "error", final: bool = False
+) -> DataFrame:
+    """``folds`` of rows that carry row_no and series_rows: narrow, so it can be redone per pass.
+
+    ``final`` adds fold ``n_splits``, which trains on all rows. A series too short for the folds
+    is an error, or left out with ``on_short="skip"``.
+    """
+    n, row = F.col("series_rows"), F.col("row_no")
     size = F.floor(n / (n_splits + 1))
     short = (size < 1) | ((n - gap - size * n_splits) <= 0)
     if on_short == "error":
         text = F.lit(f"a series is too short for {n_splits} folds with gap {gap}")
-        indexed = indexed.withColumn("row_no", F.when(short, F.raise_error(text).cast("long")).otherwise(r))
+        rows = indexed.withColumn("row_no", F.when(short, F.raise_error(text).cast("long")).otherwise(row))
     else:
-        indexed = indexed.filter(~short)
+        rows = indexed.filter(~short)
 
     def member(i: int) -> Column:
         start = n - (n_splits - i) * size
-        role = F.when((r >= start) & (r < start + size), "test").when(r < start - gap, "train")
+        role = F.when((row >= start) & (row < start + size), "test").when(row < start - gap, "train")
         return F.when(role.isNotNull(), F.struct(F.lit(i).alias("fold"), role.alias("role")))
 
     members = [member(i) for i in range(n_splits)]
     if final:
         members.append(F.struct(F.lit(n_splits).alias("fold"), F.lit("train").alias("role")))
-    return (
-        indexed.withColumn("_member", F.explode(F.array_compact(F.array(*members))))
-        .select(*df.columns, "row_no", F.col("_member.fold").alias("fold"), F.col("_member.role").alias("role"))
+    return rows.withColumn("_member", F.explode(F.array_compact(F.array(*members)))).select(
+        *indexed.columns, F.col("_member.fold").alias("fold"), F.col("_member.role").alias("role")
     )
 
 
