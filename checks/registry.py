@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.common import Tables, out
 
-GROUPS = ["features", "feeds", "quality", "evaluation", "charging", "models"]
+GROUPS = ["features", "feeds", "quality", "evaluation", "charging", "models", "streams"]
 
 
 def _entries():

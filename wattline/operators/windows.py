@@ -27,29 +27,30 @@ def add_windows(
     df: DataFrame,
     ts: str,
     keys: list[str] = (),
-    means: dict[str, str] | None = None,
+    means: dict[str, str | tuple[str, int]] | None = None,
     lags: dict[str, tuple[str, int]] | None = None,
     window_rows: int = WEEK_PERIODS,
     min_periods: int = 1,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Rolling means and lags in one pass: ``means`` {new: source}, ``lags`` {new: (source, n)}.
+    """Rolling means and lags in one pass: ``means`` {new: source or (source, rows)}, ``lags`` {new: (source, n)}.
 
     A rolling mean is the difference of two running sums inside the chunk, so its cost does not
     grow with the window. It is null with fewer than ``min_periods`` values in the window.
     """
-    means, lags, keys = means or {}, lags or {}, list(keys)
-    reach = max([window_rows - 1] * bool(means) + [n for _, n in lags.values()] + [0])
+    lags, keys = lags or {}, list(keys)
+    spans = {new: src if isinstance(src, tuple) else (src, window_rows) for new, src in (means or {}).items()}
+    reach = max([n - 1 for _, n in spans.values()] + [n for _, n in lags.values()] + [0])
     chunked = cut(df, keys, ts, before=reach, chunk_rows=chunk_rows)
     w = chunked.window()
-    sources = sorted(set(means.values()))
+    sources = sorted({src for src, _ in spans.values()})
     shifted = chunked.with_columns(
         {**_running(sources, w), **{new: F.lag(src, n).over(w) for new, (src, n) in lags.items()}}
     )
     out: dict[str, Column] = {}
-    for new, src in means.items():
-        total = F.col(f"_sum_{src}") - F.coalesce(F.lag(f"_sum_{src}", window_rows).over(w), F.lit(0))
-        count = F.col(f"_cnt_{src}") - F.coalesce(F.lag(f"_cnt_{src}", window_rows).over(w), F.lit(0))
+    for new, (src, rows) in spans.items():
+        total = F.col(f"_sum_{src}") - F.coalesce(F.lag(f"_sum_{src}", rows).over(w), F.lit(0))
+        count = F.col(f"_cnt_{src}") - F.coalesce(F.lag(f"_cnt_{src}", rows).over(w), F.lit(0))
         out[new] = F.when(count >= max(min_periods, 1), total.cast("double") / count)
     return (shifted.with_columns(out) if out else shifted).home_rows()
 
