@@ -70,6 +70,9 @@ def exact_percentile(df: DataFrame, column: str, q: float, keys: list[str] = (),
     split into bins at approximate percentiles; the bins' totals tell which one or two bins hold
     the wanted ranks, and only these are ordered.
     """
+    if not keys:
+        one_group = df.select(F.lit(0).alias("_all"), column)
+        return exact_percentile(one_group, column, q, ["_all"], name).drop("_all")
     keys = list(keys)
     counted = (
         df.filter(F.col(column).isNotNull())
@@ -78,8 +81,7 @@ def exact_percentile(df: DataFrame, column: str, q: float, keys: list[str] = (),
     )
     marks = [i / PERCENTILE_BINS for i in range(1, PERCENTILE_BINS)]
     edges = counted.groupBy(*keys).agg(F.percentile_approx("_v", marks, 1000).alias("_edges"))
-    with_edges = join_null_safe(counted, edges, keys) if keys else counted.crossJoin(F.broadcast(edges))
-    binned = with_edges.withColumn("_bin", F.expr("size(filter(_edges, e -> e < _v))")).drop("_edges")
+    binned = join_null_safe(counted, edges, keys).withColumn("_bin", F.expr("size(filter(_edges, e -> e < _v))")).drop("_edges")
     in_order = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     rank = F.lit(q) * (F.col("_total") - 1)
     bins = (

@@ -21,21 +21,22 @@ BUCKET = "1 day"
 class Chunked:
     """Rows cut into chunks: ``frame`` holds home and halo rows, ``window`` spans one chunk."""
 
-    def __init__(self, frame: DataFrame, keys: list[str], ts: str):
+    def __init__(self, frame: DataFrame, keys: list[str], ts: str, inputs: list[str]):
         self.frame = frame
         self.keys = keys
         self.ts = ts
+        self.inputs = inputs
 
     def window(self, descending: bool = False) -> WindowSpec:
         order = F.col(self.ts).desc() if descending else F.col(self.ts).asc()
         return Window.partitionBy(*self.keys, "_chunk").orderBy(order)
 
     def with_columns(self, columns: dict[str, Column]) -> "Chunked":
-        return Chunked(self.frame.withColumns(columns), self.keys, self.ts)
+        return Chunked(self.frame.withColumns(columns), self.keys, self.ts, self.inputs)
 
     def home_rows(self) -> DataFrame:
         """Every input row once, without the helper columns."""
-        helpers = [c for c in self.frame.columns if c.startswith("_")]
+        helpers = [c for c in self.frame.columns if c.startswith("_") and c not in self.inputs]
         return self.frame.filter("_home").drop(*helpers)
 
 
@@ -110,4 +111,4 @@ def cut(
     frame = joined.withColumn("_chunk", F.explode("_chunks")).withColumn(
         "_home", F.col("_chunk") == F.col("_home_chunk")
     )
-    return Chunked(frame.drop("_chunks", "_home_chunk"), keys, ts)
+    return Chunked(frame.drop("_chunks", "_home_chunk"), keys, ts, df.columns)

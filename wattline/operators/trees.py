@@ -15,7 +15,7 @@ from pyspark.ml.regression import (
     GBTRegressor,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.reference import ALPHAS, DAY_PERIODS
@@ -234,12 +234,13 @@ def permutation_importance(
         paired.select("_y", "own", "other", swaps.alias("_swap")).withColumn("features", array_to_vector(swapped))
     )
     losses = scored.groupBy("_swap").agg(F.avg(pinball("_y", "prediction", alpha)).alias("_loss"))
-    base = losses.filter("_swap = -1").select(F.col("_loss").alias("_base"))
+    # One row per feature and one for none: small enough for one window.
+    base = F.max(F.when(F.col("_swap") == -1, F.col("_loss"))).over(Window.partitionBy(F.lit(0)))
     names = F.array(*[F.lit(f) for f in features])
     return (
-        losses.filter("_swap >= 0")
-        .crossJoin(F.broadcast(base))
-        .select(F.get(names, F.col("_swap")).alias("feature"), (F.col("_loss") - F.col("_base")).alias("importance"))
+        losses.withColumn("importance", F.col("_loss") - base)
+        .filter("_swap >= 0")
+        .select(F.get(names, F.col("_swap")).alias("feature"), "importance")
         .orderBy(F.desc("importance"), "feature")
     )
 
