@@ -56,18 +56,18 @@ def chunk_plan(
     )
     ordered = Window.partitionBy(*keys).orderBy("_bucket")
     plan = counts.withColumn("_end", F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    plan = plan.withColumn("_start", F.col("_end") - F.col("_n"))
+    plan = plan.withColumns(
+        {"_start": F.col("_end") - F.col("_n"), "_series_rows": F.sum("_n").over(Window.partitionBy(*keys))}
+    )
     plan = plan.withColumn("_home_chunk", floor_div(F.col("_start"), chunk_rows))
     targets = [F.array("_home_chunk")]
     if before:
         # Rows offsets _end .. _end+before-1 look back into this bucket; later buckets start
         # at _end or beyond, so their chunks lie between these two ids.
-        targets.append(
-            F.sequence(
-                floor_div(F.col("_end"), chunk_rows),
-                floor_div(F.col("_end") + F.lit(before - 1), chunk_rows),
-            )
-        )
+        last = F.least(F.col("_end") + F.lit(before), F.col("_series_rows")) - 1
+        later = F.sequence(floor_div(F.col("_end"), chunk_rows), floor_div(last, chunk_rows))
+        none = F.array().cast("array<bigint>")
+        targets.append(F.coalesce(F.when(F.col("_end") < F.col("_series_rows"), later), none))
     if after:
         # Each bucket has a row, so only the ``after`` previous buckets can look this far ahead.
         earlier = [
@@ -78,14 +78,13 @@ def chunk_plan(
             for i in range(1, after + 1)
         ]
         targets.append(F.array_compact(F.array(*earlier)))
-    series = Window.partitionBy(*keys)
     return plan.select(
         *keys,
         "_bucket",
         "_home_chunk",
         F.array_distinct(F.concat(*targets)).alias("_chunks"),
         F.min("_start").over(Window.partitionBy(*keys, "_home_chunk")).alias("_offset"),
-        F.sum("_n").over(series).alias("_series_rows"),
+        "_series_rows",
     )
 
 
