@@ -27,19 +27,19 @@ def _gold_weather(t: Tables):
 
 
 def train_regional(t: Tables):
-    _, summary = quantiles.train_per_series(_gold(t), TARGET, LAG_FEATURES, TS, KEYS, gap=24, iterations=6)
+    _, summary = quantiles.train_per_series(_gold(t), TARGET, LAG_FEATURES, TS, KEYS, gap=24)
     return summary
 
 
 def train_regional_weather(t: Tables):
-    _, summary = quantiles.train_per_series(_gold_weather(t), TARGET, WEATHER_FEATURES, TS, KEYS, gap=24, iterations=6)
+    _, summary = quantiles.train_per_series(_gold_weather(t), TARGET, WEATHER_FEATURES, TS, KEYS, gap=24)
     return summary
 
 
 def score_regional(t: Tables):
     """Final models applied to every row with features; decision quality per region."""
     gold = _gold(t)
-    models, _ = quantiles.train_per_series(gold, TARGET, LAG_FEATURES, TS, KEYS, alphas=[0.5], gap=24, iterations=6)
+    models, _ = quantiles.train_per_series(gold, TARGET, LAG_FEATURES, TS, KEYS, alphas=[0.5], gap=24)
     scored = quantiles.score(gold, models, LAG_FEATURES, KEYS, [0.5])
     return evaluate.decision_quality(scored, TARGET, "p50", KEYS)
 

@@ -1,9 +1,10 @@
 """Linear quantile regression of many series at once, as repeated grouped aggregations.
 
-Every series, fold and quantile is one small model. A pass over the data weights each row by its
-residual under the current coefficients and sums the weighted moments per model; the sums are
-combined map-side, so a hot series costs its task no more than any other. The normal equations
-(a few dozen numbers per model) are then solved, still as rows of a distributed table.
+Every series, fold and quantile is one small model. The quantile loss is smoothed with a logistic
+kernel whose width shrinks from pass to pass (convolution-smoothed quantile regression, a
+published method), and each pass is one Newton step. A pass sums the gradient and curvature per
+model; the sums are combined map-side, so a hot series costs its task no more than any other.
+The step itself (a few dozen numbers per model) is solved as rows of a distributed table.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from wattline.operators.windows import row_index
 from wattline.session import shared_dir
 
 RIDGE = 1e-8
-FLOOR = 1e-2  # residuals below this count as this, which keeps the weights finite
+PASSES = 7
+NARROWEST = 0.1  # kernel width of the last passes, in residual standard deviations
+DAMPING = 0.02  # share of the least-squares curvature added to each step
 
 
 def quantile_name(alpha: float) -> str:
@@ -32,37 +35,68 @@ def _dot(features: list[str], coef: str) -> Column:
     return F.expr(f"{coef}[0] + {terms}")
 
 
-def _moments(rows: DataFrame, by: list[str], features: list[str], target: str, weight: Column | None) -> DataFrame:
-    """Weighted sums x·xT (upper triangle) and x·y per model."""
-    rows = rows.withColumn("_w", weight) if weight is not None else rows.withColumn("_w", F.lit(1.0))
+def _pairs(features: list[str]) -> tuple[list[str], list[str]]:
     x = ["1.0D", *[f"`{f}`" for f in features]]
-    gram = ", ".join(f"sum(_w * {x[i]} * {x[j]})" for i in range(len(x)) for j in range(i, len(x)))
-    cross = ", ".join(f"sum(_w * {xi} * `{target}`)" for xi in x)
-    return rows.groupBy(*by).agg(F.expr(f"array({gram})").alias("gram"), F.expr(f"array({cross})").alias("cross"))
+    return x, [f"{x[i]} * {x[j]}" for i in range(len(x)) for j in range(i, len(x))]
 
 
-def _solve(moments: DataFrame, by: list[str], size: int) -> DataFrame:
-    ridge = RIDGE
+def _start_sums(rows: DataFrame, by: list[str], features: list[str], target: str) -> DataFrame:
+    """Least-squares sums per model: x·xT (upper triangle), x·y, y·y."""
+    x, pairs = _pairs(features)
+    return rows.groupBy(*by).agg(
+        F.expr(f"array({', '.join(f'sum({p})' for p in pairs)})").alias("gram"),
+        F.expr(f"array({', '.join(f'sum({xi} * `{target}`)' for xi in x)})").alias("cross"),
+        F.sum(F.col(target) * F.col(target)).alias("square"),
+    )
+
+
+def _step_sums(rows: DataFrame, by: list[str], features: list[str], width: float) -> DataFrame:
+    """Gradient and curvature of the smoothed loss per model; ``_r`` is the residual."""
+    x, pairs = _pairs(features)
+    h = F.col("scale") * width
+    # Share of the kernel below zero, as a smooth stand-in for "the residual is negative".
+    below = 1 / (1 + F.exp(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("_r") / h))))
+    kernel = rows.withColumns({"_p": below}).withColumns(
+        {"_g": F.col("_p") - F.col("alpha"), "_h": F.col("_p") * (1 - F.col("_p")) / h + F.lit(DAMPING) / F.col("scale")}
+    )
+    return kernel.groupBy(*by).agg(
+        F.expr(f"array({', '.join(f'sum(_h * {p})' for p in pairs)})").alias("gram"),
+        F.expr(f"array({', '.join(f'sum(_g * {xi})' for xi in x)})").alias("cross"),
+        F.first("coef").alias("coef"),
+        F.first("scale").alias("scale"),
+    )
+
+
+def _solve(sums: DataFrame, by: list[str], size: int) -> DataFrame:
+    """(by, coef, scale): the least-squares fit, or the coefficients one Newton step further."""
+    ridge, stepping = RIDGE, "coef" in sums.columns
 
     def solve(batches):
         import numpy as np
 
         upper = np.triu_indices(size)
+
+        def solved(gram, cross):
+            a = np.zeros((size, size))
+            a[upper] = gram
+            a = a + a.T - np.diag(a.diagonal())
+            unit = np.sqrt(np.maximum(a.diagonal(), 1e-12))
+            scaled = a / np.outer(unit, unit) + ridge * np.eye(size)
+            return np.linalg.solve(scaled, np.asarray(cross) / unit) / unit
+
         for pdf in batches:
-            coefs = []
-            for gram, cross in zip(pdf["gram"], pdf["cross"]):
-                a = np.zeros((size, size))
-                a[upper] = gram
-                a = a + a.T - np.diag(a.diagonal())
-                scale = np.sqrt(np.maximum(a.diagonal(), 1e-12))
-                scaled = a / np.outer(scale, scale) + ridge * np.eye(size)
-                coefs.append(np.linalg.solve(scaled, np.asarray(cross) / scale) / scale)
-            pdf = pdf.drop(columns=["gram", "cross"])
-            pdf["coef"] = coefs
-            yield pdf
-
-    kept = moments.select(*by).schema
-    return moments.mapInPandas(solve, kept.add("coef", T.ArrayType(T.DoubleType())))
+            found = [solved(g, c) for g, c in zip(pdf["gram"], pdf["cross"])]
+            if stepping:
+                found = [np.asarray(old) - step for old, step in zip(pdf["coef"], found)]
+            else:
+                # Sum of squared residuals of a least-squares fit is y·y - coef·(x·y).
+                left = [max(q - float(b @ np.asarray(c)), 0.0) for q, b, c in zip(pdf["square"], found, pdf["cross"])]
+                pdf["scale"] = [float(np.sqrt(s / max(g[0], 1.0))) + 1e-6 for s, g in zip(left, pdf["gram"])]
+            pdf["coef"] = found
+            yield pdf[[*by, "coef", "scale"]]
+
+    kept = sums.select(*by).schema
+    return sums.mapInPandas(solve, kept.add("coef", T.ArrayType(T.DoubleType())).add("scale", "double"))
 
 
 def indexed_rows(df: DataFrame, target: str, features: list[str], ts: str, keys: list[str]) -> DataFrame:
@@ -81,28 +115,24 @@ def fit(
     alphas: list[float] = ALPHAS,
     n_splits: int = 5,
     gap: int = DAY_PERIODS,
-    iterations: int = 12,
+    passes: int = PASSES,
 ) -> DataFrame:
     """(keys, fold, alpha, coef) for every walk-forward fold, and fold ``n_splits`` for all rows.
 
-    The first pass is least squares; later passes reweight towards each quantile. Coefficients
-    are checkpointed after each pass, so the plan does not grow with the passes.
+    Coefficients are checkpointed after each pass, so the plan does not grow with the passes.
     """
     keys = list(keys)
     shared_dir(indexed.sparkSession)
     train = fold_members(indexed, n_splits, gap, "skip", final=True).filter("role = 'train'")
     size = len(features) + 1
-    start = _solve(_moments(train, [*keys, "fold"], features, target, None), [*keys, "fold"], size)
+    start = _solve(_start_sums(train, [*keys, "fold"], features, target), [*keys, "fold"], size)
     each_alpha = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
-    models = start.select(*keys, "fold", each_alpha, "coef").checkpoint()
+    models = start.select(*keys, "fold", each_alpha, "coef", "scale").checkpoint()
     by = [*keys, "fold", "alpha"]
-    for _ in range(iterations):
-        current = join_null_safe(train, models, [*keys, "fold"])
-        residual = F.col(target) - _dot(features, "coef")
-        lean = F.when(residual < 0, 1 - F.col("alpha")).otherwise(F.col("alpha"))
-        weight = lean / F.greatest(F.abs(residual), F.lit(FLOOR))
-        models = _solve(_moments(current, by, features, target, weight), by, size).checkpoint()
-    return models
+    for i in range(passes):
+        current = join_null_safe(train, models, [*keys, "fold"]).withColumn("_r", F.col(target) - _dot(features, "coef"))
+        models = _solve(_step_sums(current, by, features, max(0.5**i, NARROWEST)), by, size).checkpoint()
+    return models.drop("scale")
 
 
 def _wide_models(models: DataFrame, by: list[str], alphas: list[float]) -> DataFrame:
@@ -167,14 +197,14 @@ def train_per_series(
     alphas: list[float] = ALPHAS,
     n_splits: int = 5,
     gap: int = DAY_PERIODS,
-    iterations: int = 12,
+    passes: int = PASSES,
 ) -> tuple[DataFrame, DataFrame]:
     """(models, summary) of every series at once.
 
     The indexed rows stay cached on disk while passes repeat; a lost executor recomputes its part.
     """
     indexed = indexed_rows(df, target, features, ts, keys).persist(StorageLevel.MEMORY_AND_DISK)
-    models = fit(indexed, target, features, keys, alphas, n_splits, gap, iterations)
+    models = fit(indexed, target, features, keys, alphas, n_splits, gap, passes)
     predicted = out_of_fold(indexed, models, features, keys, alphas, n_splits, gap)
     summary = loss_summary(predicted, target, keys, alphas).checkpoint()
     indexed.unpersist()
