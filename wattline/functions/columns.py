@@ -113,3 +113,17 @@ def join_null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str
     renamed = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
     condition = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_right_{n}")) for n in names])
     return left.join(renamed, condition, how).drop(*[f"_right_{n}" for n in names])
+
+
+def non_null_keys(df: DataFrame, keys: list[str]) -> dict[str, Column]:
+    """Columns that tell series apart as ``keys`` do and are never null.
+
+    Joins and windows on them share one partitioning, which null-safe equality prevents.
+    """
+    out: dict[str, Column] = {}
+    for i, key in enumerate(keys):
+        field = df.schema[key]
+        blank = F.lit("") if isinstance(field.dataType, T.StringType) else F.lit(0).cast(field.dataType)
+        out[f"_series_{i}"] = F.coalesce(F.col(key), blank)
+        out[f"_series_{i}_null"] = F.col(key).isNull()
+    return out

@@ -9,6 +9,7 @@ from wattline.functions.columns import floor_div, join_null_safe, step_micros
 from wattline.functions.reference import SETTLEMENT_STEP
 from wattline.operators.aggregates import exact_percentile
 from wattline.operators.chunks import cut
+from wattline.session import broadcast_if_small
 
 SLOT_HOURS = 0.5
 
@@ -64,15 +65,15 @@ def session_slots(
     """One row per session and slot it can charge in, with the forecast of that slot.
 
     Sessions are spread by session_id before they are expanded: the narrow rows are shuffled
-    rather than the slots, and the per-session windows that follow reuse the partitioning when
-    the forecast is small enough for Spark to broadcast.
+    rather than the slots, and the per-session windows that follow reuse the partitioning as
+    long as the forecast is small enough to broadcast.
     """
     width = step_micros(step)
     spread = with_slot_bounds(sessions, step).filter("n_slots > 0").repartition("session_id")
     slots = spread.withColumn("_slot_no", F.explode(F.sequence("_first_slot", "_last_slot"))).withColumn(
         "slot", F.timestamp_micros(F.col("_slot_no") * width)
     )
-    return join_null_safe(slots.drop("_first_slot", "_last_slot", "_slot_no"), forecast, [*keys, "slot"])
+    return join_null_safe(slots.drop("_first_slot", "_last_slot", "_slot_no"), broadcast_if_small(forecast), [*keys, "slot"])
 
 
 def _filled_in_order(order: list[Column], max_rate_kw: float) -> Column:

@@ -1,10 +1,11 @@
 """Splitting long series into time chunks without changing row-offset windows.
 
-A window over a whole series puts the series in one task. Here a series is cut into chunks of
-about ``chunk_rows`` rows, and each chunk also receives the few neighbouring rows (the halo)
-that its windows reach back or forward to. Only a small table is needed to plan this: the row
-count of each (series, time bucket). It is joined to the rows on the bucket, so one shuffle by
-(series, chunk) is all the window needs, however long one series is.
+A window over a series puts the series in one task. That is right for the many short series of
+a fleet, and wrong for one that holds a large part of all rows. So the rows of each (series, time
+bucket) are counted first, a small table. Series up to ``WHOLE`` chunks long keep their plain
+window: one shuffle by series. A longer one is cut into chunks of about ``chunk_rows`` rows, and
+each chunk also receives the few neighbouring rows (the halo) that its windows reach to; the
+counts tell which buckets those are, whatever gaps the series has.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import floor_div, join_null_safe, step_micros
+from wattline.session import broadcast_if_small, settled
 
-CHUNK_ROWS = 20_000
-BUCKET = "1 day"
+CHUNK_ROWS = 50_000
+WHOLE = 4
+BUCKET = "7 days"
 
 
 class Chunked:
@@ -31,6 +34,10 @@ class Chunked:
         order = F.col(self.ts).desc() if descending else F.col(self.ts).asc()
         return Window.partitionBy(*self.keys, "_chunk").orderBy(order)
 
+    def series_rows(self) -> Column:
+        """Length of the row's series; a series that was not cut is its only chunk."""
+        return F.coalesce(F.col("_series_rows"), F.count(F.lit(1)).over(Window.partitionBy(*self.keys, "_chunk")))
+
     def with_columns(self, columns: dict[str, Column]) -> "Chunked":
         return Chunked(self.frame.withColumns(columns), self.keys, self.ts, self.inputs)
 
@@ -45,20 +52,22 @@ def bucket_of(ts: str, width: str = BUCKET) -> Column:
     return F.coalesce(floor_div(F.unix_micros(F.col(ts)), step_micros(width)), F.lit(-(2**40)))
 
 
-def chunk_plan(
-    df: DataFrame, keys: list[str], ts: str, before: int, after: int, chunk_rows: int, bucket: str
-) -> DataFrame:
-    """One row per (series, bucket): its home chunk, every chunk that needs its rows, offsets."""
-    counts = (
+def bucket_counts(df: DataFrame, keys: list[str], ts: str, bucket: str) -> DataFrame:
+    """(keys, _bucket, _n): rows of each series in each time bucket."""
+    return (
         df.select(*keys, bucket_of(ts, bucket).alias("_bucket"))
         .groupBy(*keys, "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+
+
+def chunk_plan(counts: DataFrame, keys: list[str], before: int, after: int, chunk_rows: int) -> DataFrame:
+    """For each bucket of a long series: its home chunk, every chunk that needs its rows, offsets."""
     ordered = Window.partitionBy(*keys).orderBy("_bucket")
     plan = counts.withColumn("_end", F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     plan = plan.withColumns(
         {"_start": F.col("_end") - F.col("_n"), "_series_rows": F.sum("_n").over(Window.partitionBy(*keys))}
-    )
+    ).filter(F.col("_series_rows") > WHOLE * chunk_rows)
     plan = plan.withColumn("_home_chunk", floor_div(F.col("_start"), chunk_rows))
     targets = [F.array("_home_chunk")]
     if before:
@@ -97,17 +106,25 @@ def cut(
     chunk_rows: int = CHUNK_ROWS,
     bucket: str = BUCKET,
 ) -> Chunked:
-    """Cut each series (``keys``, ordered by ``ts``) into chunks with the halo asked for.
+    """Cut each long series (``keys``, ordered by ``ts``) into chunks with the halo asked for.
 
-    ``before``/``after`` are the rows a window reaches back/forward. ``bucket`` should hold few
-    rows of one series: a day holds at most 48 half-hours.
+    ``before``/``after`` are the rows a window reaches back/forward. ``bucket`` should hold fewer
+    rows of one series than a chunk: a week holds at most 336 half-hours.
     """
     if before > chunk_rows:
         raise ValueError("chunk_rows must not be smaller than the rows looked back on")
-    plan = chunk_plan(df, keys, ts, before, after, chunk_rows, bucket)
+    counts = settled(bucket_counts(df, keys, ts, bucket))
+    longest = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+    if longest <= WHOLE * chunk_rows:
+        whole = {"_chunk": F.lit(0).cast("long"), "_home": F.lit(True), "_offset": F.lit(0).cast("long")}
+        return Chunked(df.withColumns({**whole, "_series_rows": F.lit(None).cast("long")}), keys, ts, df.columns)
+    plan = broadcast_if_small(chunk_plan(counts, keys, before, after, chunk_rows))
     rows = df.withColumn("_bucket", bucket_of(ts, bucket))
-    joined = join_null_safe(rows, plan, [*keys, "_bucket"]).drop("_bucket")
-    frame = joined.withColumn("_chunk", F.explode("_chunks")).withColumn(
-        "_home", F.col("_chunk") == F.col("_home_chunk")
+    joined = join_null_safe(rows, plan, [*keys, "_bucket"], "left").drop("_bucket")
+    only = F.array(F.lit(0).cast("long"))
+    frame = (
+        joined.withColumn("_chunk", F.explode(F.coalesce("_chunks", only)))
+        .withColumn("_home", F.coalesce(F.col("_chunk") == F.col("_home_chunk"), F.lit(True)))
+        .withColumn("_offset", F.coalesce("_offset", F.lit(0).cast("long")))
     )
     return Chunked(frame.drop("_chunks", "_home_chunk"), keys, ts, df.columns)

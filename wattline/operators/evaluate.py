@@ -9,6 +9,7 @@ from wattline.functions.columns import join_null_safe
 from wattline.functions.reference import DAY_PERIODS, WEEK_PERIODS
 from wattline.operators.aggregates import exact_percentile
 from wattline.operators.windows import add_windows, row_index
+from wattline.session import broadcast_if_small
 
 
 def pinball(actual: str, predicted: str, alpha: float | Column) -> Column:
@@ -140,7 +141,7 @@ def decision_quality(df: DataFrame, actual: str, predicted: str, keys: list[str]
     mean distance from the threshold of the wrongly decided rows, 0 when there are none.
     """
     rows = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
-    thresholds = exact_percentile(rows, actual, 0.5, keys, "threshold_gco2")
+    thresholds = broadcast_if_small(exact_percentile(rows, actual, 0.5, keys, "threshold_gco2"))
     y, p, t = F.col(actual), F.col(predicted), F.col("threshold_gco2")
     wrong = (p < t) != (y < t)
     return (

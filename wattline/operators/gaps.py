@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.columns import floor_div, join_null_safe, step_micros
+from wattline.functions.columns import floor_div, non_null_keys, step_micros
 from wattline.functions.reference import MAX_FILL_GAP, SETTLEMENT_STEP
 from wattline.operators.chunks import CHUNK_ROWS, bucket_of, cut
 
@@ -123,8 +123,11 @@ def _nearest(
     """
     names = {c: f"_obs_{i}" for i, c in enumerate(columns)}
 
+    series = list(non_null_keys(grid, keys))
+
     def marked(df: DataFrame, on_grid: bool) -> DataFrame:
-        return df.withColumns({"_on_grid": F.lit(on_grid), "_bucket": bucket_of(ts, bucket)})
+        own = {"_on_grid": F.lit(on_grid), "_bucket": bucket_of(ts, bucket)}
+        return df.withColumns({**own, **non_null_keys(df, keys)})
 
     seen = marked(observed.select(*keys, ts, *columns), False).withColumns(
         {names[c]: F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("t"), F.col(c).alias("v"))) for c in columns}
@@ -134,19 +137,19 @@ def _nearest(
         cover = time_span(grid.select(*keys, ts), ts, keys)
     width = step_micros(bucket)
     covered = cover.filter(F.col("_lo").isNotNull()).select(
-        *keys,
+        *[c.alias(n) for n, c in non_null_keys(cover, keys).items()],
         F.explode(
             F.sequence(floor_div(F.unix_micros("_lo"), width), floor_div(F.unix_micros("_hi"), width))
         ).alias("_bucket"),
     )
-    edges = seen.unionByName(covered, allowMissingColumns=True).groupBy(*keys, "_bucket").agg(
+    edges = seen.drop(*keys).unionByName(covered, allowMissingColumns=True).groupBy(*series, "_bucket").agg(
         *[F.max(names[c]).alias(f"_last_{i}") for i, c in enumerate(columns)],
         *([F.min(names[c]).alias(f"_first_{i}") for i, c in enumerate(columns)] if forward else []),
     )
-    asc = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    desc = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    asc = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    desc = Window.partitionBy(*series).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = edges.select(
-        *keys,
+        *series,
         "_bucket",
         *[F.last(f"_last_{i}", ignorenulls=True).over(asc).alias(f"_before_{i}") for i in range(len(columns))],
         *(
@@ -155,8 +158,9 @@ def _nearest(
             else []
         ),
     )
-    joined = join_null_safe(rows, carry, [*keys, "_bucket"])
-    part = Window.partitionBy(*keys, "_bucket")
+    # The join and both windows below need the same partitioning, so the rows are shuffled once.
+    joined = rows.join(carry, [*series, "_bucket"])
+    part = Window.partitionBy(*series, "_bucket")
     # Observations sort before grid rows of the same time in both directions.
     back = part.orderBy(F.col(ts).asc(), F.col("_on_grid").asc()).rowsBetween(Window.unboundedPreceding, 0)
     fore = part.orderBy(F.col(ts).desc(), F.col("_on_grid").asc()).rowsBetween(Window.unboundedPreceding, 0)

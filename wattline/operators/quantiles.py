@@ -18,7 +18,7 @@ from wattline.functions.columns import join_null_safe
 from wattline.functions.reference import ALPHAS, DAY_PERIODS
 from wattline.operators.evaluate import fold_members, pinball
 from wattline.operators.windows import row_index
-from wattline.session import shared_dir
+from wattline.session import BROADCAST_ROWS, settled
 
 RIDGE = 1e-8
 PASSES = 7
@@ -122,16 +122,16 @@ def fit(
     Coefficients are checkpointed after each pass, so the plan does not grow with the passes.
     """
     keys = list(keys)
-    shared_dir(indexed.sparkSession)
     train = fold_members(indexed, n_splits, gap, "skip", final=True).filter("role = 'train'")
     size = len(features) + 1
     start = _solve(_start_sums(train, [*keys, "fold"], features, target), [*keys, "fold"], size)
     each_alpha = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
-    models = start.select(*keys, "fold", each_alpha, "coef", "scale").checkpoint()
+    models = settled(start.select(*keys, "fold", each_alpha, "coef", "scale"))
+    few = models.count() <= BROADCAST_ROWS  # the number of models is the same after every pass
     by = [*keys, "fold", "alpha"]
     for i in range(passes):
-        current = join_null_safe(train, models, [*keys, "fold"]).withColumn("_r", F.col(target) - _dot(features, "coef"))
-        models = _solve(_step_sums(current, by, features, max(0.5**i, NARROWEST)), by, size).checkpoint()
+        current = join_null_safe(train, F.broadcast(models) if few else models, [*keys, "fold"]).withColumn("_r", F.col(target) - _dot(features, "coef"))
+        models = settled(_solve(_step_sums(current, by, features, max(0.5**i, NARROWEST)), by, size))
     return models.drop("scale")
 
 
@@ -206,6 +206,6 @@ def train_per_series(
     indexed = indexed_rows(df, target, features, ts, keys).persist(StorageLevel.MEMORY_AND_DISK)
     models = fit(indexed, target, features, keys, alphas, n_splits, gap, passes)
     predicted = out_of_fold(indexed, models, features, keys, alphas, n_splits, gap)
-    summary = loss_summary(predicted, target, keys, alphas).checkpoint()
+    summary = settled(loss_summary(predicted, target, keys, alphas))
     indexed.unpersist()
     return models, summary

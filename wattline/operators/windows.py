@@ -90,7 +90,7 @@ def row_index(df: DataFrame, ts: str, keys: list[str] = (), index: str = "row_no
     numbered = chunked.with_columns(
         {
             index: F.col("_offset") + F.row_number().over(chunked.window()) - 1,
-            total: F.col("_series_rows"),
+            total: chunked.series_rows(),
         }
     )
     return numbered.home_rows()

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "wattline", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,6 +19,7 @@ def build_session(app: str = "wattline", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Call-site capture costs milliseconds per column expression while a plan is built.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
@@ -56,3 +58,21 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder name below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+BROADCAST_ROWS = 300_000
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, where a lost executor cannot take it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A helper table, computed once and counted: broadcast up to ``max_rows``, else joined by shuffle.
+
+    Spark sizes an aggregate by its input, so without the count it would shuffle the large side.
+    """
+    kept = settled(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
