@@ -8,6 +8,8 @@ from checks.common import Tables, r, sql
 from wattline.operators import aggregates, evaluate
 from wattline.operators.windows import add_windows
 from wattline.plans import medallion
+from wattline.session import work_path
+from wattline.sources import files
 
 ALPHA_OF = {"lag_2": 0.1, "lag_1": 0.5, "lag_48": 0.9}
 ALPHA_COLUMNS = {"alpha_10": 0.1, "alpha_50": 0.5, "alpha_90": 0.9}
@@ -92,6 +94,15 @@ def variant_compare(t: Tables):
     return evaluate.compare_variants(variants)
 
 
+def metrics_csv(t: Tables):
+    """Loss rows of the real regions, written as CSV with a header and read back by schema."""
+    losses = _losses(t).join(evaluate.error_metrics(_scored(t), "carbon_intensity", "lag_1", ["region_id"]), "region_id")
+    path = work_path(t.spark, "metrics")
+    name = F.concat(F.lit("Region "), F.col("region_id").cast("string")).alias("region")
+    files.write_metrics(losses.select(name, "region_id", "alpha", "mae", "pinball_loss"), path)
+    return files.read_metrics(t.spark, path).filter(F.col("region_id") <= 14)
+
+
 def model_scope_compare(t: Tables):
     """Regional persistence against persistence of the national mean, on the same rows."""
     national = t.regional.groupBy("settlement_period").agg(F.avg("carbon_intensity").alias("national_mean"))
@@ -240,6 +251,15 @@ QUERIES = {
             FROM {_TRAIN} GROUP BY 1""",
         ),
     ),
+    "metrics_csv": (
+        metrics_csv,
+        sql(
+            "gold",
+            f"""SELECT concat('Region ', region_id) AS region, region_id, {r('alpha', 'alpha')}, {r('mae', 'mae')},
+            {r('pinball_loss', 'pinball_loss')} FROM ({_LOSSES}) JOIN (SELECT region_id, avg(abs(lag_1 - carbon_intensity))
+            AS mae FROM {_TRAIN} GROUP BY 1) USING (region_id)""",
+        ),
+    ),
     "model_scope_compare": (
         model_scope_compare,
         sql(

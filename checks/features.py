@@ -10,6 +10,7 @@ from wattline.functions.reference import LOSS_BAND_EDGES, LOSS_BAND_LABELS, regi
 from wattline.operators import aggregates, gaps, windows
 from wattline.operators.features import add_calendar, add_penetration, join_weather, widen
 from wattline.plans import medallion, national
+from wattline.sources import bindings
 
 CITY_NAMES = ["London", "Manchester", "Edinburgh"]
 
@@ -76,6 +77,13 @@ def row_numbers(t: Tables):
     return windows.row_index(t.regional, "settlement_period", ["region_id"])
 
 
+def duplicate_periods(t: Tables):
+    """Periods in which a region has more than one event."""
+    region = (F.col("user_id") % 14 + 1).cast("long").alias("region_id")
+    raw = t.events.select(region, bindings.slot().alias("settlement_period"))
+    return windows.duplicate_times(raw, "settlement_period", ["region_id"])
+
+
 def profile(t: Tables):
     return aggregates.profile(t.regional, ["region_id", "carbon_intensity"])
 
@@ -208,6 +216,10 @@ QUERIES = {
             count(*) OVER (PARTITION BY region_id) AS series_rows FROM regional""",
         ),
     ),
+    "duplicate_periods": (
+        duplicate_periods,
+        sql("ev", "SELECT region_id, slot AS settlement_period, count(*) AS copies FROM ev GROUP BY 1, 2 HAVING count(*) > 1"),
+    ),
     "profile": (
         profile,
         sql(

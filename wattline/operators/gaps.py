@@ -7,7 +7,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -197,15 +196,16 @@ def interpolate_onto(
     """
     keys, columns = list(keys), list(columns)
     near = _nearest(grid, observed, keys, ts, columns, bucket, True, cover)
-    held = "p.v" if extrapolate else "null"
-
     def value(c: str) -> Column:
-        formula = f"""
-            CASE WHEN p.t = {ts} THEN CAST(p.v AS double)
-                 WHEN n IS NULL THEN CAST({held} AS double)
-                 ELSE p.v + (CAST(n.v AS double) - p.v) * (unix_micros({ts}) - unix_micros(p.t))
-                      / nullif(unix_micros(n.t) - unix_micros(p.t), 0) END"""
-        return F.expr(re.sub(r"\bp\b", f"`_prev_{c}`", re.sub(r"\bn\b", f"`_next_{c}`", formula)))
+        before, after, now = f"`_prev_{c}`", f"`_next_{c}`", f"`{ts}`"
+        held = f"{before}.v" if extrapolate else "null"
+        return F.expr(
+            f"""CASE WHEN {before}.t = {now} THEN CAST({before}.v AS double)
+                     WHEN {after} IS NULL THEN CAST({held} AS double)
+                     ELSE {before}.v + (CAST({after}.v AS double) - {before}.v)
+                          * (unix_micros({now}) - unix_micros({before}.t))
+                          / nullif(unix_micros({after}.t) - unix_micros({before}.t), 0) END"""
+        )
 
     return near.filter("_on_grid").select(*grid.columns, *[value(c).alias(c) for c in columns])
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.reference import ALPHAS, DAY_PERIODS
 from wattline.operators.evaluate import fold_members, pinball
-from wattline.session import shared_dir
+from wattline.session import settled
 from wattline.sources.tables import child_names
 
 MISSING = -1.0  # stands below every real value of the features used, so trees can split it off
@@ -51,8 +51,7 @@ class QuantileTrees:
         for i, (tree, leaves) in enumerate(self.trees, 1):
             out = _add_tree(out, tree, leaves, self.rate, name, vector)
             if i % checkpoint_every == 0 and i < len(self.trees):
-                shared_dir(df.sparkSession)
-                out = out.checkpoint()
+                out = settled(out)
         return out
 
     def save(self, path: str, spark: SparkSession) -> None:
@@ -93,10 +92,9 @@ def fit_quantile_trees(
     seed: int = 42,
 ) -> QuantileTrees:
     """Boost ``n_trees`` trees for one quantile; ``train`` holds the vector and the target."""
-    shared_dir(train.sparkSession)
     rows = train.select(F.col(target).cast("double").alias("_y"), vector).filter("_y IS NOT NULL")
     base = float(rows.agg(F.percentile_approx("_y", alpha, 10000)).first()[0])
-    rows = rows.withColumn("_fit", F.lit(base)).checkpoint()
+    rows = settled(rows.withColumn("_fit", F.lit(base)))
     trees: list[tuple[DecisionTreeRegressionModel, dict]] = []
     grower = DecisionTreeRegressor(
         featuresCol=vector, labelCol="_gradient", maxDepth=depth, minInstancesPerNode=20, seed=seed, leafCol="_leaf",
@@ -115,7 +113,7 @@ def fit_quantile_trees(
         trees.append((tree, leaves))
         rows = _add_tree(rows, tree, leaves, rate, "_fit", vector)
         if i % checkpoint_every == 0 and i < n_trees:
-            rows = rows.checkpoint()
+            rows = settled(rows)
     return QuantileTrees(alpha, base, rate, trees)
 
 
@@ -132,8 +130,7 @@ def train_quantiles(
 
     ``indexed`` carries row_no and series_rows, see ``windows.row_index``.
     """
-    shared_dir(indexed.sparkSession)
-    everything = with_vector(indexed, features).checkpoint()
+    everything = settled(with_vector(indexed, features))
     members = fold_members(everything, n_splits, gap)
     folds = []
     for fold in range(n_splits):
@@ -186,9 +183,10 @@ def compare_models(
     on_short: str = "error",
 ) -> DataFrame:
     """(model, pinball_loss, mae) on identical folds, best first; mae is twice the loss."""
-    shared_dir(indexed.sparkSession)
     labelled = with_vector(indexed, features).withColumn("_label", F.col(target).cast("double"))
-    members = fold_members(labelled, n_splits, gap, on_short).select("_label", "features", "fold", "role").checkpoint()
+    members = fold_members(
+        settled(labelled.select("_label", "features", "row_no", "series_rows")), n_splits, gap, on_short
+    )
     parts = []
     for name, estimator in (estimators or default_estimators()).items():
         for fold in range(n_splits):

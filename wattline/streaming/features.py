@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from wattline.operators.charging import optimise_sessions
 from wattline.operators.features import add_calendar
 from wattline.operators.windows import add_windows
 from wattline.plans.medallion import gold_carbon
-from wattline.streaming.runner import read_latest, write_batch
+from wattline.streaming.runner import latest_rows, read_batches, write_batch
 
 TS = "settlement_period"
 DAY = "reading_day"
@@ -37,26 +38,23 @@ def online_features(readings: DataFrame, keys: list[str], weather: DataFrame | N
     return add_calendar(df, TS)
 
 
-def _enough_history(store: DataFrame, touched: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """The part of ``store`` that reaches ``rows`` rows back from every touched series.
+def _enough_history(readings: DataFrame, touched: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Latest readings, from far enough back to hold ``rows`` rows before every touched series.
 
     The store is partitioned by day, so each try reads only recent days; the reach doubles until
     no series is short of rows or the store has nothing older.
     """
-    start = touched.agg(F.min("_from")).first()[0]
-    oldest = store.agg(F.min(DAY)).first()[0]
+    first_day = touched.agg(F.min(F.to_date("_from"))).first()[0]
+    oldest = readings.agg(F.min(DAY)).first()[0]
     days = 8
     while True:
-        since = F.date_sub(F.lit(start).cast("date"), days)
-        recent = store.filter(F.col(DAY) >= since)
-        reached_all = store.sparkSession.range(1).select(since.alias("d")).first()["d"] <= oldest
-        if reached_all:
+        since = first_day - dt.timedelta(days=days)
+        recent = latest_rows(readings.filter(F.col(DAY) >= F.lit(since)), [*keys, TS])
+        if since <= oldest:
             return recent
         before = join_null_safe(touched, recent.select(*keys, TS), keys, "left")
-        short = before.groupBy(*keys).agg(F.sum((F.col(TS) < F.col("_from")).cast("int")).alias("_n")).filter(
-            F.coalesce(F.col("_n"), F.lit(0)) < rows
-        )
-        if short.limit(1).count() == 0:
+        seen = F.sum(F.coalesce((F.col(TS) < F.col("_from")).cast("int"), F.lit(0)))
+        if not before.groupBy(*keys).agg(seen.alias("_n")).filter(F.col("_n") < rows).head(1):
             return recent
         days *= 2
 
@@ -74,8 +72,8 @@ def feature_handler(
         write_batch(batch.withColumn(DAY, F.to_date(TS)), readings_path, batch_id, [DAY])
         mine = spark.read.parquet(f"{readings_path}/batch_id={batch_id}")
         touched = mine.groupBy(*keys).agg(F.min(TS).alias("_from"))
-        store = read_latest(spark, readings_path, [*keys, TS])
-        history = _enough_history(store, touched, keys, max(WEEK_PERIODS, *LAGS))
+        stored = read_batches(spark, readings_path)
+        history = _enough_history(stored, touched, keys, max(WEEK_PERIODS, *LAGS))
         of_touched = join_null_safe(history.drop(DAY), touched, keys)
         wanted = online_features(of_touched, keys, weather).filter(F.col(TS) >= F.col("_from")).drop("_from")
         write_batch(wanted, features_path, batch_id)

@@ -62,9 +62,11 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
 def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[Column] = ()) -> DataFrame | None:
     """One row per key: that of the latest batch."""
     rows = read_batches(spark, path)
-    if rows is None:
-        return None
-    return first_per_key(rows, keys, [F.col(BATCH), *order], last=True).drop(BATCH)
+    return None if rows is None else latest_rows(rows, keys, order)
+
+
+def latest_rows(batches: DataFrame, keys: list[str], order: list[Column] = ()) -> DataFrame:
+    return first_per_key(batches, keys, [F.col(BATCH), *order], last=True).drop(BATCH)
 
 
 def progress(query: StreamingQuery, spark: SparkSession) -> DataFrame:
