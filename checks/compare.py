@@ -28,7 +28,9 @@ def duck(sf_dir: str):
 def normal(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
-        if pd.api.types.is_datetime64_any_dtype(df[c]):
+        if df[c].isna().all():
+            df[c] = float("nan")
+        elif pd.api.types.is_datetime64_any_dtype(df[c]):
             df[c] = df[c].astype("datetime64[us]").astype(str)
         elif pd.api.types.is_bool_dtype(df[c]) or df[c].dropna().map(type).eq(bool).all():
             df[c] = df[c].astype(str)

@@ -122,9 +122,9 @@ def evaluation_table(df: DataFrame, actual: str, predictions: dict[str, tuple[st
             for m, (c, a) in predictions.items()
         ]
     )
-    long = df.select(F.col(actual).cast("double").alias("actual"), F.inline(entries)).filter(
-        F.col("predicted").isNotNull() & F.col("actual").isNotNull()
-    )
+    # A missing prediction gives a null error, which the averages skip; a model without any
+    # prediction keeps its row, with null metrics.
+    long = df.select(F.col(actual).cast("double").alias("actual"), F.inline(entries))
     error = F.col("predicted") - F.col("actual")
     central = F.col("alpha") == 0.5
     return long.groupBy("model", "alpha").agg(
