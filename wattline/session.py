@@ -33,6 +33,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings that change results (time zone, adaptive execution)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    if spark.sparkContext.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        # One machine with Spark's default: a partition per core; a cluster's own setting is kept.
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
