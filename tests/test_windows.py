@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tests.helpers import period
+from wattline.operators.chunks import cut
 from wattline.operators.windows import (
     add_windows,
     duplicate_times,
@@ -100,12 +101,25 @@ def test_short_series_keep_one_shuffle(spark):
     assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
+def test_full_bucket_is_split_further(spark):
+    """A third of all rows in one day of one series: narrower buckets are used, results stay."""
+    df = spark.range(9000).select(
+        (F.col("id") % 3).alias("k"),
+        F.timestamp_millis(F.lit(1704067200000) + F.when(F.col("id") % 3 == 0, F.col("id") * 500).otherwise(F.col("id") * 1800000)).alias("t"),
+        F.col("id").alias("v"),
+    )
+    chunked = cut(df, ["k"], "t", before=10, chunk_rows=100)
+    assert chunked.frame.filter("k = 0").groupBy("_chunk").count().agg(F.max("count")).first()[0] < 500
+    w = Window.partitionBy("k").orderBy("t")
+    got = lag_columns(df, ["v"], "t", ["k"], [10], chunk_rows=100)
+    expected = df.withColumn("v_lag_10", F.lag("v", 10).over(w))
+    assert got.exceptAll(expected).count() == 0 and got.count() == 9000
+
+
 def test_hot_series_is_spread_over_chunks(spark):
     df = spark.range(40000).select(
         F.lit(1).alias("k"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 1800).alias("t"), F.col("id").alias("v")
     )
-    from wattline.operators.chunks import cut
-
     chunked = cut(df, ["k"], "t", before=335, chunk_rows=5000)
     sizes = [r["count"] for r in chunked.frame.groupBy("_chunk").count().collect()]
     assert len(sizes) == 8

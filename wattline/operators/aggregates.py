@@ -63,37 +63,37 @@ def top_rows(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def exact_percentile(df: DataFrame, column: str, q: float, keys: list[str] = (), name: str = "percentile"):
-    """Exact interpolated percentile per group, without holding a group in one task.
-
-    Equal values are counted first, which shrinks a hot group to its distinct values. Those are
-    split into bins at approximate percentiles; the bins' totals tell which one or two bins hold
-    the wanted ranks, and only these are ordered.
+def exact_percentile(
+    df: DataFrame, column: str, q: float, keys: list[str] = (), name: str = "percentile", most_values: int = 200_000
+) -> DataFrame:
+    """Exact interpolated percentile per group, without ordering a large group in one task.
+
+    Equal values are counted first, which shrinks a group to its distinct values. While a group
+    has more than ``most_values`` of those, they are split into bins at approximate percentiles
+    and only the one or two bins that hold the wanted ranks go on.
     """
     if not keys:
         one_group = df.select(F.lit(0).alias("_all"), column)
-        return exact_percentile(one_group, column, q, ["_all"], name).drop("_all")
+        return exact_percentile(one_group, column, q, ["_all"], name, most_values).drop("_all")
     keys = list(keys)
     counted = (
         df.filter(F.col(column).isNotNull())
         .groupBy(*keys, F.col(column).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    marks = [i / PERCENTILE_BINS for i in range(1, PERCENTILE_BINS)]
-    edges = counted.groupBy(*keys).agg(F.percentile_approx("_v", marks, 1000).alias("_edges"))
-    binned = join_null_safe(counted, edges, keys).withColumn("_bin", F.expr("size(filter(_edges, e -> e < _v))")).drop("_edges")
-    in_order = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.lit(q) * (F.col("_total") - 1)
-    bins = (
-        binned.groupBy(*keys, "_bin")
-        .agg(F.sum("_n").alias("_bin_n"))
-        .withColumns({"_bin_end": F.sum("_bin_n").over(in_order), "_total": F.sum("_bin_n").over(Window.partitionBy(*keys))})
-        .withColumns({"_bin_start": F.col("_bin_end") - F.col("_bin_n"), "_rank": rank})
-        .filter((F.col("_bin_start") <= F.ceil("_rank")) & (F.col("_bin_end") > F.floor("_rank")))
-        .select(*keys, "_bin", "_bin_start", "_rank")
-    )
-    inside = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = join_null_safe(binned, bins, [*keys, "_bin"]).withColumn("_to", F.col("_bin_start") + F.sum("_n").over(inside))
+    most = counted.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    # ``_below`` is how many rows lie under the values kept, ``_rank`` the position looked for.
+    if most <= most_values:
+        total = F.sum("_n").over(Window.partitionBy(*keys))
+        kept = counted.withColumns({"_below": F.lit(0).cast("long"), "_rank": F.lit(q) * (total - 1)})
+    else:
+        ranks = counted.groupBy(*keys).agg((F.lit(q) * (F.sum("_n") - 1)).alias("_rank"))
+        kept = join_null_safe(counted.withColumn("_below", F.lit(0).cast("long")), ranks, keys)
+        while most > most_values:
+            kept = _keep_wanted_bins(kept, keys)
+            most //= PERCENTILE_BINS // 2
+    inside = Window.partitionBy(*keys, "_below").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = kept.withColumn("_to", F.col("_below") + F.sum("_n").over(inside))
 
     def holds(position: Column) -> Column:
         return F.max(F.when((position < F.col("_to")) & (position >= F.col("_to") - F.col("_n")), F.col("_v")))
@@ -104,3 +104,22 @@ def exact_percentile(df: DataFrame, column: str, q: float, keys: list[str] = (),
         F.max(F.col("_rank") - F.floor("_rank")).alias("_part"),
     )
     return found.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias(name))
+
+
+def _keep_wanted_bins(values: DataFrame, keys: list[str]) -> DataFrame:
+    """Values (_v, _n) of the bins that hold rank ``_rank``, with ``_below`` moved up to each bin."""
+    marks = [i / PERCENTILE_BINS for i in range(1, PERCENTILE_BINS)]
+    group = [*keys, "_below"]
+    edges = values.groupBy(*group).agg(F.percentile_approx("_v", marks, 1000).alias("_edges"))
+    binned = join_null_safe(values, edges, group).withColumn("_bin", F.expr("size(filter(_edges, e -> e < _v))"))
+    in_order = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = (
+        binned.groupBy(*group, "_bin")
+        .agg(F.sum("_n").alias("_bin_n"), F.max("_rank").alias("_at"))
+        .withColumn("_end", F.col("_below") + F.sum("_bin_n").over(in_order))
+        .withColumn("_start", F.col("_end") - F.col("_bin_n"))
+        .filter((F.col("_start") <= F.ceil("_at")) & (F.col("_end") > F.floor("_at")))
+        .select(*group, "_bin", "_start")
+    )
+    wanted = join_null_safe(binned, bins, [*group, "_bin"])
+    return wanted.select(*keys, "_v", "_n", F.col("_start").alias("_below"), "_rank")

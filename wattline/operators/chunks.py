@@ -19,6 +19,7 @@ from wattline.session import broadcast_if_small, settled
 CHUNK_ROWS = 50_000
 WHOLE = 4
 BUCKET = "7 days"
+NARROWER = ["1 day", "1 hour", "1 minute", "1 second"]
 
 
 class Chunked:
@@ -52,6 +53,20 @@ def bucket_of(ts: str, width: str = BUCKET) -> Column:
     return F.coalesce(floor_div(F.unix_micros(F.col(ts)), step_micros(width)), F.lit(-(2**40)))
 
 
+def widths_from(bucket: str) -> list[str]:
+    """``bucket`` and the narrower widths to fall back on where a bucket is too full."""
+    narrower = [w for w in NARROWER if step_micros(w) < step_micros(bucket)]
+    return [bucket, *narrower]
+
+
+def fitting_width(df: DataFrame, keys: list[str], ts: str, bucket: str, most_rows: int = WHOLE * CHUNK_ROWS) -> str:
+    """The widest of those widths at which no (series, bucket) holds more than ``most_rows``."""
+    for width in widths_from(bucket):
+        if (bucket_counts(df, keys, ts, width).agg(F.max("_n")).first()[0] or 0) <= most_rows:
+            break
+    return width
+
+
 def bucket_counts(df: DataFrame, keys: list[str], ts: str, bucket: str) -> DataFrame:
     """(keys, _bucket, _n): rows of each series in each time bucket."""
     return (
@@ -108,18 +123,22 @@ def cut(
 ) -> Chunked:
     """Cut each long series (``keys``, ordered by ``ts``) into chunks with the halo asked for.
 
-    ``before``/``after`` are the rows a window reaches back/forward. ``bucket`` should hold fewer
-    rows of one series than a chunk: a week holds at most 336 half-hours.
+    ``before``/``after`` are the rows a window reaches back/forward. ``bucket`` is the width rows are
+    counted by; where one bucket would overfill a task, narrower ones are used.
     """
     if before > chunk_rows:
         raise ValueError("chunk_rows must not be smaller than the rows looked back on")
-    counts = settled(bucket_counts(df, keys, ts, bucket))
-    longest = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")).agg(F.max("_rows")).first()[0] or 0
-    if longest <= WHOLE * chunk_rows:
+    for width in widths_from(bucket):
+        counts = settled(bucket_counts(df, keys, ts, width))
+        per_series = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_fullest"))
+        longest, fullest = per_series.agg(F.max("_rows"), F.max("_fullest")).first()
+        if (longest or 0) <= WHOLE * chunk_rows or fullest <= WHOLE * chunk_rows:
+            break
+    if (longest or 0) <= WHOLE * chunk_rows:
         whole = {"_chunk": F.lit(0).cast("long"), "_home": F.lit(True), "_offset": F.lit(0).cast("long")}
         return Chunked(df.withColumns({**whole, "_series_rows": F.lit(None).cast("long")}), keys, ts, df.columns)
     plan = broadcast_if_small(chunk_plan(counts, keys, before, after, chunk_rows))
-    rows = df.withColumn("_bucket", bucket_of(ts, bucket))
+    rows = df.withColumn("_bucket", bucket_of(ts, width))
     joined = join_null_safe(rows, plan, [*keys, "_bucket"], "left").drop("_bucket")
     only = F.array(F.lit(0).cast("long"))
     frame = (

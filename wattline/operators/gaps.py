@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.columns import floor_div, non_null_keys, step_micros
 from wattline.functions.reference import MAX_FILL_GAP, SETTLEMENT_STEP
-from wattline.operators.chunks import CHUNK_ROWS, bucket_of, cut
+from wattline.operators.chunks import CHUNK_ROWS, bucket_of, cut, fitting_width
 
 GRID_BLOCK = 4096
 CARRY_BUCKET = "28 days"

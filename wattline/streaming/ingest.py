@@ -16,7 +16,7 @@ BROKEN = "_broken"
 
 def parse_topic(raw: DataFrame, schema: str, required: list[str], column: str = "value") -> DataFrame:
     """(raw text, parsed fields, ok): ok is false for unreadable JSON or a missing required field."""
-    full = T.StructType(T._parse_datatype_string(schema).fields + [T.StructField(BROKEN, T.StringType())])
+    full = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField(BROKEN, T.StringType())])
     parsed = raw.select(
         F.col(column).alias("raw"),
         F.from_json(F.col(column), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}).alias("m"),
