@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,12 +168,10 @@ def append_last_wins(t: Tables):
 
 def feature_snapshot(t: Tables):
     """Features written for two run dates; the later one is read back."""
-    import datetime as dt
-
     base = work_path(t.spark, "snapshots")
-    features = medallion.gold_carbon(medallion.silver_carbon(t.regional_bronze))
-    tables.write_snapshot(features.filter("region_id = 1"), base, dt.date(2024, 1, 30))
-    tables.write_snapshot(features, base, dt.date(2024, 1, 31))
+    silver = medallion.silver_carbon(t.regional_bronze)
+    tables.write_snapshot(medallion.gold_carbon(silver, lags=[1]), base, dt.date(2024, 1, 30))
+    tables.write_snapshot(medallion.gold_carbon(silver), base, dt.date(2024, 1, 31))
     return tables.load_latest_snapshot(t.spark, base).drop("run_date")
 
 
