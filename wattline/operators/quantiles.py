@@ -21,7 +21,7 @@ from wattline.operators.windows import row_index
 from wattline.session import BROADCAST_ROWS, settled
 
 RIDGE = 1e-8
-PASSES = 7
+PASSES = 6
 NARROWEST = 0.1  # kernel width of the last passes, in residual standard deviations
 DAMPING = 0.02  # share of the least-squares curvature added to each step
 
