@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks.common import Tables, add_cte, r, sql
 from wattline.operators import charging as ch
 

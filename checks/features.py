@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.common import ALIGNED, CALENDAR_SQL, LAG_COLUMNS, ROLLED, WIDE, Tables, out, r, sql
+from checks.common import ALIGNED, CALENDAR_SQL, LAG_COLUMNS, ROLLED, WIDE, Tables, r, sql
 from wattline.functions.columns import above, right_closed_band
 from wattline.functions.reference import LOSS_BAND_EDGES, LOSS_BAND_LABELS, region_dimension
 from wattline.operators import aggregates, gaps, windows

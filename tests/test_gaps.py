@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import START, UTC, epochs, period
+from tests.helpers import START, epochs, period
 from wattline.operators.features import join_weather
 from wattline.operators.gaps import align, carry_onto, ffill_short_runs, interpolate_onto, time_grid, upsample_last_row
 
@@ -112,6 +112,17 @@ def test_interpolation_reaches_across_buckets(spark, bucket):
     np.testing.assert_allclose(got, np.concatenate(expected), rtol=1e-9, equal_nan=True)
 
 
+def test_full_bucket_uses_a_narrower_width(spark, monkeypatch):
+    from wattline.operators import chunks
+
+    monkeypatch.setattr(chunks.fitting_width, "__defaults__", (20,))
+    obs = spark.createDataFrame([(period(i), float(i)) for i in range(0, 200, 2)], "t timestamp, v double")
+    grid = spark.createDataFrame([(period(i),) for i in range(200)], "t timestamp")
+    assert chunks.fitting_width(obs, [], "t", "28 days") == "1 hour"
+    got = [r["v"] for r in interpolate_onto(grid, obs, ["v"], "t").orderBy("t").collect()]
+    assert got == [float(min(i, 198)) for i in range(200)]
+
+
 def test_carry_then_backfill(spark):
     obs = spark.createDataFrame([(period(100), 5.0), (period(300), 7.0)], "t timestamp, v double")
     grid = spark.createDataFrame([(period(i),) for i in range(400)], "t timestamp")

@@ -122,6 +122,7 @@ def _nearest(
     """
     names = {c: f"_obs_{i}" for i, c in enumerate(columns)}
 
+    bucket = fitting_width(observed, keys, ts, bucket)
     series = list(non_null_keys(grid, keys))
 
     def marked(df: DataFrame, on_grid: bool) -> DataFrame:
