@@ -6,14 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import exact, packing
+from wattline.llm import bpe, exact, packing, token_counts
 from wattline.llm.common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -28,7 +43,9 @@ FROM t WINDOW w AS (PARTITION BY norm)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_token_counts": op3_token_counts,
         "op7_packing": op7_packing,
+        "op8_bpe_round_trip": op8_bpe_round_trip,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
