@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import bpe, exact, packing, token_counts
+from wattline.llm import bpe, exact, packing, simhash, token_counts
 from wattline.llm.common import table
 
 
@@ -17,6 +17,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -43,6 +47,7 @@ FROM t WINDOW w AS (PARTITION BY norm)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op3_token_counts": op3_token_counts,
         "op7_packing": op7_packing,
         "op8_bpe_round_trip": op8_bpe_round_trip,
