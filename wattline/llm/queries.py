@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import bpe, exact, packing, simhash, token_counts
+from wattline.llm import bpe, exact, packing, simhash, substrings, token_counts
 from wattline.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op3_token_counts": op3_token_counts,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_packing": op7_packing,
         "op8_bpe_round_trip": op8_bpe_round_trip,
         "op9_exact_dedup": op9_exact_dedup,
