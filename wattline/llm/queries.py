@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import bpe, exact, packing, simhash, substrings, token_counts
+from wattline.llm import bpe, exact, packing, simhash, substrings, token_counts, toxicity
 from wattline.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.drop("evidence")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op3_token_counts": op3_token_counts,
+        "op5_toxicity": op5_toxicity,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_packing": op7_packing,
         "op8_bpe_round_trip": op8_bpe_round_trip,
