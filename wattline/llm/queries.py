@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import bpe, exact, packing, simhash, substrings, token_counts, toxicity
+from wattline.llm import bpe, exact, neighbours, packing, simhash, substrings, token_counts, toxicity
 from wattline.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 OP9_SQL = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_packing": op7_packing,
         "op8_bpe_round_trip": op8_bpe_round_trip,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_nearest_neighbours": op10_nearest_neighbours,
     }
 
 
