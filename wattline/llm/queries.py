@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import bpe, exact, neighbours, packing, simhash, substrings, token_counts, toxicity
+from wattline.llm import bpe, exact, licenses, neighbours, packing, simhash, substrings, token_counts, toxicity
 from wattline.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -61,6 +65,7 @@ FROM t WINDOW w AS (PARTITION BY norm)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
+        "op2_license_scan": op2_license_scan,
         "op3_token_counts": op3_token_counts,
         "op5_toxicity": op5_toxicity,
         "op6_substring_dedup": op6_substring_dedup,
