@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import bpe, exact, licenses, neighbours, packing, simhash, substrings, token_counts, toxicity
+from wattline.llm import bpe, exact, licenses, neighbours, packing, quality, simhash, substrings, token_counts, toxicity
 from wattline.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.drop("evidence")
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op2_license_scan": op2_license_scan,
         "op3_token_counts": op3_token_counts,
+        "op4_quality": op4_quality,
         "op5_toxicity": op5_toxicity,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_packing": op7_packing,
