@@ -28,6 +28,9 @@ SAMPLE, FEATURES, PASSES = 20_000, 1 << 14, 60
 #: Change of the class share at which EM ends.
 TOLERANCE = 1e-9
 GOOD, BAD, NONE = 1, 0, 2
+#: A labeller sees one kind of fault; it misses many bad rows but calls at most this share of good rows bad.
+#: Without that bound EM may take one kind of fault for the bad class and the others for good.
+WRONGS = 0.01
 
 
 def _vote(good: Column, bad: Column) -> Column:
@@ -70,7 +73,7 @@ def labellers() -> dict[str, Column]:
     }
 
 
-def estimate(votes: np.ndarray, counts: np.ndarray, most: int = 2_000) -> tuple[np.ndarray, np.ndarray, float]:
+def estimate(votes: np.ndarray, counts: np.ndarray, wrongs: float = WRONGS, most: int = 2_000) -> tuple[np.ndarray, np.ndarray, float]:
     """Posterior of good for each pattern, [class, labeller, vote] probabilities, share of good.
 
     ``votes`` has a row for each pattern. A vote that isn't cast says nothing. EM starts from the share of good votes, which also fixes
@@ -83,6 +86,8 @@ def estimate(votes: np.ndarray, counts: np.ndarray, most: int = 2_000) -> tuple[
         weight = np.stack([counts * (1 - posterior), counts * posterior])
         table = np.einsum("cp,plv->clv", weight, hot) + 1.0  # as if each vote had been seen once more
         table /= table.sum(axis=2, keepdims=True)
+        table[GOOD, :, BAD] = np.minimum(table[GOOD, :, BAD], wrongs)
+        table[GOOD, :, GOOD] = 1 - table[GOOD, :, BAD]
         new = (weight[1].sum() + 1) / (counts.sum() + 2)
         logs = np.einsum("plv,clv->cp", hot, np.log(table)) + np.log([[1 - new], [new]])
         posterior = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
