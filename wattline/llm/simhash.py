@@ -33,7 +33,7 @@ SEED = 42
 #: Points that the tree is fitted on; all points are routed through it.
 SAMPLE, MOST_SHARDS, VANTAGES = 4_096, 4_096, 8
 #: Points of a shard, and queries to it, that one task compares.
-HOME, QUERIES = 8_192, 65_536
+HOME, QUERIES = 65_536, 65_536
 #: Comparisons made at once.
 BLOCK = 1 << 20
 
