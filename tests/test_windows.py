@@ -126,3 +126,21 @@ def test_hot_series_is_spread_over_chunks(spark):
     week = 336  # rows of one bucket, by which chunk and halo are rounded up
     assert max(sizes) <= 5000 + 335 + 2 * week
     assert chunked.home_rows().count() == 40000
+
+
+def test_rolling_mean_forgets_values_that_left_the_window(spark):
+    import math
+
+    rows = [(i, 1e17 if i == 0 else float("inf") if i == 1200 else float("nan") if i == 2400 else 1.5) for i in range(3600)]
+    df = spark.createDataFrame([(period(i), v, "a") for i, v in rows], "ts timestamp, x double, k string")
+    for chunk_rows in (50_000, 700, 336):
+        got = [r.m for r in add_windows(df, "ts", ["k"], means={"m": "x"}, chunk_rows=chunk_rows).orderBy("ts").collect()]
+        for odd, bad in ((0, lambda v: v > 1e13), (1200, math.isinf), (2400, math.isnan)):
+            assert all(bad(v) for v in got[odd : odd + 336])
+            assert got[odd + 336 : odd + 1200] == [1.5] * 864
+
+
+def test_a_chunk_is_never_shorter_than_the_reach(spark):
+    df = spark.createDataFrame([(period(i), float(i)) for i in range(900)], "ts timestamp, x double")
+    got = [r.m for r in add_windows(df, "ts", means={"m": "x"}, chunk_rows=50).orderBy("ts").collect()]
+    assert got == [sum(range(max(0, i - 335), i + 1)) / min(i + 1, 336) for i in range(900)]

@@ -126,8 +126,7 @@ def cut(
     ``before``/``after`` are the rows a window reaches back/forward. ``bucket`` is the width rows are
     counted by; where one bucket would overfill a task, narrower ones are used.
     """
-    if before > chunk_rows:
-        raise ValueError("chunk_rows must not be smaller than the rows looked back on")
+    chunk_rows = max(chunk_rows, before)  # a chunk is no shorter than the reach of its windows
     for width in widths_from(bucket):
         counts = settled(bucket_counts(df, keys, ts, width))
         per_series = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_fullest"))

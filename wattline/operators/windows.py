@@ -14,13 +14,37 @@ from wattline.functions.reference import LAGS, SETTLEMENT_STEP, WEEK_PERIODS
 from wattline.operators.chunks import CHUNK_ROWS, Chunked, cut
 
 
-def _running(columns: list[str], w: WindowSpec) -> dict[str, Column]:
+def _sums(source: str, w: WindowSpec) -> Column:
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    out: dict[str, Column] = {}
-    for c in columns:
-        out[f"_sum_{c}"] = F.sum(c).over(upto)
-        out[f"_cnt_{c}"] = F.count(c).over(upto)
-    return out
+    return F.struct(F.coalesce(F.sum(source).over(upto).cast("double"), F.lit(0.0)).alias("sum"), F.count(source).over(upto).alias("n"))
+
+
+def _block_sums(chunked: Chunked, spans: dict[str, tuple[str, int]], min_periods: int) -> Chunked:
+    """Rolling means from blocks as long as the window.
+
+    A window is the end of one block and the start of the next, so its sum is one addition of a sum
+    from a row to its block's end and one from a block's start to a row. Nothing outside the window
+    is ever added or taken away: a huge or infinite value leaves no trace behind it.
+    """
+    chunk = [*chunked.keys, "_chunk"]
+    chunked = chunked.with_columns({"_row": F.row_number().over(chunked.window()) - 1})
+    for rows in sorted({n for _, n in spans.values()}):
+        sources = sorted({src for src, n in spans.values() if n == rows})
+        chunked = chunked.with_columns({"_block": F.floor(F.col("_row") / rows)})
+        block = Window.partitionBy(*chunk, "_block")
+        chunked = chunked.with_columns({f"_from_start_{c}": _sums(c, block.orderBy("_row")) for c in sources})
+        chunked = chunked.with_columns({f"_to_end_{c}": _sums(c, block.orderBy(F.desc("_row"))) for c in sources})
+        order = Window.partitionBy(*chunk).orderBy("_row")
+        whole = F.col("_row") % rows == rows - 1
+        out: dict[str, Column] = {}
+        for new, (src, n) in spans.items():
+            if n == rows:
+                before = F.when(~whole, F.lag(f"_to_end_{src}", rows - 1).over(order))
+                total = F.col(f"_from_start_{src}.sum") + F.coalesce(before["sum"], F.lit(0.0))
+                count = F.col(f"_from_start_{src}.n") + F.coalesce(before["n"], F.lit(0))
+                out[new] = F.when(count >= max(min_periods, 1), total / count)
+        chunked = chunked.with_columns(out)
+    return chunked
 
 
 def add_windows(
@@ -35,24 +59,16 @@ def add_windows(
 ) -> DataFrame:
     """Rolling means and lags in one pass: ``means`` {new: source or (source, rows)}, ``lags`` {new: (source, n)}.
 
-    A rolling mean is the difference of two running sums inside the chunk, so its cost does not
-    grow with the window. It is null with fewer than ``min_periods`` values in the window.
+    The cost of a rolling mean does not grow with the window, see ``_block_sums``. It is null with
+    fewer than ``min_periods`` values in the window.
     """
     lags, keys = lags or {}, list(keys)
     spans = {new: src if isinstance(src, tuple) else (src, window_rows) for new, src in (means or {}).items()}
     reach = max([n - 1 for _, n in spans.values()] + [n for _, n in lags.values()] + [0])
     chunked = cut(df, keys, ts, before=reach, chunk_rows=chunk_rows)
     w = chunked.window()
-    sources = sorted({src for src, _ in spans.values()})
-    shifted = chunked.with_columns(
-        {**_running(sources, w), **{new: F.lag(src, n).over(w) for new, (src, n) in lags.items()}}
-    )
-    out: dict[str, Column] = {}
-    for new, (src, rows) in spans.items():
-        total = F.col(f"_sum_{src}") - F.coalesce(F.lag(f"_sum_{src}", rows).over(w), F.lit(0))
-        count = F.col(f"_cnt_{src}") - F.coalesce(F.lag(f"_cnt_{src}", rows).over(w), F.lit(0))
-        out[new] = F.when(count >= max(min_periods, 1), total.cast("double") / count)
-    return (shifted.with_columns(out) if out else shifted).home_rows()
+    shifted = chunked.with_columns({new: F.lag(src, n).over(w) for new, (src, n) in lags.items()}) if lags else chunked
+    return (_block_sums(shifted, spans, min_periods) if spans else shifted).home_rows()
 
 
 def rolling_mean(df, columns, ts, keys=(), window_rows=WEEK_PERIODS, min_periods=1, suffix="_7d_avg", **kw):
