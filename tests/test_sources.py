@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import UTC, period
+from wattline.functions import reference
 from wattline.sources import files, payloads, ranges, tables
 
 
@@ -151,3 +152,40 @@ def test_snapshots_truncate_and_log(spark, tmp_path):
     assert spark.read.parquet(path).count() == 0 and spark.read.parquet(path).columns == ["v", "b"]
     tables.append_run_log(spark, str(tmp_path / "runs"), {"alpha": 0.5}, {"loss": 1.5})
     assert spark.read.parquet(str(tmp_path / "runs")).first()["metrics"]["loss"] == 1.5
+
+
+def test_a_number_too_large_gives_null_not_an_error(spark):
+    text = '{"data":[{"from":"2024-01-01T00:00Z","intensity":{"actual":99999999999,"forecast":5}}]}'
+    row = payloads.flatten_intensity(spark.createDataFrame([(text,)], "value string")).first()
+    assert (row.intensity_actual, row.intensity_forecast) == (None, 5)
+
+
+def test_session_files_with_other_column_orders(spark, tmp_path):
+    names = list(files.SESSION_COLUMNS)
+    values = dict(zip(names, ["s1", "st1", "2024-01-01T00:00:00Z", "2024-01-01T01:00:00Z", "2.5"]))
+    for i, order in enumerate([names, names[::-1], names[2:] + names[:2]]):
+        (tmp_path / f"{i}.csv").write_text(",".join(order) + "\n" + ",".join(values[c] for c in order) + "\n")
+    rows = files.load_sessions(spark, str(tmp_path)).collect()
+    assert [(r.session_id, r.station_id, r.energy_kwh) for r in rows] == [("s1", "st1", 2.5)] * 3
+
+
+def test_broken_range_file_holds_nothing(spark, tmp_path):
+    (tmp_path / "bad.parquet").write_bytes(b"not parquet at all")
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    got = ranges.missing_ranges_in_file(spark, str(tmp_path / "bad.parquet"), start, end)
+    assert got.count() == 1
+    held = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 12))], "k int, settlement_period timestamp")
+    series = spark.createDataFrame([(1,), (2,)], "k int")
+    assert ranges.missing_ranges(held, start, end, keys=["k"], series=series).where("k = 2").count() == 1
+
+
+def test_latest_snapshot_is_a_complete_one(spark, tmp_path):
+    base = str(tmp_path / "snaps")
+    tables.write_snapshot(spark.range(3), base, dt.date(2024, 1, 1))
+    (tmp_path / "snaps" / "run_date=2024-01-02" / "_temporary").mkdir(parents=True)
+    assert tables.load_latest_snapshot(spark, base).count() == 3
+
+
+def test_holidays_of_any_year(spark):
+    got = {r[0] for r in reference.holiday_dimension(spark).collect()}
+    assert {dt.date(1969, 12, 25), dt.date(2150, 1, 1), dt.date(2150, 12, 25)} <= got

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Fuels of the generation mix, and those counted as low carbon.
@@ -125,10 +127,14 @@ def uk_holidays(year: int, include_easter_sunday: bool = True) -> set[dt.date]:
 
 
 def holiday_dimension(
-    spark: SparkSession, first_year: int = 1970, last_year: int = 2100, include_easter_sunday: bool = True
+    spark: SparkSession, first_year: int = 1583, last_year: int = 9998, include_easter_sunday: bool = True
 ) -> DataFrame:
-    """(holiday_date) for a fixed span of years: about ten rows a year, safe to broadcast."""
-    days = sorted(
-        d for y in range(first_year, last_year + 1) for d in uk_holidays(y, include_easter_sunday)
-    )
-    return spark.createDataFrame([(d,) for d in days], "holiday_date date")
+    """(holiday_date) of all years of the Gregorian calendar: about 75,000 dates, safe to broadcast."""
+    days = _holidays(first_year, last_year, include_easter_sunday)
+    return spark.createDataFrame(pa.table({"holiday_date": pa.array(days, pa.date32())}))
+
+
+@lru_cache(maxsize=8)
+def _holidays(first_year: int, last_year: int, include_easter_sunday: bool) -> tuple[dt.date, ...]:
+    years = range(first_year, last_year + 1)
+    return tuple(sorted(d for y in years for d in uk_holidays(y, include_easter_sunday)))

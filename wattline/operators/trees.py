@@ -23,7 +23,7 @@ from wattline.operators.evaluate import fold_members, pinball
 from wattline.session import settled
 from wattline.sources.tables import child_names
 
-MISSING = -1.0  # stands below every real value of the features used, so trees can split it off
+MISSING = -1e12  # stands below every real value, so trees can split it off
 
 
 def with_vector(df: DataFrame, features: list[str], name: str = "features") -> DataFrame:
@@ -149,14 +149,16 @@ def save_models(models: dict[str, QuantileTrees], base: str, spark: SparkSession
     path = f"{base}/model_date={day.isoformat()}"
     for name, model in models.items():
         model.save(f"{path}/{name}", spark)
+    spark.createDataFrame([(name,) for name in models], "model string").write.mode("overwrite").parquet(f"{path}/_COMPLETE")
     return path
 
 
 def load_latest_models(base: str, spark: SparkSession, names: list[str] = ("p10", "p50", "p90")) -> dict[str, QuantileTrees]:
-    days = [n for n in child_names(spark, base) if n.startswith("model_date=")]
-    if not days:
-        raise FileNotFoundError(f"no models below {base}")
-    return {n: QuantileTrees.load(f"{base}/{days[-1]}/{n}", spark) for n in names}
+    """The newest day with all models; one that is being written has not all yet."""
+    for day in sorted((n for n in child_names(spark, base) if n.startswith("model_date=")), reverse=True):
+        if "_COMPLETE" in child_names(spark, f"{base}/{day}"):
+            return {n: QuantileTrees.load(f"{base}/{day}/{n}", spark) for n in names}
+    raise FileNotFoundError(f"no models below {base}")
 
 
 def default_estimators(seed: int = 42) -> dict:

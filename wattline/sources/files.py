@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +40,16 @@ def normalise_sessions(raw: DataFrame) -> DataFrame:
 
 
 def load_sessions(spark: SparkSession, path: str) -> DataFrame:
-    return normalise_sessions(spark.read.option("header", True).csv(path))
+    """All CSV files at ``path``, each with its columns in an order of its own."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    names_all = reduce(lambda a, b: a & b, [F.contains("value", F.lit(c)) for c in SESSION_COLUMNS])
+    heads = lines.groupBy("file").agg(F.min(F.when(names_all, F.col("value"))).alias("header"))
+    # Files with one header are read together; the driver sees a row for each file.
+    forms: dict[str | None, list[str]] = {}
+    for r in heads.collect():
+        forms.setdefault(r.header, []).append(r.file)
+    parts = [normalise_sessions(spark.read.option("header", True).csv(files)) for files in forms.values()]
+    return reduce(DataFrame.unionByName, parts) if parts else normalise_sessions(spark.read.option("header", True).csv(path))
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

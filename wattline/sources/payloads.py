@@ -45,8 +45,8 @@ def flatten_intensity(payloads: DataFrame, column: str = "value") -> DataFrame:
     rows = _entries(payloads, column, f"from:string,intensity:{_INTENSITY}")
     return rows.select(
         parse_time(F.col("e.from"), PERIOD_PATTERNS).alias("settlement_period"),
-        to_whole(F.col("e.intensity.actual")).cast("int").alias("intensity_actual"),
-        to_whole(F.col("e.intensity.forecast")).cast("int").alias("intensity_forecast"),
+        to_whole(F.col("e.intensity.actual")).try_cast("int").alias("intensity_actual"),
+        to_whole(F.col("e.intensity.forecast")).try_cast("int").alias("intensity_forecast"),
     )
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 
 def _instant(value) -> Column:
@@ -18,13 +20,24 @@ def _instant(value) -> Column:
     return F.lit(value).cast("timestamp")
 
 
-def missing_ranges(held: DataFrame, start, end, ts: str = "settlement_period", keys: list[str] = ()) -> DataFrame:
+def missing_ranges(
+    held: DataFrame,
+    start,
+    end,
+    ts: str = "settlement_period",
+    keys: list[str] = (),
+    series: DataFrame | None = None,
+) -> DataFrame:
     """(keys, range_start, range_end): what lies before and after the data held.
 
-    Holes inside the data are not looked for. Without keys, no data gives the whole range.
+    Holes inside the data are not looked for. Without keys, no data gives the whole range; so does a
+    series of ``series`` (a table of keys) without data.
     """
     lo, hi = _instant(start), _instant(end)
     seen = held.groupBy(*keys).agg(F.min(ts).alias("_min"), F.max(ts).alias("_max"))
+    if series is not None:
+        listed = series.select(*keys).distinct().withColumns({c: F.lit(None).cast("timestamp") for c in ("_min", "_max")})
+        seen = seen.unionByName(listed).groupBy(*keys).agg(F.max("_min").alias("_min"), F.max("_max").alias("_max"))
     ranges = F.array(
         F.struct(lo.alias("range_start"), F.coalesce(F.col("_min"), hi).alias("range_end")),
         F.struct(F.col("_max").alias("range_start"), hi.alias("range_end")),
@@ -36,7 +49,12 @@ def missing_ranges_in_file(spark: SparkSession, path: str, start, end, ts: str =
     """As above for a Parquet path; one that cannot be read counts as holding nothing."""
     try:
         held = spark.read.parquet(path).select(F.col(ts).cast("timestamp").alias(ts))
-    except AnalysisException:
+        # The two times that matter, read here, where a broken file can still be seen.
+        extent = held.agg(F.min(ts).alias("a"), F.max(ts).alias("b")).select(F.explode(F.array("a", "b")).alias(ts))
+        rows = extent.collect()
+        held = spark.createDataFrame(rows, f"`{ts}` timestamp")
+    except (AnalysisException, Py4JJavaError, SparkRuntimeException) as broken:
+        logging.getLogger(__name__).warning("%s counts as holding nothing: %s", path, type(broken).__name__)
         held = spark.createDataFrame([], f"`{ts}` timestamp")
     return missing_ranges(held, start, end, ts)
 

@@ -135,10 +135,11 @@ def write_snapshot(df: DataFrame, base: str, run_date: dt.date | None = None) ->
 
 
 def load_latest_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    found = [n for n in child_names(spark, base) if n.startswith("run_date=")]
-    if not found:
-        raise FileNotFoundError(f"no snapshot below {base}")
-    return spark.read.parquet(f"{base}/{found[-1]}")
+    """The newest complete snapshot; one that is being written, or was broken off, doesn't count."""
+    for day in sorted((n for n in child_names(spark, base) if n.startswith("run_date=")), reverse=True):
+        if "_SUCCESS" in child_names(spark, f"{base}/{day}"):
+            return spark.read.parquet(f"{base}/{day}")
+    raise FileNotFoundError(f"no snapshot below {base}")
 
 
 def append_run_log(spark: SparkSession, path: str, params: dict, metrics: dict[str, float]) -> None:
