@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import join_null_safe
@@ -91,7 +91,15 @@ def schedule_handler(path: str, forecast: Callable[[], DataFrame], max_rate_kw:
 
 
 def forecast_window(readings: DataFrame, start, end, history: str = "14 days") -> DataFrame:
-    """Feature rows of [start, end): read from two weeks earlier, so that the lags are there."""
-    first = F.lit(start).cast("timestamp") - F.expr(f"INTERVAL {history}")
-    span = readings.filter((F.col(TS) >= first) & (F.col(TS) < F.lit(end).cast("timestamp")))
-    return gold_carbon(span).filter(F.col(TS) >= F.lit(start).cast("timestamp"))
+    """Feature rows of [start, end) with their full history: lags count rows, so it reaches back over
+    ``history`` and, for a series with gaps, as many days further as hold the rows of its longest lag."""
+    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    first = F.date_trunc("day", lo - F.expr(f"INTERVAL {history}"))
+    days = readings.filter(F.col(TS) < lo).groupBy("region_id", F.date_trunc("day", TS).alias("_day")).agg(F.count("*").alias("_n"))
+    later = Window.partitionBy("region_id").orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    # Days are needed as long as the later ones hold fewer rows than the longest lag.
+    needed = days.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).filter(F.col("_later") < WEEK_PERIODS)
+    reach = needed.groupBy("region_id").agg(F.least(F.min("_day"), first).alias("_from"))
+    known = join_null_safe(readings.filter(F.col(TS) < hi), reach, ["region_id"], "left")
+    span = known.filter(F.col(TS) >= F.coalesce("_from", first)).drop("_from")
+    return gold_carbon(span).filter(F.col(TS) >= lo)
