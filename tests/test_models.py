@@ -22,17 +22,54 @@ def panel(spark):
     return spark.createDataFrame(rows, "k int, t timestamp, x double, z double, y double").cache()
 
 
-def brute_force(x, y, alpha):
-    """The same estimator on one series in memory."""
+def pinball_loss(residual, alpha):
+    return np.mean(np.maximum(alpha * residual, (alpha - 1) * residual))
+
+
+def best_loss(x, y, alpha):
+    """The least attainable loss, by linear descent on ever sharper smoothings, independent of the estimator."""
     a = np.column_stack([np.ones(len(y)), x])
     beta = np.linalg.lstsq(a, y, rcond=None)[0]
-    scale = np.sqrt(np.mean((y - a @ beta) ** 2))
-    for i in range(q.PASSES):
-        h = scale * max(0.5**i, q.NARROWEST)
-        p = 1 / (1 + np.exp(np.clip((y - a @ beta) / h, -30, 30)))
-        curvature = (a * (p * (1 - p) / h + q.DAMPING / scale)[:, None]).T @ a
-        beta = beta - np.linalg.solve(curvature, a.T @ (p - alpha))
-    return beta
+    beta[0] += np.quantile(y - a @ beta, alpha)
+    best, width = pinball_loss(y - a @ beta, alpha), np.median(np.abs(y - a @ beta))
+    for width in width * 0.5 ** np.arange(12):
+        for _ in range(40):
+            z = np.clip((y - a @ beta) / width, -30, 30)
+            p = 1 / (1 + np.exp(z))
+            hessian = (a * (p * (1 - p) / width)[:, None]).T @ a + 1e-6 * np.eye(a.shape[1])
+            step = np.linalg.solve(hessian, a.T @ (p - alpha))
+            size = 1.0
+            while size > 1e-4 and pinball_loss(y - a @ (beta - size * step), alpha) > best:
+                size /= 2
+            if size <= 1e-4:
+                break
+            beta = beta - size * step
+            best = pinball_loss(y - a @ beta, alpha)
+    return best
+
+
+@pytest.mark.parametrize("errors", ["normal", "lognormal", "tied"])
+def test_fit_reaches_the_quantiles_of_any_errors(spark, errors):
+    rng = np.random.default_rng(11)
+    noise = {"normal": rng.normal(0, 2, 3000), "lognormal": rng.lognormal(0, 1.5, 3000), "tied": np.round(rng.exponential(40, 3000))}
+    x = rng.normal(size=(3000, 2))
+    y = 5 + x @ [2.0, -1.0] + noise[errors]
+    rows = [(period(i), float(a), float(b), float(v)) for i, ((a, b), v) in enumerate(zip(x, y))]
+    indexed = q.indexed_rows(spark.createDataFrame(rows, "t timestamp, x double, z double, y double"), "y", ["x", "z"], "t", [])
+    for r in q.fit(indexed, "y", ["x", "z"], n_splits=1).filter("fold = 1").collect():
+        residual = y - np.column_stack([np.ones(3000), x]) @ np.array(r["coef"])
+        assert r["converged"]
+        assert pinball_loss(residual, r["alpha"]) <= 1.01 * best_loss(x, y, r["alpha"])
+        assert abs((residual <= 0).mean() - r["alpha"]) <= 0.02
+
+
+def test_short_series_has_a_final_model(spark):
+    rng = np.random.default_rng(2)
+    rows = [(period(i), k, float(rng.normal()), float(i % 7)) for k, n in ((1, 400), (2, 50)) for i in range(n)]
+    df = spark.createDataFrame(rows, "t timestamp, k int, y double, x double")
+    models, _ = q.train_per_series(df, "y", ["x"], "t", ["k"])
+    assert {(r["k"], r["fold"]) for r in models.collect()} == {(1, f) for f in range(6)} | {(2, 5)}
+    assert q.score(df, models, ["x"], ["k"]).count() == 450
 
 
 def test_grouped_regression_equals_brute_force(panel):
@@ -42,8 +79,9 @@ def test_grouped_regression_equals_brute_force(panel):
     assert len(final) == 6 and models.count() == 2 * 3 * 6
     for r in final:
         g = pdf[pdf.k == r["k"]]
-        expected = brute_force(g[["x", "z"]].to_numpy(), g["y"].to_numpy(), r["alpha"])
-        np.testing.assert_allclose(r["coef"], expected, rtol=1e-5, atol=1e-6)
+        x, y = g[["x", "z"]].to_numpy(), g["y"].to_numpy()
+        residual = y - np.column_stack([np.ones(len(y)), x]) @ np.array(r["coef"])
+        assert pinball_loss(residual, r["alpha"]) <= 1.01 * best_loss(x, y, r["alpha"])
     losses = {(r["k"], r["alpha"]): r for r in summary.collect()}
     assert len(losses) == 6
     assert losses[(1, 0.5)]["pinball_loss"] == pytest.approx(losses[(1, 0.5)]["mae"] / 2)

@@ -89,8 +89,8 @@ def fold_members(
 ) -> DataFrame:
     """``folds`` of rows that carry row_no and series_rows: narrow, so it can be redone per pass.
 
-    ``final`` adds fold ``n_splits``, which trains on all rows. A series too short for the folds
-    is an error, or left out with ``on_short="skip"``.
+    ``final`` adds fold ``n_splits``, which trains on all rows. A series too short for the folds is an
+    error; with ``on_short="skip"`` it has no folds but still takes part in the final one.
     """
     n, row = F.col("series_rows"), F.col("row_no")
     size = F.floor(n / (n_splits + 1))
@@ -99,11 +99,11 @@ def fold_members(
         text = F.lit(f"a series is too short for {n_splits} folds with gap {gap}")
         rows = indexed.withColumn("row_no", F.when(short, F.raise_error(text).cast("long")).otherwise(row))
     else:
-        rows = indexed.filter(~short)
+        rows = indexed if final else indexed.filter(~short)
 
     def member(i: int) -> Column:
         start = n - (n_splits - i) * size
-        role = F.when((row >= start) & (row < start + size), "test").when(row < start - gap, "train")
+        role = F.when(short, None).when((row >= start) & (row < start + size), "test").when(row < start - gap, "train")
         return F.when(role.isNotNull(), F.struct(F.lit(i).alias("fold"), role.alias("role")))
 
     members = [member(i) for i in range(n_splits)]

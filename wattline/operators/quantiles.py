@@ -1,14 +1,18 @@
 """Linear quantile regression of many series at once, as repeated grouped aggregations.
 
-Every series, fold and quantile is one small model. The quantile loss is smoothed with a logistic
-kernel whose width shrinks from pass to pass (convolution-smoothed quantile regression, a
-published method), and each pass is one Newton step. A pass sums the gradient and curvature per
-model; the sums are combined map-side, so a hot series costs its task no more than any other.
-The step itself (a few dozen numbers per model) is solved as rows of a distributed table.
+Every series, fold and quantile is one small model. Each pass replaces the quantile loss by the
+quadratic that touches it at the present residuals and lies above it elsewhere (majorisation, a
+published method), which needs no scale of the errors, and goes to its minimum and somewhat beyond.
+A pass sums the normal equations per model; the sums are combined map-side, so a hot series costs
+its task no more than any other. The step itself (a few dozen numbers per model) is solved as rows
+of a distributed table. Models whose loss no longer falls leave the passes; one that still moves
+after the last pass is marked as not converged.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +22,13 @@ from wattline.functions.columns import join_null_safe
 from wattline.functions.reference import ALPHAS, DAY_PERIODS
 from wattline.operators.evaluate import fold_members, pinball
 from wattline.operators.windows import row_index
-from wattline.session import BROADCAST_ROWS, settled
+from wattline.session import BROADCAST_BYTES, settled
 
 RIDGE = 1e-8
-PASSES = 6
-NARROWEST = 0.1  # kernel width of the last passes, in residual standard deviations
-DAMPING = 0.02  # share of the least-squares curvature added to each step
+PASSES = 60  # at most
+SETTLED = 2e-4  # relative fall of the loss in one pass at which a model is done
+SHARPNESS = 0.01  # residuals count as this share of their mean size at least
+BEYOND = 1.7  # length of a step in distances to the quadratic's minimum; below 2 the loss still falls
 
 
 def quantile_name(alpha: float) -> str:
@@ -50,26 +55,26 @@ def _start_sums(rows: DataFrame, by: list[str], features: list[str], target: str
     )
 
 
-def _step_sums(rows: DataFrame, by: list[str], features: list[str], width: float) -> DataFrame:
-    """Gradient and curvature of the smoothed loss per model; ``_r`` is the residual."""
+def _step_sums(rows: DataFrame, by: list[str], features: list[str], target: str) -> DataFrame:
+    """Normal equations of the touching quadratic per model, and its loss; ``_r`` is the residual."""
     x, pairs = _pairs(features)
-    h = F.col("scale") * width
-    # Share of the kernel below zero, as a smooth stand-in for "the residual is negative".
-    below = 1 / (1 + F.exp(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("_r") / h))))
-    kernel = rows.withColumns({"_p": below}).withColumns(
-        {"_g": F.col("_p") - F.col("alpha"), "_h": F.col("_p") * (1 - F.col("_p")) / h + F.lit(DAMPING) / F.col("scale")}
-    )
-    return kernel.groupBy(*by).agg(
-        F.expr(f"array({', '.join(f'sum(_h * {p})' for p in pairs)})").alias("gram"),
-        F.expr(f"array({', '.join(f'sum(_g * {xi})' for xi in x)})").alias("cross"),
+    size = F.abs("_r") + F.col("scale") * SHARPNESS
+    weighed = rows.withColumns({"_w": 1 / size, "_t": F.col(target) / size + 2 * F.col("alpha") - 1})
+    return weighed.groupBy(*by).agg(
+        F.expr(f"array({', '.join(f'sum(_w * {p})' for p in pairs)})").alias("gram"),
+        F.expr(f"array({', '.join(f'sum(_t * {xi})' for xi in x)})").alias("cross"),
+        F.avg(F.greatest(F.col("alpha") * F.col("_r"), (F.col("alpha") - 1) * F.col("_r"))).alias("loss"),
+        F.avg(F.abs("_r")).alias("size"),
         F.first("coef").alias("coef"),
-        F.first("scale").alias("scale"),
+        F.first("before").alias("before"),
     )
 
 
 def _solve(sums: DataFrame, by: list[str], size: int) -> DataFrame:
-    """(by, coef, scale): the least-squares fit, or the coefficients one Newton step further."""
-    ridge, stepping = RIDGE, "coef" in sums.columns
+    """(by, coef, scale, before, converged): the least-squares fit, or the coefficients one step further.
+
+    A model whose loss has not fallen keeps its coefficients and has converged."""
+    ridge, stepping, beyond, settled_at = RIDGE, "coef" in sums.columns, BEYOND, SETTLED
 
     def solve(batches):
         import numpy as np
@@ -87,16 +92,21 @@ def _solve(sums: DataFrame, by: list[str], size: int) -> DataFrame:
         for pdf in batches:
             found = [solved(g, c) for g, c in zip(pdf["gram"], pdf["cross"])]
             if stepping:
-                found = [np.asarray(old) - step for old, step in zip(pdf["coef"], found)]
+                old = [np.asarray(c) for c in pdf["coef"]]
+                pdf["converged"] = (pdf["before"] - pdf["loss"] <= settled_at * pdf["before"]).fillna(False)
+                found = [o if done else o + beyond * (f - o) for o, f, done in zip(old, found, pdf["converged"])]
+                pdf["scale"], pdf["before"] = pdf["size"] + 1e-9, pdf["loss"]
             else:
+                pdf["before"], pdf["converged"] = None, False
                 # Sum of squared residuals of a least-squares fit is y·y - coef·(x·y).
                 left = [max(q - float(b @ np.asarray(c)), 0.0) for q, b, c in zip(pdf["square"], found, pdf["cross"])]
                 pdf["scale"] = [float(np.sqrt(s / max(g[0], 1.0))) + 1e-6 for s, g in zip(left, pdf["gram"])]
             pdf["coef"] = found
-            yield pdf[[*by, "coef", "scale"]]
+            pdf["before"] = pdf["before"].astype("float64")
+            yield pdf[[*by, "coef", "scale", "before", "converged"]]
 
-    kept = sums.select(*by).schema
-    return sums.mapInPandas(solve, kept.add("coef", T.ArrayType(T.DoubleType())).add("scale", "double"))
+    kept = sums.select(*by).schema.add("coef", T.ArrayType(T.DoubleType())).add("scale", "double")
+    return sums.mapInPandas(solve, kept.add("before", "double").add("converged", "boolean"))
 
 
 def indexed_rows(df: DataFrame, target: str, features: list[str], ts: str, keys: list[str]) -> DataFrame:
@@ -117,22 +127,29 @@ def fit(
     gap: int = DAY_PERIODS,
     passes: int = PASSES,
 ) -> DataFrame:
-    """(keys, fold, alpha, coef) for every walk-forward fold, and fold ``n_splits`` for all rows.
+    """(keys, fold, alpha, coef, converged) for every walk-forward fold, and fold ``n_splits`` for all rows.
 
-    Coefficients are checkpointed after each pass, so the plan does not grow with the passes.
+    A series too short for the folds has the last model only. Coefficients are checkpointed after each
+    pass, so the plan does not grow with the passes.
     """
     keys = list(keys)
     train = fold_members(indexed, n_splits, gap, "skip", final=True).filter("role = 'train'")
     size = len(features) + 1
     start = _solve(_start_sums(train, [*keys, "fold"], features, target), [*keys, "fold"], size)
-    each_alpha = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
-    models = settled(start.select(*keys, "fold", each_alpha, "coef", "scale"))
-    few = models.count() <= BROADCAST_ROWS  # the number of models is the same after every pass
+    each_alpha = F.explode(F.array(*[F.lit(float(a)) for a in alphas]))
     by = [*keys, "fold", "alpha"]
-    for i in range(passes):
+    columns = [*by, "coef", "scale", "before", "converged"]
+    models = settled(start.withColumn("alpha", each_alpha).select(*columns))
+    few = models.count() * 8 * (size + 8) <= BROADCAST_BYTES  # the number of models stays the same
+    done: list[DataFrame] = []
+    for _ in range(passes):
         current = join_null_safe(train, F.broadcast(models) if few else models, [*keys, "fold"]).withColumn("_r", F.col(target) - _dot(features, "coef"))
-        models = settled(_solve(_step_sums(current, by, features, max(0.5**i, NARROWEST)), by, size))
-    return models.drop("scale")
+        models = settled(_solve(_step_sums(current, by, features, target), by, size).select(*columns))
+        done.append(models.filter("converged"))
+        models = models.filter("not converged")
+        if models.isEmpty():
+            break
+    return settled(reduce(DataFrame.unionByName, done, models)).drop("scale", "before")
 
 
 def _wide_models(models: DataFrame, by: list[str], alphas: list[float]) -> DataFrame:
@@ -145,7 +162,11 @@ def _wide_models(models: DataFrame, by: list[str], alphas: list[float]) -> DataF
 
 
 def _predict(rows: DataFrame, models: DataFrame, by: list[str], features: list[str], alphas: list[float]) -> DataFrame:
-    joined = join_null_safe(rows, _wide_models(models, by, alphas), by)
+    # One row per series and fold: read once, and broadcast while its bytes are few, so rows stay where they are.
+    wide = settled(_wide_models(models, by, alphas))
+    numbers = wide.agg(F.sum(reduce(lambda a, b: a + b, [F.size(f"_coef_{quantile_name(a)}") for a in alphas]))).first()[0]
+    small = (numbers or 0) * 8 <= BROADCAST_BYTES
+    joined = join_null_safe(rows, F.broadcast(wide) if small else wide, by)
     names = [quantile_name(a) for a in alphas]
     return joined.withColumns({n: _dot(features, f"_coef_{n}") for n in names}).drop(*[f"_coef_{n}" for n in names])
 

@@ -64,6 +64,7 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 BROADCAST_ROWS = 300_000
+BROADCAST_BYTES = 32 << 20
 
 
 def settled(df: DataFrame) -> DataFrame:
