@@ -10,37 +10,43 @@ from wattline.operators import charging as ch
 from wattline.operators import evaluate, quantiles, trees
 from wattline.operators.windows import row_index
 from wattline.plans import medallion, national
+from wattline.session import settled
 
 TS, TARGET, KEYS = "settlement_period", "carbon_intensity", ["region_id"]
 LAG_FEATURES = ["lag_1", "lag_2", "lag_48", "lag_336", "rolling_avg_7day"]
 WEATHER_FEATURES = [*LAG_FEATURES, "temperature", "wind_speed", "radiation", "temp_roll_avg_7day"]
 
 
+def _dense_gold(t: Tables):
+    """Features of every region and slot: long enough for five folds with a gap of a day."""
+    return medallion.gold_carbon(t.dense_regional.select("region_id", F.col("slot").alias(TS), TARGET))
+
+
 def _gold(t: Tables):
-    return medallion.training_rows(medallion.gold_carbon(medallion.silver_carbon(t.regional_bronze)))
+    return medallion.training_rows(_dense_gold(t))
 
 
 def _gold_weather(t: Tables):
-    gold = medallion.gold_carbon(medallion.silver_carbon(t.regional_bronze))
+    gold = _dense_gold(t)
     both = medallion.gold_carbon_weather(gold, medallion.silver_weather(t.regional_weather))
     return medallion.training_rows(both)
 
 
 def train_regional(t: Tables):
-    _, summary = quantiles.train_per_series(_gold(t), TARGET, LAG_FEATURES, TS, KEYS, gap=24)
+    _, summary = quantiles.train_per_series(_gold(t), TARGET, LAG_FEATURES, TS, KEYS)
     return summary
 
 
 def train_regional_weather(t: Tables):
-    _, summary = quantiles.train_per_series(_gold_weather(t), TARGET, WEATHER_FEATURES, TS, KEYS, gap=24)
+    _, summary = quantiles.train_per_series(_gold_weather(t), TARGET, WEATHER_FEATURES, TS, KEYS)
     return summary
 
 
 def score_regional(t: Tables):
-    """Final models applied to every row with features; decision quality per region."""
-    gold = _gold(t)
-    models, _ = quantiles.train_per_series(gold, TARGET, LAG_FEATURES, TS, KEYS, alphas=[0.5], gap=24)
-    scored = quantiles.score(gold, models, LAG_FEATURES, KEYS, [0.5])
+    """Final models with weather applied to every row with features; decision quality per region."""
+    gold = settled(_gold_weather(t))
+    models, _ = quantiles.train_per_series(gold, TARGET, WEATHER_FEATURES, TS, KEYS, alphas=[0.5])
+    scored = quantiles.score(gold, models, WEATHER_FEATURES, KEYS, [0.5])
     return evaluate.decision_quality(scored, TARGET, "p50", KEYS)
 
 
@@ -78,7 +84,7 @@ def importance(t: Tables):
 def session_mixture(t: Tables):
     columns = ["arrival_hour", "duration_hours", "energy_kwh", "day_of_week"]
     features = ch.valid_sessions(ch.session_features(t.sessions))
-    model, aic, bic = trees.session_mixture(features, columns, max_iter=20)
+    model, aic, bic = trees.session_mixture(features, columns)
     rows = [(i, float(w), float(aic), float(bic)) for i, w in enumerate(model.weights)]
     return t.spark.createDataFrame(rows, "component int, weight double, aic double, bic double")
 

@@ -48,14 +48,14 @@ _RSP = f"concat(region_id, '/', {_SP})"
 _FUEL_SUM = "coalesce(gas, 0) + coalesce(nuclear, 0) + coalesce(wind, 0) + coalesce(solar, 0)"
 _FUEL_BAD = f"({_FUEL_SUM}) > 1.05e0 * greatest(gas, nuclear, wind, solar)"
 _SESSION_RULES = [
-    (1, "energy_kwh", "energy_kwh <= 0", "Values must be > 0"),
-    (2, "departure_time", "departure_time <= arrival_time", "departure_time must be after arrival_time"),
-    (4, "station_id", "station_id IS NULL", "station_id must not be null"),
+    (1, "energy_kwh", "energy_kwh <= 0", "not above 0"),
+    (2, "departure_time", "departure_time <= arrival_time", "departs no later than it arrives"),
+    (4, "station_id", "station_id IS NULL", "no station"),
 ]
 _WEATHER_RULES = [
-    (1, "temperature", "temperature < -30 OR temperature > 50", "Values must be in [-30.0, 50.0]"),
-    (2, "wind_speed", "wind_speed < 0 OR wind_speed > 150", "Values must be in [0.0, 150.0]"),
-    (3, "radiation", "radiation < 0", "Values must be >= 0.0"),
+    (1, "temperature", "temperature < -30 OR temperature > 50", "outside -30.0 to 50.0"),
+    (2, "wind_speed", "wind_speed < 0 OR wind_speed > 150", "outside 0.0 to 150.0"),
+    (3, "radiation", "radiation < 0", "below 0.0"),
 ]
 _WKEY = f"concat(city, '/', {TIME.format('timestamp')})"
 
@@ -70,19 +70,19 @@ def _rows(source: str, table: str, rules, key: str) -> str:
 
 _REPORT = f"""
     SELECT 'carbon_intensity' AS source, 4 AS rule_no, 'intensity_actual' AS field, {_SP} AS key,
-        'Values must be in [0, 800]' AS message FROM regional WHERE carbon_intensity < 0 OR carbon_intensity > 800
-    UNION ALL SELECT 'generation_mix', 13, 'multiple', {_SP}, 'Row sum exceeds row max by more than 5%' FROM generation
+        'outside 0 to 800' AS message FROM regional WHERE carbon_intensity < 0 OR carbon_intensity > 800
+    UNION ALL SELECT 'generation_mix', 13, 'multiple', {_SP}, 'fuels add up to over 1.05 times the largest' FROM generation
         WHERE {_FUEL_BAD}
     UNION ALL SELECT 'ev_sessions', CASE WHEN energy_kwh <= 0 THEN 1 ELSE 2 END,
         CASE WHEN energy_kwh <= 0 THEN 'energy_kwh' ELSE 'departure_time' END, session_id,
-        CASE WHEN energy_kwh <= 0 THEN 'Values must be > 0' ELSE 'departure_time must be after arrival_time' END
+        CASE WHEN energy_kwh <= 0 THEN 'not above 0' ELSE 'departs no later than it arrives' END
         FROM sessions WHERE energy_kwh <= 0 OR departure_time <= arrival_time
     UNION ALL SELECT 'weather', CASE WHEN temperature < -30 OR temperature > 50 THEN 1 WHEN wind_speed < 0 OR
         wind_speed > 150 THEN 2 WHEN radiation < 0 THEN 3 ELSE 4 END, CASE WHEN temperature < -30 OR temperature > 50
         THEN 'temperature' WHEN wind_speed < 0 OR wind_speed > 150 THEN 'wind_speed' WHEN radiation < 0 THEN 'radiation'
-        ELSE 'city' END, {_WKEY}, CASE WHEN temperature < -30 OR temperature > 50 THEN 'Values must be in [-30.0, 50.0]'
-        WHEN wind_speed < 0 OR wind_speed > 150 THEN 'Values must be in [0.0, 150.0]' WHEN radiation < 0
-        THEN 'Values must be >= 0.0' ELSE 'Missing cities for timestamp' END FROM weather"""
+        ELSE 'city' END, {_WKEY}, CASE WHEN temperature < -30 OR temperature > 50 THEN 'outside -30.0 to 50.0'
+        WHEN wind_speed < 0 OR wind_speed > 150 THEN 'outside 0.0 to 150.0' WHEN radiation < 0
+        THEN 'below 0.0' ELSE 'other cities lack this time' END FROM weather"""
 
 QUERIES = {
     "quality_carbon": (
@@ -91,7 +91,7 @@ QUERIES = {
             "regional",
             _rows(
                 "carbon_intensity", "regional",
-                [(4, "intensity_actual", "carbon_intensity < 0 OR carbon_intensity > 800", "Values must be in [0, 800]")], _RSP,
+                [(4, "intensity_actual", "carbon_intensity < 0 OR carbon_intensity > 800", "outside 0 to 800")], _RSP,
             )
             + f""" UNION ALL SELECT 'carbon_intensity', 3, 'settlement_period', {_RSP}, 'Expected 30 minutes between rows'
             FROM (SELECT *, lag(settlement_period) OVER (PARTITION BY region_id ORDER BY settlement_period) AS p FROM regional)
@@ -104,7 +104,7 @@ QUERIES = {
             "generation",
             _rows(
                 "generation_mix", "generation",
-                [(13, "multiple", _FUEL_BAD, "Row sum exceeds row max by more than 5%")], _SP,
+                [(13, "multiple", _FUEL_BAD, "fuels add up to over 1.05 times the largest")], _SP,
             )
             + f""" UNION ALL SELECT 'generation_mix', 3, 'settlement_period', {_SP}, 'Expected 30 minutes between rows'
             FROM (SELECT *, lag(settlement_period) OVER (ORDER BY settlement_period) AS p FROM generation)
@@ -116,7 +116,7 @@ QUERIES = {
         sql(
             "weather",
             _rows("weather", "weather", _WEATHER_RULES, _WKEY)
-            + f""" UNION ALL SELECT 'weather', 4, 'city', {TIME.format('timestamp')}, concat('Missing cities: ',
+            + f""" UNION ALL SELECT 'weather', 4, 'city', {TIME.format('timestamp')}, concat('cities without a row: ',
             array_to_string(list_filter(['Edinburgh', 'London', 'Manchester'], lambda x: NOT list_contains(cities, x)), ', '))
             FROM (SELECT timestamp, list(DISTINCT city) AS cities FROM weather GROUP BY 1) WHERE len(cities) < 3""",
         ),

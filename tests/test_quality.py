@@ -52,7 +52,7 @@ def test_weather_rules(spark):
             ("London", period(2), 1.0, 1.0, 1.0)]
     got = q.check_weather(spark.createDataFrame(rows, schema))
     assert fields(got) == [(1, "temperature"), (2, "wind_speed"), (3, "radiation"), (4, "city")]
-    assert got.filter("rule_no = 4").first()["message"] == "Missing cities: Edinburgh, Manchester"
+    assert got.filter("rule_no = 4").first()["message"] == "cities without a row: Edinburgh, Manchester"
 
 
 def session(i, hours, kwh, station="st"):

@@ -86,29 +86,29 @@ def _first_violation(df: DataFrame, source: str, rules: list[Rule], key: Column)
 
 def _bounds_rule(no: int, field: str, low, high) -> Rule:
     bad = F.col(field) < F.lit(low)
-    text = f"Values must be >= {low}"
+    text = f"below {low}"
     if high is not None:
-        bad, text = bad | (F.col(field) > F.lit(high)), f"Values must be in [{low}, {high}]"
+        bad, text = bad | (F.col(field) > F.lit(high)), f"outside {low} to {high}"
     return no, field, bad, text
 
 
 def carbon_rules(df: DataFrame) -> list[Rule]:
     fields = [c for c in ("intensity_actual", "intensity_forecast") if c in df.columns]
-    null_time = (1, "settlement_period", F.col("settlement_period").isNull(), "Null settlement_period")
+    null_time = (1, "settlement_period", F.col("settlement_period").isNull(), "no time")
     return [null_time, *[_bounds_rule(4 + i, c, *INTENSITY_BOUNDS) for i, c in enumerate(fields)]]
 
 
 def generation_rules(df: DataFrame) -> list[Rule]:
     fuels = [c for c in FUELS if c in df.columns]
-    rules: list[Rule] = [(1, "settlement_period", F.col("settlement_period").isNull(), "Null settlement_period")]
-    rules += [(4 + i, c, F.col(c) < 0, "Fuel values must be >= 0") for i, c in enumerate(FUELS) if c in fuels]
+    rules: list[Rule] = [(1, "settlement_period", F.col("settlement_period").isNull(), "no time")]
+    rules += [(4 + i, c, F.col(c) < 0, "output below 0") for i, c in enumerate(FUELS) if c in fuels]
     if fuels and "total" in df.columns:
         total, summed = F.col("total"), row_sum(fuels)
         off = (summed < total * 0.95) | (summed > total * 1.05)
-        rules.append((SUM_RULE, "total", off, "Row sum not within 95-105% of stated total"))
+        rules.append((SUM_RULE, "total", off, "fuels add up to over 5% more or less than the total"))
     elif fuels:
         off = row_sum(fuels) > row_max(fuels) * 1.05
-        rules.append((SUM_RULE, "multiple", off, "Row sum exceeds row max by more than 5%"))
+        rules.append((SUM_RULE, "multiple", off, "fuels add up to over 1.05 times the largest"))
     return rules
 
 
@@ -121,14 +121,14 @@ def weather_rules(df: DataFrame) -> list[Rule]:
 def session_rules(df: DataFrame) -> list[Rule]:
     rules: list[Rule] = []
     if "energy_kwh" in df.columns:
-        rules.append((1, "energy_kwh", F.col("energy_kwh") <= 0, "Values must be > 0"))
+        rules.append((1, "energy_kwh", F.col("energy_kwh") <= 0, "not above 0"))
     if {"arrival_time", "departure_time"} <= set(df.columns):
         late = F.col("departure_time") <= F.col("arrival_time")
-        rules.append((2, "departure_time", late, "departure_time must be after arrival_time"))
+        rules.append((2, "departure_time", late, "departs no later than it arrives"))
     if "duration" in df.columns:
-        rules.append((3, "duration", F.col("duration") <= 0, "Values must be > 0"))
+        rules.append((3, "duration", F.col("duration") <= 0, "not above 0"))
     if "station_id" in df.columns:
-        rules.append((4, "station_id", F.col("station_id").isNull(), "station_id must not be null"))
+        rules.append((4, "station_id", F.col("station_id").isNull(), "no station"))
     return rules
 
 
@@ -147,7 +147,7 @@ def _time_rules(df: DataFrame, source: str, keys: list[str], step: str) -> list[
         )
 
     return [
-        rows(duplicate_times(df, ts, keys), 2, "Duplicate settlement_period"),
+        rows(duplicate_times(df, ts, keys), 2, "time occurs more than once"),
         rows(irregular_intervals(df, ts, keys, step), 3, f"Expected {step} between rows"),
     ]
 
@@ -182,7 +182,7 @@ def check_weather(df: DataFrame, cities: list[str] | None = None, source: str =
         F.lit("city").alias("field"),
         _key_text("timestamp", True).alias("key"),
         F.concat(
-            F.lit("Missing cities: "),
+            F.lit("cities without a row: "),
             F.concat_ws(
                 ", ",
                 *[
@@ -219,7 +219,7 @@ def report(frames: dict[str, DataFrame]) -> DataFrame:
         elif source == "generation_mix":
             parts.append(_first_violation(df, source, generation_rules(df), _key_text("settlement_period", True)))
         elif source == "weather":
-            lonely: Rule = (4, "city", F.col("timestamp").isNotNull(), "Missing cities for timestamp")
+            lonely: Rule = (4, "city", F.col("timestamp").isNotNull(), "other cities lack this time")
             parts.append(_first_violation(df, source, [*weather_rules(df), lonely], _weather_key()))
         elif source == "ev_sessions":
             parts.append(_first_violation(df, source, session_rules(df), _key_text("session_id", False)))

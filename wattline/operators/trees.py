@@ -23,6 +23,7 @@ from wattline.operators.evaluate import fold_members, pinball
 from wattline.session import settled
 from wattline.sources.tables import child_names
 
+MIXTURE_ROWS = 10_000  # vectors of a task while a mixture is fitted
 MISSING = -1e12  # stands below every real value, so trees can split it off
 
 
@@ -248,9 +249,11 @@ def permutation_importance(
 def session_mixture(features: DataFrame, columns: list[str], k: int = 5, seed: int = 42, max_iter: int = 100):
     """(model, AIC, BIC) of a full-covariance Gaussian mixture over session features."""
     rows = features.dropna(subset=columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(rows).select("features")
-    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter).fit(vectors)
+    # Stored once: every pass of the fit reads all vectors. Few rows are few tasks in each pass.
+    vectors = settled(VectorAssembler(inputCols=columns, outputCol="features").transform(rows).select("features"))
     n, d = vectors.count(), len(columns)
+    vectors = vectors.coalesce(max(1, -(-n // MIXTURE_ROWS)))
+    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter).fit(vectors)
     free = k - 1 + k * d + k * d * (d + 1) // 2
     log_likelihood = model.summary.logLikelihood
     return model, 2 * free - 2 * log_likelihood, free * math.log(n) - 2 * log_likelihood
