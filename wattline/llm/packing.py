@@ -31,7 +31,8 @@ def n_words(docs: DataFrame) -> Column:
 
 def bin_of(n: Column) -> Column:
     """Upper end of the bin of length ``n``: exact up to 256, then 128 bins an octave."""
-    step = F.expr("shiftleft(1L, cast(greatest(0, floor(log2(greatest(n, 1))) - 7) as int))")
+    octave = F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double")))
+    step = F.pow(F.lit(2.0), F.greatest(octave - 7, F.lit(0))).cast("long")
     return F.ceil(n / step) * step
 
 
