@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from wattline.llm.common import text_of
+from wattline.llm.common import ship, text_of
 from wattline.llm.token_counts import BATCH, MEMO_LENGTH, MEMO_WORDS, load
 
 SPACES = b" \t\n\r\x0b\x0c"
@@ -151,6 +151,7 @@ class Codec:
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids (array of int), decoded: the full output of encoding and decoding."""
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of(docs).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,6 +177,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256. Ids and decoded texts are
     hashed where they are made and do not leave the worker."""
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of(docs).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import wattline
 from wattline.session import work_path
 
 #: At most so many keys count as hot, so a table of hot keys may be broadcast at any input size.
@@ -14,6 +20,24 @@ HOT_ROWS = 2_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers of all executors, once for each application.
+
+    The driver serves the file; what was itself started from an archive has been shipped already."""
+    context, root = spark.sparkContext, Path(wattline.__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="wattline-code-"), "wattline.zip"))
+    with zipfile.ZipFile(archive, "w") as code:
+        for source in sorted(root.rglob("*.py")):
+            code.write(source, source.relative_to(root.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

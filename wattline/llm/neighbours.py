@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.common import stored
+from wattline.llm.common import ship, stored
 
 #: Neighbours of a query; every such-and-such id is a query.
 NEIGHBOURS, EVERY = 20, 20
@@ -126,6 +126,7 @@ def nearest(vectors: DataFrame, k: int = NEIGHBOURS, every: int = EVERY) -> Data
     Queries are the rows whose vec_id is divisible by ``every``. Ties go to the smaller vec_id.
     """
     spark = vectors.sparkSession
+    ship(spark)
     values = F.transform("embedding", lambda v: v.cast("double"))
     usable = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     good = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(usable, F.lit(False)))

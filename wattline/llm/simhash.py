@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import join_groups, stored, text_of
+from wattline.llm.common import join_groups, ship, stored, text_of
 from wattline.llm.graph import components
 
 SEED = 42
@@ -77,6 +77,7 @@ def fingerprint(h: np.ndarray, words: int) -> bytes:
 
 def fingerprints(docs: DataFrame, k: int, words: int) -> DataFrame:
     """doc_id, fp (binary), size (number of different shingles)."""
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of(docs).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,6 +288,7 @@ def links(points: DataFrame, radius: int, ratio: float = 0.0, home: int = HOME,
     ``points`` is a stored table of different (fp, size).
     """
     spark = points.sparkSession
+    ship(spark)
     total = points.count()
     # The sample depends on the values alone, so a repeated run builds the same tree.
     sample = points.orderBy(F.xxhash64("fp", "size"), "fp", "size").limit(SAMPLE).collect()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import join_groups, stored, text_of
+from wattline.llm.common import join_groups, ship, stored, text_of
 
 #: Words of a window and of an anchor.
 LENGTH, GRAM = 50, 20
@@ -176,6 +176,7 @@ def _removed(n: int, spans) -> np.ndarray:
 
 
 def _with_spans(docs: DataFrame, length: int, gram: int, *more) -> DataFrame:
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of(docs).alias("text"), *more).withColumn("version", F.xxhash64("text"))
     spans = _covered(rows.select("doc_id", "version", "text"), length, gram)
     return rows.join(spans, ["doc_id", "version"], "left")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from wattline.llm.common import stored, text_of
+from wattline.llm.common import ship, stored, text_of
 
 #: Characters of a chunk and of its overlap with the one before.
 CHUNK, OVERLAP = 32_768, 1_024
@@ -214,6 +214,7 @@ def token_counts(
     """One row per document: doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens)."""
     if not MARGIN < overlap < chunk:
         raise ValueError("an overlap is longer than MARGIN and shorter than a chunk")
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of(docs).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     small = rows.where(F.length("text") <= chunk).mapInArrow(

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import stored, text_of
+from wattline.llm.common import ship, stored, text_of
 
 #: Labelled rows that the model is fitted on, terms that it may use, neighbours that vote.
 EXAMPLES, TERMS, NEIGHBOURS = 8_192, 2_048, 15
@@ -211,6 +211,7 @@ def _term_counts(docs: DataFrame, chosen: list[str]) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[Model, DataFrame]:
     """The model, and the stored term counts of all documents."""
+    ship(docs.sparkSession)
     some = _labelled(docs, labels, examples)
     chosen = _choose(some)
     counted = _term_counts(docs, chosen)
