@@ -59,6 +59,25 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Bits of the filter of ``likely``, in bitmaps of Spark's 32,768 bits: 4 MB at any input size.
+FILTER_BITS, BITMAP_BITS = 1 << 25, 1 << 15
+
+
+def likely(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """All ``rows`` whose key is in ``wanted``, and few others: for use before a join that would else
+    shuffle wide rows for nothing. A filter of fixed size is broadcast; however many keys there are, no
+    row that has a partner is lost, only more of the others pass."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    hashed = wanted.select(bit.alias("_bit"))
+    maps = hashed.groupBy(F.floor(F.col("_bit") / BITMAP_BITS).alias("_map")).agg(
+        F.bitmap_construct_agg(F.col("_bit") % BITMAP_BITS).alias("_bits")
+    )
+    marked = rows.withColumn("_bit", bit).withColumn("_map", F.floor(F.col("_bit") / BITMAP_BITS))
+    joined = marked.join(F.broadcast(stored(maps, "filter")), "_map")
+    byte = F.expr("cast(conv(hex(substring(_bits, cast(_bit % 32768 div 8 as int) + 1, 1)), 16, 10) as int)")
+    return joined.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner") -> DataFrame:
     """``rows`` with the columns of their group, however many rows one group has.
 

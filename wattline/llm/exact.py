@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import SPACE, join_groups, stored, text_of
+from wattline.llm.common import SPACE, join_groups, likely, stored, text_of
 
 Digest = Callable[[Column], Column]
 
@@ -49,7 +49,7 @@ def _groups(docs: DataFrame, digest: Digest) -> tuple[DataFrame, DataFrame]:
 
     plain = stored(summed(keys, ["h"]), "exact-groups")
     several = plain.where("n > 1").select("h", "n")
-    suspects = join_groups(hashed, several, ["h"], ["doc_id"])
+    suspects = join_groups(likely(hashed, several, ["h"]), several, ["h"], ["doc_id"])
     mixed = stored(
         suspects.groupBy("h").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi")).where("lo <> hi").select("h"),
         "exact-mixed",

@@ -58,6 +58,19 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 48, 1))) AS i FROM d)),
+lo AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, k FROM (
+         SELECT win.doc_id, unnest(range(i, i + 50)) AS k FROM win JOIN lo ON win.s = lo.s WHERE win.doc_id > lo.m)),
+place AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (SELECT p.doc_id, string_agg(p.x, ' ' ORDER BY p.k) AS t, count(*) AS n FROM place p
+         LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.k = p.k WHERE g.k IS NULL GROUP BY p.doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
 OP9_SQL = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -82,4 +95,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op6_substring_dedup": OP6_SQL, "op9_exact_dedup": OP9_SQL}

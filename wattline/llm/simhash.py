@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import join_groups, ship, stored, text_of
+from wattline.llm.common import join_groups, likely, ship, stored, text_of
 from wattline.llm.graph import components
 
 SEED = 42
@@ -450,10 +450,9 @@ def drop_near_copies(
         "near-pairs",
     )
     ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
-    involved = ends.groupBy("a").agg(F.count("*").alias("n"))
-    texts = stored(
-        with_id.select(F.col("doc_id").alias("a"), text_of(with_id).alias("text")).join(involved, "a"), "near-texts"
-    )
+    involved = stored(ends.groupBy("a").agg(F.count("*").alias("n")), "near-involved")
+    named = with_id.select(F.col("doc_id").alias("a"), text_of(with_id).alias("text"))
+    texts = stored(likely(named, involved, ["a"]).join(involved, "a"), "near-texts")
     left = join_groups(pairs, texts.withColumnRenamed("text", "text_a"), ["a"], ["b"]).select("a", "b", "text_a")
     both = join_groups(left, texts.toDF("b", "text_b", "n"), ["b"], ["a"]).select("a", "b", "text_a", "text_b")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import join_groups, ship, stored, text_of
+from wattline.llm.common import join_groups, likely, ship, stored, text_of
 
 #: Words of a window and of an anchor.
 LENGTH, GRAM = 50, 20
@@ -149,9 +149,10 @@ def _covered(rows: DataFrame, length: int, gram: int) -> DataFrame:
         "doc_id", "version", F.greatest(F.col("at") - (length - gram), F.lit(0)).alias("start"), (F.col("at") + length).alias("end")
     )
     wanted = judged.where("doc_id = low and variants > 1").groupBy("doc_id", "version").agg(F.collect_set("at").alias("wanted"))
+    wanted = stored(wanted, "repeat-wanted")
     hashes = [T.StructField("start", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("w1", "w2"))]
     windows = stored(
-        source.join(wanted, ["doc_id", "version"]).select("doc_id", "version", "text", "wanted").mapInArrow(
+        likely(source, wanted, ["doc_id", "version"]).join(wanted, ["doc_id", "version"]).select("doc_id", "version", "text", "wanted").mapInArrow(
             _windows(length, gram), T.StructType([*key, *hashes])
         ),
         "repeat-windows",
