@@ -116,3 +116,35 @@ def test_stage_keeps_one_of_each_group(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_groups(none).collect() == [] and simhash.drop_near_copies(none).collect() == []
+
+
+def brute_kept(texts, k=5, similarity=0.8):
+    sets = []
+    for text in texts:
+        w = text.lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    edges = [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i)
+        if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])
+    ]
+    root = brute_roots(range(len(sets)), edges)
+    return sorted({root[i] for i in root})
+
+
+def test_stage_equals_brute_force_on_families_near_the_threshold(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    texts, shares = [], []
+    for family in range(40):
+        base = rng.choices(vocabulary, k=260)
+        texts += [" ".join(edited(rng, base, rng.choice([2, 3, 4, 5]))) for _ in range(8)]
+    template = rng.choices(vocabulary, k=200)  # one line that all pages of a kind hold
+    texts += [" ".join(template + rng.choices(vocabulary, k=rng.randint(30, 60))) for _ in range(80)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    for i in range(len(texts)):
+        shares += [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in range(i)]
+    assert sum(0.75 <= s < 0.8 for s in shares) > 50 and sum(0.8 <= s < 0.85 for s in shares) > 50
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == brute_kept(texts)

@@ -10,6 +10,9 @@ vantage points. Shards above the capacity are compared in blocks, so no task hol
 Neither pairs of equal texts nor all pairs of a dense group are written: every task returns a
 spanning forest of the links it has found, shortest links first.
 
+The corpus stage (``drop_near_copies``) needs no fingerprints: it finds all pairs of similar shingle
+sets by a prefix-filter join.
+
 Words are what stands between white space, A-Z lower-cased. Null and empty texts have no words and
 fingerprint zero, linked like any other. Only ``doc_id`` and ``text`` are read.
 """
@@ -22,7 +25,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -400,11 +403,92 @@ def near_groups(docs: DataFrame, k: int = 4, radius: int = 4) -> DataFrame:
 
 # ---- the corpus stage ---------------------------------------------------------------------
 
-#: Words of a shingle, least share of common shingles, 64-bit words of a fingerprint.
-SHINGLE, SIMILARITY, WORDS = 5, 0.8, 4
-#: Two sets of one size with that share differ in 15 % of the bits: 39 of 256, with a deviation of
-#: under 6. This radius is over two deviations more; the sets are compared exactly afterwards.
-RADIUS = 54
+#: Words of a shingle, least share of common shingles.
+SHINGLE, SIMILARITY = 5, 0.8
+#: About so many texts show which shingles are common; the most of those that are broadcast.
+COMMON_TEXTS, MOST_COMMON = 8_192, 500_000
+#: Members of a group that one task compares with all others.
+MEMBERS = 200
+
+
+def shingle_set(text: str, k: int) -> np.ndarray:
+    """The different shingle hashes, ascending; none without words."""
+    return np.unique(shingle_hashes(text, k))
+
+
+def least_common(size: int, similarity: float) -> int:
+    """Fewest shingles that a set of ``size`` has in common with any similar set."""
+    return int(np.ceil(similarity * size - 1e-9))
+
+
+def _common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, of shingles that several of a sample of texts hold, and how many do.
+
+    They only order the shingles of a set, so results do not depend on the sample."""
+    rate = max(1, docs.count() // COMMON_TEXTS)
+    some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(rate)) == 0).select(text_of(docs).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                yield pa.record_batch([pa.array(shingle_set(text.as_py(), k).view(np.int64))], names=["tok"])
+
+    counted = some.mapInArrow(run, "tok long").groupBy("tok").agg(F.count("*").alias("n")).where("n > 2")
+    got = counted.orderBy(F.desc("n"), "tok").limit(MOST_COMMON).toPandas().sort_values("tok")
+    return got["tok"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+
+
+def _prefixes(docs: DataFrame, k: int, similarity: float) -> DataFrame:
+    """tok, id, size, at: the rarest shingles of each set, with their places in the order of rarity.
+
+    All sets are ordered alike. Two similar sets have at least ``least_common`` shingles in common, so
+    each has one of these among its first size - least_common + 1: similar sets always share a row."""
+    spark = docs.sparkSession
+    ship(spark)
+    sent = spark.sparkContext.broadcast(_common_shingles(docs, k))
+    rows = docs.select(F.col("doc_id").alias("id"), text_of(docs).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = sent.value
+        for batch in batches:
+            toks, sizes, ats, take = [], [], [], []
+            for i, text in enumerate(batch.column("text")):
+                own = shingle_set(text.as_py(), k).view(np.int64)
+                n = len(own)
+                if not n:  # sets without shingles meet at a token of their own
+                    own = np.zeros(1, dtype=np.int64)
+                elif len(known):
+                    place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    often = np.where(known[place] == own, counts[place], 0)
+                    own = own[np.lexsort((own, often))]
+                own = own[: n - least_common(n, similarity) + 1]
+                toks.append(own)
+                sizes.append(np.full(len(own), n, dtype=np.int32))
+                ats.append(np.arange(len(own), dtype=np.int32))
+                take.append(np.full(len(own), i, dtype=np.int64))
+            if toks:
+                yield pa.record_batch(
+                    [
+                        pa.array(np.concatenate(toks)),
+                        batch.column("id").take(pa.array(np.concatenate(take))),
+                        pa.array(np.concatenate(sizes)),
+                        pa.array(np.concatenate(ats)),
+                    ],
+                    names=["tok", "id", "size", "at"],
+                )
+
+    more = [T.StructField("size", T.IntegerType()), T.StructField("at", T.IntegerType())]
+    return rows.mapInArrow(run, T.StructType([T.StructField("tok", T.LongType()), rows.schema["id"], *more]))
+
+
+def _possible(other: str, similarity: float) -> Column:
+    """False only if the places of the shared shingle leave too few others to be in common."""
+    size, at = F.col(f"{other}.size"), F.col(f"{other}.at")
+    most = F.least("at", at) + 1 + F.least(F.col("size") - F.col("at"), size - at) - 1
+    wanted = F.col("size") + size
+    return ((wanted == 0) | (most * (1 + similarity) >= similarity * wanted - 1e-6)) & (
+        F.least("size", size) >= similarity * F.greatest("size", size) - 1e-6
+    )
 
 
 def _similar(k: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -414,8 +498,8 @@ def _similar(k: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]],
             for s, t in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
                 s = s.as_py()
                 if s != last:
-                    last, own = s, np.unique(shingle_hashes(s, k))
-                other = np.unique(shingle_hashes(t.as_py(), k))
+                    last, own = s, shingle_set(s, k)
+                other = shingle_set(t.as_py(), k)
                 common = len(np.intersect1d(own, other, assume_unique=True))
                 keep.append(common >= similarity * (len(own) + len(other) - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -423,39 +507,77 @@ def _similar(k: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def drop_near_copies(
-    docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, words: int = WORDS, radius: int = RADIUS
-) -> DataFrame:
-    """The documents, in all their columns, without near copies: of each group the smallest id stays.
-
-    Groups are what links connect; a link is a pair whose k-word shingle sets have at least
-    ``similarity`` of their union in common. Of the candidates that the fingerprints give, a spanning
-    forest with the closest links is verified. Rows without an id stay. Rows that share an id are one
-    document and stay or go together.
-    """
-    with_id = docs.where(F.col("doc_id").isNotNull())
-    prints = stored(fingerprints(with_id, k, words), "near-prints")
-    points = stored(
-        prints.groupBy("fp", "size").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")), "near-points"
-    )
-    found = links(points.select("fp", "size"), radius, similarity)
-    at = points.select("fp", "size", "low")
-    across = found.join(at.toDF("a", "size_a", "id_a"), ["a", "size_a"]).join(at.toDF("b", "size_b", "id_b"), ["b", "size_b"])
-    inside = join_groups(prints, points.where("n > 1"), ["fp", "size"], ["doc_id"]).where("doc_id <> low")
-    pairs = stored(
-        across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-        .unionByName(inside.select(F.col("low").alias("a"), F.col("doc_id").alias("b")))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct(),
-        "near-pairs",
-    )
+def _verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Those of the stored ``pairs`` (a, b) whose texts are similar."""
     ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
     involved = stored(ends.groupBy("a").agg(F.count("*").alias("n")), "near-involved")
-    named = with_id.select(F.col("doc_id").alias("a"), text_of(with_id).alias("text"))
+    named = docs.select(F.col("doc_id").alias("a"), text_of(docs).alias("text"))
     texts = stored(likely(named, involved, ["a"]).join(involved, "a"), "near-texts")
     left = join_groups(pairs, texts.withColumnRenamed("text", "text_a"), ["a"], ["b"]).select("a", "b", "text_a")
     both = join_groups(left, texts.toDF("b", "text_b", "n"), ["b"], ["a"]).select("a", "b", "text_a", "text_b")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    roots = components(both.mapInArrow(_similar(k, similarity), f"a {kind}, b {kind}"))
+    return stored(both.mapInArrow(_similar(k, similarity), f"a {kind}, b {kind}"), "near-verified")
+
+
+def _open_groups(shared: DataFrame, good: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with their root, and the groups of a token, that verified links have not yet made one."""
+    roots = components(good).withColumnRenamed("node", "id")
+    rooted = shared.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rooted = stored(rooted, "near-rooted")
+    leader = F.min_by(F.struct("id", "size", "at", "root"), F.xxhash64("tok", "id"))
+    groups = rooted.groupBy("tok").agg(
+        F.count("*").alias("n"), leader.alias("lead"), F.min("root").alias("_least"), F.max("root").alias("_most")
+    )
+    groups = stored(groups.where("_least <> _most").drop("_least", "_most"), "near-open")
+    return rooted, groups
+
+
+def _new_pairs(pairs: DataFrame, checked: DataFrame | None) -> DataFrame:
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stored(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "near-pairs")
+
+
+def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents, in all their columns, without near copies: of each group the smallest id stays.
+
+    Groups are what links connect; a link is a pair whose k-word shingle sets have at least
+    ``similarity`` of their union in common. Similar sets share one of their rarest shingles (see
+    ``_prefixes``). Of the documents with one such shingle, all are compared with the one of smallest
+    id, then, where these links have not made them one, with another, and at last all pairs that are
+    still in different groups: every possible pair is verified or connected by verified links.
+    Rows without an id stay. Rows that share an id are one document and stay or go together.
+    """
+    with_id = docs.where(F.col("doc_id").isNotNull())
+    rows = stored(_prefixes(with_id, k, similarity), "near-prefixes")
+    first = rows.groupBy("tok").agg(F.count("*").alias("n"), F.min(F.struct("id", "size", "at")).alias("lead"))
+    groups = stored(first.where("n > 1"), "near-groups")
+    shared = stored(join_groups(likely(rows, groups, ["tok"]), groups, ["tok"], ["id"]), "near-shared")
+
+    apart = shared.where((F.col("id") != F.col("lead.id")) & _possible("lead", similarity))
+    checked = _new_pairs(apart.select(F.col("lead.id").alias("a"), F.col("id").alias("b")), None)
+    good = _verified(checked, with_id, k, similarity)
+
+    # Groups of two are settled.
+    rooted, groups = _open_groups(shared.where("n > 2").select("tok", "id", "size", "at"), good)
+    if not groups.isEmpty():
+        led = join_groups(rooted, groups, ["tok"], ["id"])
+        apart = led.where((F.col("root") != F.col("lead.root")) & _possible("lead", similarity))
+        pairs = _new_pairs(apart.select(F.col("lead.id").alias("a"), F.col("id").alias("b")), checked)
+        checked = checked.unionByName(pairs)
+        good = good.unionByName(_verified(pairs, with_id, k, similarity))
+
+        rooted, groups = _open_groups(rooted, good)
+        parts = F.ceil(F.col("n") / MEMBERS).cast("int")
+        salted = join_groups(rooted, groups.drop("lead"), ["tok"], ["id"]).withColumn("salt", F.pmod(F.xxhash64("id"), parts))
+        every = join_groups(rooted, groups.drop("lead"), ["tok"], ["id"]).withColumn(
+            "salt", F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))
+        )
+        others = every.select("tok", "salt", F.struct("id", "size", "at", "root").alias("other"))
+        apart = salted.join(others, ["tok", "salt"]).where(
+            (F.col("id") < F.col("other.id")) & (F.col("root") != F.col("other.root")) & _possible("other", similarity)
+        )
+        pairs = _new_pairs(apart.select(F.col("id").alias("a"), F.col("other.id").alias("b")), checked)
+        good = good.unionByName(_verified(pairs, with_id, k, similarity))
+    roots = components(good)
     gone = roots.where("node <> root").select(F.col("node").alias("doc_id"))
     return docs.join(gone, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
