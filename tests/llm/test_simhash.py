@@ -148,3 +148,19 @@ def test_stage_equals_brute_force_on_families_near_the_threshold(spark):
     assert sum(0.75 <= s < 0.8 for s in shares) > 50 and sum(0.8 <= s < 0.85 for s in shares) > 50
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == brute_kept(texts)
+
+
+def test_stage_finds_repeated_lines_and_short_copies(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    texts = []
+    for times in (10, 40, 60):
+        base, line = rng.choices(vocabulary, k=200), rng.choices(vocabulary, k=8)
+        texts += [" ".join(base + line), " ".join(base + line * times)]
+    for _ in range(30):
+        words = rng.choices(vocabulary, k=9)
+        texts += [" ".join(words[:8]), " ".join(words)]  # 4 of 5 shingles in common
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_kept(texts)
+    assert want == list(range(0, len(texts), 2))
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == want
