@@ -50,16 +50,11 @@ def score_regional(t: Tables):
     return evaluate.decision_quality(scored, TARGET, "p50", KEYS)
 
 
-NATIONAL_FEATURES = [
-    "wind_pct", "solar_pct", "low_carbon_pct", "carbon_intensity_7d_avg", "carbon_intensity_lag_1",
-    "carbon_intensity_lag_48", "hour_of_day", "day_of_week",
-]
-
-
 def train_quantiles(t: Tables):
-    """Out-of-fold losses of boosted quantile trees on the national features (few trees)."""
-    features = row_index(national.national_features(t.carbon, t.generation), TS)
-    _, predicted = trees.train_quantiles(features, TARGET, NATIONAL_FEATURES, n_splits=2, n_trees=2, depth=3)
+    """Out-of-fold losses of boosted quantile trees on all national features, weather included."""
+    features = national.national_features(t.carbon, t.generation, t.weather)
+    names = [c for c in features.columns if c not in (TS, TARGET)]
+    _, predicted = trees.train_quantiles(row_index(features, TS), TARGET, names)
     return quantiles.loss_summary(predicted, TARGET)
 
 

@@ -5,6 +5,8 @@ import pytest
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
+from checks import models
+from checks.common import Tables
 from tests.helpers import period
 from wattline.operators import quantiles as q
 from wattline.operators import trees
@@ -141,3 +143,19 @@ def test_session_mixture(spark):
     df = spark.createDataFrame(data, "a double, b double")
     model, aic, bic = trees.session_mixture(df, ["a", "b"], k=3)
     assert np.isfinite([aic, bic]).all() and bic > aic and sum(model.weights) == pytest.approx(1.0)
+
+
+def test_registered_quantile_trees_are_not_cut(spark, monkeypatch):
+    seen = {}
+
+    def record(indexed, target, features, **rest):
+        seen.update(columns=set(indexed.columns), features=features, rest=rest)
+        return {}, indexed.limit(0)
+
+    monkeypatch.setattr(models.trees, "train_quantiles", record)
+    monkeypatch.setattr(models.quantiles, "loss_summary", lambda predicted, target: predicted)
+    models.train_quantiles(Tables(spark, "/root/testdata/sf0.001"))
+    assert seen["rest"] == {}
+    assert seen["columns"] - set(seen["features"]) == {"settlement_period", "carbon_intensity", "row_no", "series_rows"}
+    wanted = {"carbon_intensity_lag_2", "carbon_intensity_lag_336", "season_sin", "is_bank_holiday_uk", "london_temperature"}
+    assert wanted <= set(seen["features"])
