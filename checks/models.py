@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from checks.common import Tables
@@ -59,20 +58,15 @@ def train_quantiles(t: Tables):
 
 
 def compare_models(t: Tables):
-    common = {"featuresCol": "features", "labelCol": "_label", "seed": 42}
-    estimators = {
-        "decision_tree_5": DecisionTreeRegressor(maxDepth=5, **common),
-        "random_forest_5": RandomForestRegressor(numTrees=5, maxDepth=5, **common),
-        "boosting_3": GBTRegressor(maxIter=3, **common),
-    }
-    indexed = row_index(_gold(t), TS, KEYS)
-    return trees.compare_models(indexed, TARGET, LAG_FEATURES, estimators, n_splits=2, on_short="skip")
+    """All default learners on five folds."""
+    return trees.compare_models(row_index(_gold(t), TS, KEYS), TARGET, LAG_FEATURES)
 
 
 def importance(t: Tables):
+    """Of the largest forest compared."""
     indexed = row_index(_gold(t), TS, KEYS)
     rows = trees.with_vector(indexed, LAG_FEATURES).withColumn("_label", F.col(TARGET).cast("double"))
-    model = RandomForestRegressor(numTrees=10, maxDepth=5, labelCol="_label", seed=42).fit(rows)
+    model = trees.default_estimators()["random_forest_750"].fit(rows)
     return trees.permutation_importance(indexed, model, TARGET, LAG_FEATURES, KEYS)
 
 

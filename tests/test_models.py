@@ -159,3 +159,10 @@ def test_registered_quantile_trees_are_not_cut(spark, monkeypatch):
     assert seen["columns"] - set(seen["features"]) == {"settlement_period", "carbon_intensity", "row_no", "series_rows"}
     wanted = {"carbon_intensity_lag_2", "carbon_intensity_lag_336", "season_sin", "is_bank_holiday_uk", "london_temperature"}
     assert wanted <= set(seen["features"])
+
+
+def test_registered_comparison_is_not_cut(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models.trees, "compare_models", lambda *args, **rest: seen.append((args[1:], rest)))
+    models.compare_models(Tables(spark, "/root/testdata/sf0.001"))
+    assert seen == [(("carbon_intensity", models.LAG_FEATURES), {})]
