@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattline.llm import packing
+from wattline.llm import packing, queries
 
 
 def padding(lengths, limits):
@@ -53,3 +53,13 @@ def test_given_lengths_bins_and_empty_table(spark):
     ends = spark.range(1, 5000).select("id", packing.bin_of(F.col("id")).alias("b")).collect()
     assert all(r.b >= r.id and r.b <= r.id * 1.01 + 1 for r in ends) and all(r.b == r.id for r in ends if r.id <= 256)
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_registered_query_packs_tokens_not_words(spark, tmp_path):
+    pytest.importorskip("tokenizers")
+    pytest.importorskip("public_tokenizers")
+    texts = ["日本語" * 500, "x9Q" * 3_000, "plain words here", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = {r.doc_id: r.n_tokens for r in queries.op3_token_counts(spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.n_tokens for r in queries.op7_packing(spark, str(tmp_path)).collect()}
+    assert got == want and got[0] > 500 and got[1] > 1_000

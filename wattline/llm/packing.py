@@ -68,7 +68,8 @@ def pack(
     """One row per document: its length, bucket, padded length, batch (counted in its bucket) and slot.
 
     A batch of bucket b holds ``batch_limit`` = max(1, budget // padded_to) documents, the last fewer.
-    ``length`` may give another token count; null counts as 0.
+    ``length`` gives the number of tokens, null counting as 0. Without it, n_tokens and the budget are in
+    words between white space, of which a text in a script without spaces has one.
     """
     n = F.greatest(F.coalesce(length if length is not None else n_words(docs), F.lit(0)).cast("long"), F.lit(0).cast("long"))
     rows = stored(docs.select(F.col("doc_id"), n.alias("n")), "packing-lengths")
