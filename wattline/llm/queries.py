@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact, licenses, neighbours, packing, quality, simhash, substrings, token_counts, toxicity
+from wattline.llm import (
+    bpe,
+    exact,
+    licenses,
+    neighbours,
+    packing,
+    pieces,
+    prefix_trie,
+    quality,
+    simhash,
+    substrings,
+    token_counts,
+    toxicity,
+)
 from wattline.llm.common import table
 
 
@@ -60,6 +73,14 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
@@ -93,6 +114,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe_round_trip": op8_bpe_round_trip,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_nearest_neighbours": op10_nearest_neighbours,
+        "op12_sentencepiece": op12_sentencepiece,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
