@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.llm import (
+    alignment,
     bpe,
     exact,
     licenses,
@@ -73,6 +74,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.aligned(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))[0]
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -114,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe_round_trip": op8_bpe_round_trip,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_nearest_neighbours": op10_nearest_neighbours,
+        "op11_alignment": op11_alignment,
         "op12_sentencepiece": op12_sentencepiece,
         "op13_prefix_trie": op13_prefix_trie,
     }
