@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +66,24 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers of all executors, once for each application.
+
+    The driver serves the file; what was itself started from an archive has been shipped already."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="wattline-code-"), "wattline.zip"))
+    with zipfile.ZipFile(archive, "w") as code:
+        for source in sorted(root.rglob("*.py")):
+            code.write(source, source.relative_to(root.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 BROADCAST_ROWS = 300_000
 BROADCAST_BYTES = 32 << 20
 
