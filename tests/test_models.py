@@ -2,15 +2,17 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from checks import models
 from checks.common import Tables
 from tests.helpers import period
+from wattline.operators import boosting, trees
 from wattline.operators import quantiles as q
-from wattline.operators import trees
 from wattline.operators.windows import row_index
+from wattline.plans import training
+from wattline.sources import models as store
 
 
 @pytest.fixture(scope="module")
@@ -99,36 +101,6 @@ def test_scores_are_calibrated_and_unknown_series_left_out(panel):
     assert 0.75 < inside < 0.85
 
 
-def test_quantile_trees_learn_and_survive_saving(spark, panel, tmp_path):
-    rows = trees.with_vector(panel.filter("k = 1"), ["x", "z"]).cache()
-    model = trees.fit_quantile_trees(rows, "y", 0.9, n_trees=12, rate=0.3, depth=3, checkpoint_every=5)
-    below = model.predict(rows, "p", checkpoint_every=5).select(F.avg((F.col("y") <= F.col("p")).cast("int"))).first()[0]
-    assert 0.82 < below < 0.97
-    trees.save_models({"p90": model}, str(tmp_path), spark, dt.date(2024, 1, 1))
-    loaded = trees.load_latest_models(str(tmp_path), spark, ["p90"])["p90"]
-    diff = loaded.predict(model.predict(rows, "a"), "b").select(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
-    assert diff < 1e-12
-    with pytest.raises(FileNotFoundError):
-        trees.load_latest_models(str(tmp_path / "none"), spark)
-
-
-def test_walk_forward_trees(panel):
-    indexed = row_index(panel.filter("k = 1"), "t")
-    final, predicted = trees.train_quantiles(indexed, "y", ["x", "z"], alphas=[0.5], n_splits=2, n_trees=2, depth=2)
-    assert set(final) == {"p50"} and predicted.count() == 2 * 133 and predicted.filter("p50 IS NULL").count() == 0
-
-
-def test_compare_models_ranks_by_loss(panel):
-    indexed = row_index(panel, "t", ["k"])
-    names = {"featuresCol": "features", "labelCol": "_label"}
-    got = trees.compare_models(
-        indexed, "y", ["x", "k"], {"stump": DecisionTreeRegressor(maxDepth=1, **names), "deep": DecisionTreeRegressor(maxDepth=6, **names)}
-    ).collect()
-    assert [r["model"] for r in got] == ["deep", "stump"]
-    assert got[0]["mae"] == pytest.approx(2 * got[0]["pinball_loss"])
-    assert len(trees.default_estimators()) == 9
-
-
 def test_importance_finds_the_used_feature(panel):
     one = panel.filter("k = 1")
     rows = trees.with_vector(one, ["x", "z"]).withColumn("_label", F.col("y"))
@@ -137,32 +109,94 @@ def test_importance_finds_the_used_feature(panel):
     assert [r["feature"] for r in got] == ["x", "z"] and got[0]["importance"] > 1 and abs(got[1]["importance"]) < 0.2
 
 
-def test_session_mixture(spark):
+def test_mixture_finds_the_planted_centres(spark):
     rng = np.random.default_rng(1)
-    data = [tuple(float(v) for v in rng.normal(c, 0.5, 2)) for c in (0, 5, 10) for _ in range(170)]
+    centres = [(0, 0), (5, -5), (10, 3)]
+    data = [tuple(float(v) for v in rng.normal(c, 0.5)) for c in centres for _ in range(170)]
     df = spark.createDataFrame(data, "a double, b double")
     model, aic, bic = trees.session_mixture(df, ["a", "b"], k=3)
-    assert np.isfinite([aic, bic]).all() and bic > aic and sum(model.weights) == pytest.approx(1.0)
+    found = sorted(tuple(r["mean"].toArray()) for r in model.gaussiansDF.collect())
+    assert np.abs(np.array(found) - np.array(centres)).max() < 0.2
+    assert np.abs(np.array(model.weights) - 1 / 3).max() < 0.02 and bic > aic
+    n, log_likelihood = trees.mixture_likelihood(df, ["a", "b"], model).first()
+    free = 2 + 3 * 2 + 3 * 3
+    assert n == 510 and aic == pytest.approx(2 * free - 2 * log_likelihood, rel=1e-3)
+    assert bic == pytest.approx(free * np.log(510) - 2 * log_likelihood, rel=1e-3)
 
 
-def test_registered_quantile_trees_are_not_cut(spark, monkeypatch):
-    seen = {}
+def recorded(monkeypatch, module, name, seen, result):
+    def record(*args, **rest):
+        seen.update(args=args, rest=rest)
+        raise result
+
+    monkeypatch.setattr(module, name, record)
+
 
-    def record(indexed, target, features, **rest):
-        seen.update(columns=set(indexed.columns), features=features, rest=rest)
-        return {}, indexed.limit(0)
+class Reached(Exception):
+    pass
 
-    monkeypatch.setattr(models.trees, "train_quantiles", record)
-    monkeypatch.setattr(models.quantiles, "loss_summary", lambda predicted, target: predicted)
-    models.train_quantiles(Tables(spark, "/root/testdata/sf0.001"))
-    assert seen["rest"] == {}
-    assert seen["columns"] - set(seen["features"]) == {"settlement_period", "carbon_intensity", "row_no", "series_rows"}
+
+def test_registered_quantile_trees_are_not_cut(spark, monkeypatch):
+    seen = {}
+    recorded(monkeypatch, models.training, "train_trees", seen, Reached())
+    with pytest.raises(Reached):
+        models.train_quantiles(Tables(spark, "/root/testdata/sf0.01"))
+    indexed, target, features = seen["args"][:3]
+    assert seen["rest"] == {} and target == "carbon_intensity" and len(seen["args"]) == 6
+    assert set(indexed.columns) - set(features) == {"settlement_period", "carbon_intensity", "row_no", "series_rows"}
     wanted = {"carbon_intensity_lag_2", "carbon_intensity_lag_336", "season_sin", "is_bank_holiday_uk", "london_temperature"}
-    assert wanted <= set(seen["features"])
+    assert wanted <= set(features)
+    shape = boosting.Model("p50", 0)
+    assert (shape.rounds, shape.rate, shape.depth) == (300, 0.05, 5)
 
 
 def test_registered_comparison_is_not_cut(spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(models.trees, "compare_models", lambda *args, **rest: seen.append((args[1:], rest)))
-    models.compare_models(Tables(spark, "/root/testdata/sf0.001"))
-    assert seen == [(("carbon_intensity", models.LAG_FEATURES), {})]
+    seen = {}
+    recorded(monkeypatch, models.boosting, "compare_models", seen, Reached())
+    with pytest.raises(Reached):
+        models.compare_models(Tables(spark, "/root/testdata/sf0.01"))
+    assert seen["args"][1:] == ("carbon_intensity", models.LAG_FEATURES) and seen["rest"] == {}
+    chosen = boosting.learners()
+    assert max(boosting.FOREST_SIZES) == 750 == chosen["random_forest"].rounds and chosen["boosting_1000"].rounds == 1000
+
+
+def test_store_reads_the_newest_complete_day(spark, panel, tmp_path):
+    base, keys = str(tmp_path / "store"), ["k"]
+    fitted, _ = q.train_per_series(panel, "y", ["x", "z"], "t", keys, alphas=[0.5], n_splits=2)
+    fitted = fitted.withColumn("features", F.array(F.lit("x"), F.lit("z")))
+    with pytest.raises(FileNotFoundError):
+        store.load_latest_models(spark, base, "plain")
+    store.save_models(fitted.limit(1), base, "plain", dt.date(2024, 1, 1), keys)
+    store.save_models(fitted.filter("k = 1"), base, "plain", dt.date(2024, 1, 2), keys)
+    store.save_models(fitted, base, "other", dt.date(2024, 1, 9), keys)
+    # Half a day: models without a manifest, then a manifest that was not finished.
+    half = f"{base}/variant=plain/model_date=2024-01-03"
+    fitted.write.parquet(f"{half}/models-x")
+    (tmp_path / "store/variant=plain/model_date=2024-01-03/manifest-000000-x").mkdir()
+    last = store.load_latest_models(spark, base, "plain")
+    assert {(r["k"], str(r["model_date"]), r["variant"]) for r in last.collect()} == {(1, "2024-01-02", "plain")}
+    scored, unknown = training.score_stored_series(panel, base, "plain", keys, [0.5])
+    assert scored.count() == 400 and [tuple(r) for r in unknown.collect()] == [(2, 400)]
+    # A second run on the day replaces the first; one that lost rows is an error.
+    store.save_models(fitted, base, "plain", dt.date(2024, 1, 2), keys)
+    assert store.load_latest_models(spark, base, "plain").count() == 6
+    folder = store.manifests(spark, base, "plain")[0]["folder"]
+    fitted.limit(2).write.mode("overwrite").parquet(f"{base}/variant=plain/model_date=2024-01-02/{folder}")
+    with pytest.raises(ValueError, match="manifest"):
+        store.load_latest_models(spark, base, "plain")
+
+
+def test_training_stores_scores_and_logs(spark, panel, tmp_path):
+    base, log = str(tmp_path / "models"), str(tmp_path / "log")
+    indexed = row_index(panel.filter("k = 1"), "t")
+    predicted, losses = training.train_trees(indexed, "y", ["x", "z"], base, "v", dt.date(2024, 1, 1), log, n_splits=2, rounds=5, rate=0.5)
+    training.train_series(panel, "y", ["x", "z"], "t", ["k"], base, "s", dt.date(2024, 1, 1), log, n_splits=2)
+    runs = {r["run"]: r for r in store.read_run_log(spark, log).collect()}
+    assert set(runs) == {f"{n}_alpha_{a}" for n in ("v_trees", "s_series") for a in (0.1, 0.5, 0.9)}
+    one = runs["v_trees_alpha_0.5"]
+    assert one["params"]["n_estimators"] == "5" and one["params"]["training_rows"] == "400"
+    assert one["metrics"]["oof_pinball_loss"] == {r["alpha"]: r["pinball_loss"] for r in losses.collect()}[0.5]
+    scored = training.score_stored_trees(indexed, base, "v")
+    assert scored.count() == 400 and {"p10", "p50", "p90"} <= set(scored.columns)
+    with pytest.raises(ValueError, match="lack p99"):
+        training.score_stored_trees(indexed, base, "v", ["p50", "p99"])

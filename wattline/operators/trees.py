@@ -1,27 +1,20 @@
-"""Tree models on spark.ml: quantile boosting, comparison on equal folds, importance, mixtures."""
+"""Models of spark.ml: importance by permutation, mixtures of sessions. Trees are grown in ``boosting``."""
 
 from __future__ import annotations
 
-import datetime as dt
 import math
-from functools import reduce
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
-    GBTRegressor,
-    RandomForestRegressor,
-)
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.reference import ALPHAS, DAY_PERIODS
-from wattline.operators.evaluate import fold_members, pinball
+from wattline.operators.evaluate import pinball
 from wattline.session import settled
-from wattline.sources.tables import child_names
 
 MIXTURE_ROWS = 10_000  # vectors of a task while a mixture is fitted
 MISSING = -1e12  # stands below every real value, so trees can split it off
@@ -33,179 +26,6 @@ def with_vector(df: DataFrame, features: list[str], name: str = "features") -> D
     return df.withColumn(name, array_to_vector(F.array(*filled)))
 
 
-class QuantileTrees:
-    """Boosted regression trees for one quantile.
-
-    Each tree is grown on the gradient of the quantile loss; its leaves then take the quantile of
-    the residuals that fall in them. A tree has at most 2**depth leaves, so what reaches the
-    driver per tree is a few dozen numbers.
-    """
-
-    def __init__(self, alpha: float, base: float, rate: float, trees: list[tuple[DecisionTreeRegressionModel, dict]]):
-        self.alpha = alpha
-        self.base = base
-        self.rate = rate
-        self.trees = trees
-
-    def predict(self, df: DataFrame, name: str, vector: str = "features", checkpoint_every: int = 25) -> DataFrame:
-        out = df.withColumn(name, F.lit(self.base))
-        for i, (tree, leaves) in enumerate(self.trees, 1):
-            out = _add_tree(out, tree, leaves, self.rate, name, vector)
-            if i % checkpoint_every == 0 and i < len(self.trees):
-                out = settled(out)
-        return out
-
-    def save(self, path: str, spark: SparkSession) -> None:
-        """Trees, and beside them their leaf values."""
-        rows = []
-        for i, (tree, leaves) in enumerate(self.trees):
-            tree.write().overwrite().save(f"{path}/tree={i:05d}")
-            rows.append((i, {float(k): float(v) for k, v in leaves.items()}))
-        rows.append((-1, {0.0: self.base, 1.0: self.rate, 2.0: self.alpha}))
-        spark.createDataFrame(rows, "tree int, leaves map<double,double>").coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/leaves"
-        )
-
-    @staticmethod
-    def load(path: str, spark: SparkSession) -> "QuantileTrees":
-        leaves = {r["tree"]: r["leaves"] for r in spark.read.parquet(f"{path}/leaves").collect()}
-        head = leaves.pop(-1)
-        trees = [(DecisionTreeRegressionModel.load(f"{path}/tree={i:05d}"), leaves[i]) for i in sorted(leaves)]
-        return QuantileTrees(head[2.0], head[0.0], head[1.0], trees)
-
-
-def _add_tree(df: DataFrame, tree, leaves: dict, rate: float, name: str, vector: str) -> DataFrame:
-    tree.setLeafCol("_leaf").setFeaturesCol(vector).setPredictionCol("_tree")
-    table = F.create_map(*[F.lit(float(x)) for pair in leaves.items() for x in pair])
-    step = F.coalesce(F.try_element_at(table, F.col("_leaf")), F.lit(0.0)) * F.lit(rate)
-    return tree.transform(df).withColumn(name, F.col(name) + step).drop("_leaf", "_tree")
-
-
-def fit_quantile_trees(
-    train: DataFrame,
-    target: str,
-    alpha: float,
-    vector: str = "features",
-    n_trees: int = 300,
-    rate: float = 0.05,
-    depth: int = 5,
-    checkpoint_every: int = 10,
-    seed: int = 42,
-) -> QuantileTrees:
-    """Boost ``n_trees`` trees for one quantile; ``train`` holds the vector and the target."""
-    rows = train.select(F.col(target).cast("double").alias("_y"), vector).filter("_y IS NOT NULL")
-    base = float(rows.agg(F.percentile_approx("_y", alpha, 10000)).first()[0])
-    rows = settled(rows.withColumn("_fit", F.lit(base)))
-    trees: list[tuple[DecisionTreeRegressionModel, dict]] = []
-    grower = DecisionTreeRegressor(
-        featuresCol=vector, labelCol="_gradient", maxDepth=depth, minInstancesPerNode=20, seed=seed, leafCol="_leaf",
-        predictionCol="_tree",
-    )
-    for i in range(1, n_trees + 1):
-        gradient = F.when(F.col("_y") < F.col("_fit"), F.lit(alpha - 1.0)).otherwise(F.lit(alpha))
-        tree = grower.fit(rows.withColumn("_gradient", gradient))
-        leaves = {
-            r["_leaf"]: r["v"]
-            for r in tree.transform(rows)
-            .groupBy("_leaf")
-            .agg(F.percentile_approx(F.col("_y") - F.col("_fit"), alpha, 10000).alias("v"))
-            .collect()
-        }
-        trees.append((tree, leaves))
-        rows = _add_tree(rows, tree, leaves, rate, "_fit", vector)
-        if i % checkpoint_every == 0 and i < n_trees:
-            rows = settled(rows)
-    return QuantileTrees(alpha, base, rate, trees)
-
-
-def train_quantiles(
-    indexed: DataFrame,
-    target: str,
-    features: list[str],
-    alphas: list[float] = ALPHAS,
-    n_splits: int = 5,
-    gap: int = DAY_PERIODS,
-    **boost,
-) -> tuple[dict[str, QuantileTrees], DataFrame]:
-    """Final models by name (p10, p50, p90) and out-of-fold predictions of every test row.
-
-    ``indexed`` carries row_no and series_rows, see ``windows.row_index``.
-    """
-    everything = settled(with_vector(indexed, features))
-    members = fold_members(everything, n_splits, gap)
-    folds = []
-    for fold in range(n_splits):
-        part = members.filter(F.col("fold") == fold)
-        test = part.filter("role = 'test'")
-        for alpha in alphas:
-            model = fit_quantile_trees(part.filter("role = 'train'"), target, alpha, **boost)
-            test = model.predict(test, f"p{round(alpha * 100)}")
-        folds.append(test.drop("features"))
-    final = {f"p{round(a * 100)}": fit_quantile_trees(everything, target, a, **boost) for a in alphas}
-    return final, reduce(DataFrame.unionByName, folds)
-
-
-def save_models(models: dict[str, QuantileTrees], base: str, spark: SparkSession, model_date: dt.date | None = None) -> str:
-    day = model_date or dt.datetime.now(dt.timezone.utc).date()
-    path = f"{base}/model_date={day.isoformat()}"
-    for name, model in models.items():
-        model.save(f"{path}/{name}", spark)
-    spark.createDataFrame([(name,) for name in models], "model string").write.mode("overwrite").parquet(f"{path}/_COMPLETE")
-    return path
-
-
-def load_latest_models(base: str, spark: SparkSession, names: list[str] = ("p10", "p50", "p90")) -> dict[str, QuantileTrees]:
-    """The newest day with all models; one that is being written has not all yet."""
-    for day in sorted((n for n in child_names(spark, base) if n.startswith("model_date=")), reverse=True):
-        if "_COMPLETE" in child_names(spark, f"{base}/{day}"):
-            return {n: QuantileTrees.load(f"{base}/{day}/{n}", spark) for n in names}
-    raise FileNotFoundError(f"no models below {base}")
-
-
-def default_estimators(seed: int = 42) -> dict:
-    """The learners compared: a free and a shallow tree, forests of growing size, boosting."""
-    common = {"featuresCol": "features", "labelCol": "_label", "seed": seed}
-    forests = {
-        f"random_forest_{n}": RandomForestRegressor(numTrees=n, maxDepth=15, **common) for n in (25, 50, 125, 250, 500, 750)
-    }
-    return {
-        "decision_tree_free": DecisionTreeRegressor(maxDepth=30, **common),
-        "decision_tree_5": DecisionTreeRegressor(maxDepth=5, **common),
-        **forests,
-        "boosting_100": GBTRegressor(maxIter=100, **common),
-    }
-
-
-def compare_models(
-    indexed: DataFrame,
-    target: str,
-    features: list[str],
-    estimators: dict | None = None,
-    n_splits: int = 5,
-    gap: int = DAY_PERIODS,
-    on_short: str = "error",
-) -> DataFrame:
-    """(model, pinball_loss, mae) on identical folds, best first; mae is twice the loss."""
-    labelled = with_vector(indexed, features).withColumn("_label", F.col(target).cast("double"))
-    members = fold_members(
-        settled(labelled.select("_label", "features", "row_no", "series_rows")), n_splits, gap, on_short
-    )
-    parts = []
-    for name, estimator in (estimators or default_estimators()).items():
-        for fold in range(n_splits):
-            part = members.filter(F.col("fold") == fold)
-            model = estimator.fit(part.filter("role = 'train'"))
-            scored = model.transform(part.filter("role = 'test'"))
-            parts.append(scored.select(F.lit(name).alias("model"), pinball("_label", "prediction", 0.5).alias("_loss")))
-    loss = F.avg("_loss")
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("model")
-        .agg(loss.alias("pinball_loss"), (loss * 2).alias("mae"))
-        .orderBy("pinball_loss")
-    )
-
-
 def _partner() -> Column:
     """A permutation of 0..n-1: multiply by a prime that does not divide n."""
     n, row = F.col("series_rows"), F.col("row_no")
@@ -257,3 +77,23 @@ def session_mixture(features: DataFrame, columns: list[str], k: int = 5, seed: i
     free = k - 1 + k * d + k * d * (d + 1) // 2
     log_likelihood = model.summary.logLikelihood
     return model, 2 * free - 2 * log_likelihood, free * math.log(n) - 2 * log_likelihood
+
+
+def mixture_likelihood(features: DataFrame, columns: list[str], model) -> DataFrame:
+    """(n, log_likelihood) of rows under a fitted mixture, from its weights, means and covariances."""
+    parts = []
+    for weight, row in zip(model.weights, model.gaussiansDF.collect(), strict=True):  # a row for each component
+        covariance = np.array(row["cov"].toArray())
+        _, size = np.linalg.slogdet(covariance)
+        parts.append((np.log(weight) - (size + len(columns) * math.log(2 * math.pi)) / 2, row["mean"].toArray(), np.linalg.inv(covariance)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+            each = np.column_stack([a - np.einsum("ij,jk,ik->i", x - m, inverse, x - m) / 2 for a, m, inverse in parts])
+            top = each.max(axis=1)
+            total = float((top + np.log(np.exp(each - top[:, None]).sum(axis=1))).sum())
+            yield pa.record_batch([pa.array([len(x)], pa.int64()), pa.array([total])], names=["n", "log_likelihood"])
+
+    rows = features.dropna(subset=columns).select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return rows.mapInArrow(run, "n long, log_likelihood double").agg(F.sum("n").alias("n"), F.sum("log_likelihood").alias("log_likelihood"))
