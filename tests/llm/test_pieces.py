@@ -72,6 +72,7 @@ def test_words_are_forgotten_without_harm(library, monkeypatch):
     monkeypatch.setattr(pieces, "MEMO_PAIRS", 3)
     own = pieces.Pieces(PATH)
     forms = pieces.WordForms(own)
+    assert own.memo.size == forms.memo.size == 3
     for text in ["one two three four five six", "one one two seven", "x y z " * 20]:
         assert own.encode(text) == library.encode(text)
         assert forms.convert(text)[0] == len(library.encode(text)) + 2

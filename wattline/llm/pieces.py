@@ -7,8 +7,8 @@ tokens are compatible if encoding their texts together gives these two again; th
 undoing their merges, latest first, and looking for a merge across the border that would have come
 earlier. The ids are read off backwards from the table's end.
 
-A cut before a space mark is certain where no piece holds one behind another character, so texts are
-encoded word by word and words are remembered. Runs of space marks, whose pieces share one score below all
+A cut between two characters that no piece holds side by side is certain. Space marks are such a place, so texts
+are encoded word by word, words in fragments, and both are remembered. Runs of space marks, whose pieces share one score below all
 others, are merged from the left and stand on their own. A vocabulary in which a piece is made of later pieces, in
 which pieces share a score, or whose normaliser changes texts is left to the library as a whole.
 
@@ -33,7 +33,7 @@ from wattline.llm.common import ship, text_of
 
 #: The space mark of pieces.
 MARK = "▁"
-#: Words whose ids a worker remembers, and how long such a word may be.
+#: Words, and fragments of words, that a worker remembers in each of two generations, and how long they may be.
 MEMO_WORDS, MEMO_LENGTH = 200_000, 64
 #: Pairs of tokens whose compatibility a worker remembers.
 MEMO_PAIRS = 1_000_000
@@ -41,6 +41,8 @@ MEMO_PAIRS = 1_000_000
 UNKNOWN = -1
 #: Words of a text behind one space each; more spaces before a word, or at the end, belong to the word.
 WORDS = re.compile(r" ( *[^ ]+| *$)")
+#: Runs of characters, between which a fragment may end.
+RUNS = re.compile(f"[{MARK}A-Za-z]+|[^{MARK}A-Za-z]+")
 BATCH = 64
 
 
@@ -95,7 +97,7 @@ class Pieces:
         for byte, i in self.bytes_of.items():
             self.raw[i] = bytes([byte])
         self._prepare()
-        self.memo: dict[str, list[int]] = {}
+        self.memo, self.known = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
 
     def _prepare(self) -> None:
         """Ranks, the two parts each piece is merged from, the automaton, and whether the table applies."""
@@ -124,6 +126,8 @@ class Pieces:
         if len(self.automaton):
             self.automaton.make_automaton()
         self.rank, self.own = rank, own
+        #: Neighbouring characters of any piece: between others no merge ever happens.
+        self.together = {t[i : i + 2] for t in self.ids for i in range(len(t) - 1)}
         self.runs, self.longest = {r: self.ranks[r] for r in runs}, max(map(len, runs), default=1)
         self.tabled = not odd and self._plain_library() and MARK in self.ids
         self.tabled = self.tabled and all(
@@ -187,8 +191,30 @@ class Pieces:
                 filled = end + 1
         return last
 
+    def fragments(self, text: str) -> list[str]:
+        """``text`` cut between runs of letters and others wherever no piece holds the two characters together."""
+        found = []
+        for run in RUNS.findall(text):
+            if found and found[-1][-1] + run[0] in self.together:
+                found[-1] += run
+            else:
+                found.append(run)
+        return found
+
     def _word(self, text: str) -> list[int]:
-        """Ids of a text without runs of marks, read backwards from its table."""
+        """Ids of a text without runs of marks."""
+        found = []
+        for part in self.fragments(text):
+            ids = self.known.get(part)
+            if ids is None:
+                ids = self._read_off(part)
+                if len(part) <= MEMO_LENGTH:
+                    self.known.put(part, ids)
+            found += ids
+        return found
+
+    def _read_off(self, text: str) -> list[int]:
+        """Ids read backwards from a text's table."""
         last, texts, at, found = self.table(text), self.texts, len(text), []
         while at:
             token = last[at]
@@ -212,20 +238,20 @@ class Pieces:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one space and ``word``, which may start with more spaces."""
-        known = self.memo.get(word)
-        if known is None:
-            bare = word.lstrip(" ")
-            spaces = len(word) - len(bare)
-            own = self._word(MARK + bare) if bare else []
-            if not bare or spaces and own[0] == self.ids[MARK]:
-                known = self._run(spaces + 1) + own[1:]
-            else:
-                known = self._run(spaces) + own
+        bare = word.lstrip(" ")
+        spaces = len(word) - len(bare)
+        own = self._word(MARK + bare) if bare else []
+        if not bare or spaces and own[0] == self.ids[MARK]:
+            return self._run(spaces + 1) + own[1:]
+        return self._run(spaces) + own
+
+    def remembered(self, word: str) -> list[int]:
+        ids = self.memo.get(word)
+        if ids is None:
+            ids = self.encode_word(word)
             if len(word) <= MEMO_LENGTH:
-                if len(self.memo) >= MEMO_WORDS:
-                    self.memo.clear()
-                self.memo[word] = known
-        return known
+                self.memo.put(word, ids)
+        return ids
 
     def words(self, text: str) -> list[str]:
         """A text that isn't empty as words behind one space each."""
@@ -238,7 +264,7 @@ class Pieces:
         """Ids without begin and end."""
         if not self.tabled:
             return self.library.encode(text)
-        return [i for w in self.words(text) for i in self.encode_word(w)] if text else []
+        return [i for w in self.words(text) for i in self.remembered(w)] if text else []
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: begin and end stand for nothing, the space before the first word goes."""
@@ -268,7 +294,7 @@ class WordForms:
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.packed = [np.array([i], dtype="<u4").tobytes() for i in range(len(pieces.texts))]
-        self.memo: dict[str, tuple[int, bytes, bytes]] = {}
+        self.memo = Memo(MEMO_WORDS)
 
     def form(self, word: str) -> tuple[int, bytes, bytes]:
         pieces = self.pieces
@@ -285,13 +311,14 @@ class WordForms:
         if not text:
             return 2, head + tail, b""
         words = pieces.words(text)
-        forms = list(map(self.memo.get, words))
+        forms = list(map(self.memo.young.get, words))
         if None in forms:
-            new = {w: self.form(w) for w in {w for w, f in zip(words, forms, strict=True) if f is None}}
+            new = {}
+            for w in {w for w, f in zip(words, forms, strict=True) if f is None}:
+                new[w] = self.memo.get(w) or self.form(w)
+                if len(w) <= MEMO_LENGTH:
+                    self.memo.put(w, new[w])
             forms = [new[w] if f is None else f for w, f in zip(words, forms, strict=True)]
-            if len(self.memo) + len(new) > MEMO_WORDS:
-                self.memo.clear()
-            self.memo.update((w, f) for w, f in new.items() if len(w) <= MEMO_LENGTH)
         counts, ids, raw = zip(*forms, strict=True)
         return sum(counts) + 2, head + b"".join(ids) + tail, b"".join(raw).removeprefix(b" ")
 
