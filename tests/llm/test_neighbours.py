@@ -59,3 +59,26 @@ def test_index_returns_every_code_within_the_radius():
         index = neighbours.MultiIndex(codes, radius)
         for code in codes[:30]:
             assert index.within(code).tolist() == np.flatnonzero(neighbours.distances(codes, code) <= radius).tolist()
+
+
+def test_rows_that_share_an_id_fill_one_place_each(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(6).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(20, rows[21][1]), (20, rows[20][1]), (33, rows[33][1])]
+    found = answers(spark, rows, k=10)[20]
+    mine = [np.array(v, dtype=np.float64) for i, v in rows if i == 20]
+    want = sorted((-max(float((np.array(v, dtype=np.float64) * q).sum()) for q in mine), j) for j, v in rows if j != 20)[:10]
+    assert found == [(pytest.approx(s), j) for s, j in want]
+
+
+def test_a_small_radius_costs_no_answers(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "learned_radius", lambda *rest: 0)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(200)]
+    assert answers(spark, rows) == {q: [(pytest.approx(s), j) for s, j in v] for q, v in brute(rows).items()}
+
+
+def test_vectors_of_two_lengths_raise(spark):
+    with pytest.raises(ValueError, match="components"):
+        answers(spark, [(0, [1.0, 2.0]), (1, [1.0]), (2, [2.0, 2.0])])
+    assert answers(spark, []) == {}
