@@ -159,11 +159,11 @@ def merge_insert_only(t: Tables):
 
 
 def append_last_wins(t: Tables):
-    """Two appends to a versioned table, read back."""
-    path = work_path(t.spark, "versions")
+    """Two appends to a table kept by day, read back."""
+    path = work_path(t.spark, "days")
     for batch in (_first_batch(t), _second_batch(t)):
-        tables.append_keep_last_path(t.spark, path, batch, KEYS, [F.col("seq")])
-    return tables.read_version(t.spark, path)
+        tables.append_keep_last_days(t.spark, path, batch, KEYS, [F.col("seq")], "settlement_period")
+    return tables.read_days(t.spark, path)
 
 
 def feature_snapshot(t: Tables):

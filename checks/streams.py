@@ -56,14 +56,15 @@ def stream_dedupe(t: Tables):
     return runner.read_batches(t.spark, path).drop("batch_id")
 
 
-def _tumbling(t: Tables):
+def _tumbling(t: Tables, files: int = 1):
+    """Tumbling sums of readings that come as ``files`` files, a micro-batch each; the paths of sums and progress."""
     readings = t.events.select(_region(), "ts", F.round(F.col("value") * 100).cast("long").alias("cents"))
-    path = work_path(t.spark, "tumbling")
-    sums = ingest.tumbling(
-        _stream(t, readings, "readings"), "ts", {"n": F.count(F.lit(1)), "cents": F.sum("cents")}, KEYS
-    )
-    query = runner.run_batches(sums, runner.batch_writer(path), work_path(t.spark, "checkpoint"), "update")
-    return path, query
+    source, path, log = (work_path(t.spark, n) for n in ("readings", "tumbling", "progress"))
+    readings.repartition(files).write.parquet(source)
+    stream = runner.file_stream(t.spark, source, readings.schema, files_per_batch=1)
+    sums = ingest.tumbling(stream, "ts", {"n": F.count(F.lit(1)), "cents": F.sum("cents")}, KEYS)
+    runner.run_batches(sums, runner.batch_writer(path), work_path(t.spark, "checkpoint"), "update", progress_path=log)
+    return path, log
 
 
 def stream_tumbling(t: Tables):
@@ -72,8 +73,13 @@ def stream_tumbling(t: Tables):
 
 
 def stream_progress(t: Tables):
-    _, query = _tumbling(t)
-    return runner.progress(query, t.spark)
+    """Six files, six batches with rows: each is there once, and their input rows add up to the table."""
+    _, log = _tumbling(t, 6)
+    batches = runner.progress(t.spark, log).filter("input_rows > 0")
+    return batches.agg(
+        F.count(F.lit(1)).alias("n_batches"), F.sum("input_rows").alias("input_rows"),
+        (F.count_distinct("batch_id") == F.count(F.lit(1))).alias("each_once"), (F.min("took_ms") >= 0).alias("timed"),
+    )
 
 
 def _readings(t: Tables):
@@ -148,7 +154,9 @@ QUERIES = {
             FROM ev GROUP BY 1, 2""",
         ),
     ),
-    "stream_progress": (stream_progress, None),
+    "stream_progress": (
+        stream_progress, sql("ev", "SELECT 6 AS n_batches, count(*) AS input_rows, TRUE AS each_once, TRUE AS timed FROM ev")
+    ),
     "stream_features": (
         stream_features,
         sql(

@@ -50,6 +50,15 @@ def test_folds_follow_the_split_rule(spark):
         ev.folds(df.limit(60), "t").collect()
 
 
+def test_short_series_are_reported(spark):
+    rows = [(k, period(i)) for k, n in ((1, 600), (2, 40)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, t timestamp")
+    got = ev.folds(df, "t", ["k"], on_short="report").groupBy("k", "fold", "role").count().collect()
+    assert [(r["fold"], r["role"], r["count"]) for r in got if r["k"] == 2] == [(None, "short", 40)]
+    skipped = ev.folds(df, "t", ["k"], on_short="skip").groupBy("k", "fold", "role").count().collect()
+    assert sorted(map(tuple, skipped)) == sorted(tuple(r) for r in got if r["k"] == 1)
+
+
 @pytest.mark.parametrize("q, most_values", [(0.0, 20), (0.1, 9), (0.5, 20), (0.5, 1000000), (0.9, 300), (1.0, 20)])
 def test_exact_percentile(spark, q, most_values):
     rng = np.random.default_rng(2)

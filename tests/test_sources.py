@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import UTC, period
+from tests.helpers import START, UTC, period
 from wattline.functions import reference
 from wattline.sources import files, payloads, ranges, tables
 
@@ -189,3 +189,34 @@ def test_latest_snapshot_is_a_complete_one(spark, tmp_path):
 def test_holidays_of_any_year(spark):
     got = {r[0] for r in reference.holiday_dimension(spark).collect()}
     assert {dt.date(1969, 12, 25), dt.date(2150, 1, 1), dt.date(2150, 12, 25)} <= got
+
+
+def test_days_are_replaced_one_by_one(spark, tmp_path):
+    path, schema = str(tmp_path / "days"), "k long, t timestamp, v long"
+    day = dt.timedelta(days=1)
+
+    def put(*rows):
+        df = spark.createDataFrame(rows, schema)
+        return tables.append_keep_last_days(spark, path, df, ["k", "t"], [F.col("v")], "t")
+
+    def files(name):
+        return sorted(str(p) for p in (tmp_path / "days" / f"day={name}").rglob("*.parquet"))
+
+    assert tables.read_days(spark, path) is None and put() == []
+    assert put((1, START, 1), (1, START, 2), (2, START + day, 5), (3, None, 7)) == ["2024-01-01", "2024-01-02", "none"]
+    untouched = files("2024-01-01")
+    assert put((2, START + day, 6), (9, START + day, 1)) == ["2024-01-02"]
+    assert files("2024-01-01") == untouched
+    # Only the days of a batch are read.
+    read = tables.read_days(spark, path, ["2024-01-02"]).inputFiles()
+    assert read and all("day=2024-01-02/version=000002" in f for f in read)
+    # What a broken run left, and a day without a whole version, is not read.
+    spark.createDataFrame([(5, START, 5)], schema).write.parquet(f"{path}/_staging-x/_day=2024-01-01")
+    (tmp_path / "days" / "day=2024-01-09").mkdir()
+    got = sorted((r["k"], r["v"]) for r in tables.read_days(spark, path).collect())
+    assert got == [(1, 2), (2, 6), (3, 7), (9, 1)]
+    put((2, START + day, 0))
+    assert [r["v"] for r in tables.read_days(spark, path).filter("k = 2").collect()] == [0]
+    assert len(list((tmp_path / "days" / "day=2024-01-02").iterdir())) == 2
+    with pytest.raises(ValueError, match="several days"):
+        tables.append_keep_last_days(spark, path, spark.createDataFrame([(1, START, 1)], schema), ["k"], [F.col("v")], "t")

@@ -49,13 +49,25 @@ def test_tumbling_updates_replace_earlier_results(spark, paths):
     def send(*rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(paths("in"))
         sums = ingest.tumbling(runner.file_stream(spark, paths("in"), schema), "ts", {"v": F.sum("v")}, ["k"])
-        return runner.run_batches(sums, runner.batch_writer(paths("out")), paths("checkpoint"), "update")
+        return runner.run_batches(sums, runner.batch_writer(paths("out")), paths("checkpoint"), "update", progress_path=paths("log"))
 
     send((1, period(0), 1), (1, period(1), 5))
-    query = send((1, period(0), 2))
+    send((1, period(0), 2))
     got = runner.read_latest(spark, paths("out"), ["k", "settlement_period"]).orderBy("settlement_period").collect()
     assert [r["v"] for r in got] == [3, 5]
-    assert runner.progress(query, spark).agg(F.sum("input_rows")).first()[0] == 1
+    assert [r["input_rows"] for r in runner.progress(spark, paths("log")).filter("input_rows > 0").orderBy("batch_id").collect()] == [2, 1]
+
+
+def test_progress_of_every_batch_is_kept(spark, paths, monkeypatch):
+    monkeypatch.setattr(runner, "EVENTS", 4)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    spark.range(110).repartitionByRange(11, "id").write.parquet(paths("in"))
+    stream = runner.file_stream(spark, paths("in"), "id long", files_per_batch=1)
+    query = runner.run_batches(stream, runner.batch_writer(paths("out")), paths("checkpoint"), progress_path=paths("log"))
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    kept = runner.progress(spark, paths("log")).filter("input_rows > 0").collect()
+    assert len(query.recentProgress) <= 3 and sorted(r["batch_id"] for r in kept) == list(range(11))
+    assert sum(r["input_rows"] for r in kept) == 110 and all(r["took_ms"] >= 0 for r in kept)
 
 
 def readings(spark, ids):

@@ -90,7 +90,8 @@ def fold_members(
     """``folds`` of rows that carry row_no and series_rows: narrow, so it can be redone per pass.
 
     ``final`` adds fold ``n_splits``, which trains on all rows. A series too short for the folds is an
-    error; with ``on_short="skip"`` it has no folds but still takes part in the final one.
+    error; with ``on_short="skip"`` it has no folds but still takes part in the final one, and with "report" its rows
+    appear once besides, without a fold and as role ``short``.
     """
     n, row = F.col("series_rows"), F.col("row_no")
     size = F.floor(n / (n_splits + 1))
@@ -99,7 +100,7 @@ def fold_members(
         text = F.lit(f"a series is too short for {n_splits} folds with gap {gap}")
         rows = indexed.withColumn("row_no", F.when(short, F.raise_error(text).cast("long")).otherwise(row))
     else:
-        rows = indexed if final else indexed.filter(~short)
+        rows = indexed if final or on_short == "report" else indexed.filter(~short)
 
     def member(i: int) -> Column:
         start = n - (n_splits - i) * size
@@ -109,6 +110,8 @@ def fold_members(
     members = [member(i) for i in range(n_splits)]
     if final:
         members.append(F.struct(F.lit(n_splits).alias("fold"), F.lit("train").alias("role")))
+    if on_short == "report":
+        members.append(F.when(short, F.struct(F.lit(None).cast("int").alias("fold"), F.lit("short").alias("role"))))
     return rows.withColumn("_member", F.explode(F.array_compact(F.array(*members)))).select(
         *indexed.columns, F.col("_member.fold").alias("fold"), F.col("_member.role").alias("role")
     )

@@ -126,6 +126,59 @@ def append_keep_last_path(spark: SparkSession, path: str, batch: DataFrame, key:
     return write_version(spark, path, append_keep_last(read_version(spark, path), batch, key, order))
 
 
+def append_keep_last_days(
+    spark: SparkSession, path: str, batch: DataFrame, key: list[str], order: list[Column], time: str
+) -> list[str]:
+    """As ``append_keep_last`` on a table kept by day of ``time``: only the batch's days are read and written.
+
+    A day's rows are one complete version below ``day=…``; a new one takes the old one's place by a rename, so a
+    reader, or a run that is broken off, sees the day as it was or as it is to be. ``time`` is part of the key: a row
+    can only replace one of its own day. Days are in the session's time zone; rows without a time are a day of their
+    own. The days written are returned."""
+    if time not in key:
+        raise ValueError(f"rows of one key may lie on several days: {time} is not part of {key}")
+    dated = batch.withColumn("_day", F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit(NO_DAY)))
+    days = sorted(r[0] for r in dated.select("_day").distinct().collect())  # one row for each day of the batch
+    if not days:
+        return []
+    before = read_days(spark, path, days)
+    merged = append_keep_last(before, batch, key, order)
+    merged = merged.withColumn("_day", F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit(NO_DAY)))
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    # Few files for small days; adaptive execution splits large ones.
+    merged.hint("rebalance", "_day").write.partitionBy("_day").parquet(staging)
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    where = jvm.org.apache.hadoop.fs.Path
+    for day in days:
+        old = _day_versions(spark, path, day)
+        number = int(old[-1].split("=")[1].split("-")[0]) + 1 if old else 1
+        fs.mkdirs(where(f"{path}/day={day}"))
+        # Names sort by number; a run that is broken off here leaves whole days only.
+        fs.rename(where(f"{staging}/_day={day}"), where(f"{path}/day={day}/version={number:06d}-{uuid.uuid4().hex[:6]}"))
+        for name in old[:-1]:  # a reader may still hold the last one
+            fs.delete(where(f"{path}/day={day}/{name}"), True)
+    fs.delete(where(staging), True)
+    return days
+
+
+NO_DAY = "none"
+
+
+def _day_versions(spark: SparkSession, path: str, day: str) -> list[str]:
+    return [v for v in child_names(spark, f"{path}/day={day}") if v.startswith("version=")]
+
+
+def read_days(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame | None:
+    """The newest version of each day, or of ``days`` only; None if there is none."""
+    known = [n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith("day=")]
+    folders = []
+    for day in known if days is None else [d for d in known if d in set(days)]:
+        versions = _day_versions(spark, path, day)
+        folders += [f"{path}/day={day}/{versions[-1]}"] if versions else []
+    return spark.read.option("mergeSchema", "true").parquet(*folders) if folders else None
+
+
 def write_snapshot(df: DataFrame, base: str, run_date: dt.date | None = None) -> str:
     """Features of one run date; a second run on the date replaces the first."""
     day = run_date or dt.datetime.now(dt.timezone.utc).date()
