@@ -60,19 +60,31 @@ def test_fit_reaches_the_quantiles_of_any_errors(spark, errors):
     y = 5 + x @ [2.0, -1.0] + noise[errors]
     rows = [(period(i), float(a), float(b), float(v)) for i, ((a, b), v) in enumerate(zip(x, y))]
     indexed = q.indexed_rows(spark.createDataFrame(rows, "t timestamp, x double, z double, y double"), "y", ["x", "z"], "t", [])
-    for r in q.fit(indexed, "y", ["x", "z"], n_splits=1).filter("fold = 1").collect():
+    passed = q.fit(indexed, "y", ["x", "z"], n_splits=1, in_task=0).filter("fold = 1").collect()
+    for r in q.fit(indexed, "y", ["x", "z"], n_splits=1).filter("fold = 1").collect() + passed:
         residual = y - np.column_stack([np.ones(3000), x]) @ np.array(r["coef"])
         assert r["converged"]
         assert pinball_loss(residual, r["alpha"]) <= 1.01 * best_loss(x, y, r["alpha"])
         assert abs((residual <= 0).mean() - r["alpha"]) <= 0.02
 
 
+def test_tasks_and_passes_take_the_same_steps(panel):
+    indexed = q.indexed_rows(panel, "y", ["x", "z"], "t", ["k"])
+    found = [q.fit(indexed, "y", ["x", "z"], ["k"], n_splits=2, in_task=n).collect() for n in (400, 399)]
+    one, other = ({(r["k"], r["fold"], r["alpha"]): r for r in rows} for rows in found)
+    assert one.keys() == other.keys() and len(one) == 18
+    for key, r in one.items():
+        assert r["converged"] == other[key]["converged"] and r["coef"] == pytest.approx(other[key]["coef"], rel=1e-6)
+
+
 def test_short_series_has_a_final_model(spark):
     rng = np.random.default_rng(2)
     rows = [(period(i), k, float(rng.normal()), float(i % 7)) for k, n in ((1, 400), (2, 50)) for i in range(n)]
     df = spark.createDataFrame(rows, "t timestamp, k int, y double, x double")
     models, _ = q.train_per_series(df, "y", ["x"], "t", ["k"])
     assert {(r["k"], r["fold"]) for r in models.collect()} == {(1, f) for f in range(6)} | {(2, 5)}
+    mixed = q.fit(q.indexed_rows(df, "y", ["x"], "t", ["k"]), "y", ["x"], ["k"], in_task=100)
+    assert {(r["k"], r["fold"]) for r in mixed.collect()} == {(1, f) for f in range(6)} | {(2, 5)}
     assert q.score(df, models, ["x"], ["k"]).count() == 450
 
 

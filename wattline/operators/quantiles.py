@@ -7,12 +7,16 @@ A pass sums the normal equations per model; the sums are combined map-side, so a
 its task no more than any other. The step itself (a few dozen numbers per model) is solved as rows
 of a distributed table. Models whose loss no longer falls leave the passes; one that still moves
 after the last pass is marked as not converged.
+
+Series of up to ``IN_TASK`` rows take the same steps inside one task each, without a job per pass.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,12 +26,13 @@ from wattline.functions.columns import join_null_safe
 from wattline.functions.reference import ALPHAS, DAY_PERIODS
 from wattline.operators.evaluate import fold_members, pinball
 from wattline.operators.windows import row_index
-from wattline.session import BROADCAST_BYTES, settled
+from wattline.session import BROADCAST_BYTES, settled, ship
 
 RIDGE = 1e-8
 PASSES = 60  # at most
 SETTLED = 2e-4  # relative fall of the loss in one pass at which a model is done
 SHARPNESS = 0.01  # residuals count as this share of their mean size at least
+IN_TASK = 200_000  # rows of a series that one task may hold: 16 MB with nine features
 BEYOND = 1.7  # length of a step in distances to the quadratic's minimum; below 2 the loss still falls
 
 
@@ -109,6 +114,59 @@ def _solve(sums: DataFrame, by: list[str], size: int) -> DataFrame:
     return sums.mapInPandas(solve, kept.add("before", "double").add("converged", "boolean"))
 
 
+def _normal(gram: np.ndarray, cross: np.ndarray) -> np.ndarray:
+    """Solution of normal equations, with a little ridge on scaled columns."""
+    unit = np.sqrt(np.maximum(gram.diagonal(), 1e-12))
+    return np.linalg.solve(gram / np.outer(unit, unit) + RIDGE * np.eye(len(unit)), cross / unit) / unit
+
+
+def fit_rows(x: np.ndarray, y: np.ndarray, alpha: float, passes: int = PASSES) -> tuple[np.ndarray, bool]:
+    """(coefficients, converged) on rows of one task; the steps are those of ``fit``."""
+    coef = _normal(x.T @ x, x.T @ y)
+    scale, before = float(np.sqrt(np.maximum(y @ y - coef @ (x.T @ y), 0.0) / max(len(y), 1))) + 1e-6, None
+    for _ in range(passes):
+        r = y - x @ coef
+        size, loss = np.abs(r) + scale * SHARPNESS, float(np.maximum(alpha * r, (alpha - 1) * r).mean())
+        if before is not None and before - loss <= SETTLED * before:
+            return coef, True
+        found = _normal((x / size[:, None]).T @ x, x.T @ (y / size + 2 * alpha - 1))
+        coef, scale, before = coef + BEYOND * (found - coef), float(np.abs(r).mean()) + 1e-9, loss
+    return coef, False
+
+
+def _fit_in_tasks(
+    indexed: DataFrame, target: str, features: list[str], keys: list[str], alphas: list[float], n_splits: int, gap: int, passes: int
+) -> DataFrame:
+    """As ``fit``, for series that one task may hold."""
+    ship(indexed.sparkSession)
+    named = {f"_k{i}": k for i, k in enumerate(keys)}
+    by = list(named) or ["_k"]
+    columns = [F.col(k).alias(n) for n, k in named.items()] or [F.lit(0).alias("_k")]
+    rows = indexed.select(*columns, F.col("row_no").alias("_row"), F.col(target).alias("_y"), *[F.col(f).alias(f"_x{i}") for i, f in enumerate(features)])
+    out = T.StructType([rows.schema[n] for n in by])
+    out = out.add("fold", T.IntegerType()).add("alpha", T.DoubleType()).add("coef", T.ArrayType(T.DoubleType())).add("converged", T.BooleanType())
+
+    def run(series: pa.Table) -> pa.Table:
+        row, y = (series.column(c).to_numpy() for c in ("_row", "_y"))
+        x = np.column_stack([np.ones(len(y)), *[series.column(f"_x{i}").to_numpy() for i in range(len(features))]])
+        n, size = len(y), len(y) // (n_splits + 1)
+        short = size < 1 or n - gap - size * n_splits <= 0
+        ends = {} if short else {i: n - (n_splits - i) * size - gap for i in range(n_splits)}
+        found = []
+        for fold, end in {**ends, n_splits: n}.items():
+            train = row < end
+            found += [(fold, float(a), *fit_rows(x[train], y[train], a, passes)) for a in alphas]
+        fold, alpha, coef, converged = zip(*found, strict=True)
+        keys_of = [series.column(c).combine_chunks().take(pa.array([0] * len(found))) for c in by]
+        return pa.Table.from_arrays(
+            [*keys_of, pa.array(fold, pa.int32()), pa.array(alpha), pa.array([c.tolist() for c in coef], pa.list_(pa.float64())), pa.array(converged)],
+            names=[*by, "fold", "alpha", "coef", "converged"],
+        )
+
+    fitted = rows.groupBy(*by).applyInArrow(run, out)
+    return fitted.select(*[F.col(n).alias(k) for n, k in named.items()], "fold", "alpha", "coef", "converged")
+
+
 def indexed_rows(df: DataFrame, target: str, features: list[str], ts: str, keys: list[str]) -> DataFrame:
     """Complete rows as doubles, with their position in the series."""
     rows = df.select(
@@ -126,13 +184,26 @@ def fit(
     n_splits: int = 5,
     gap: int = DAY_PERIODS,
     passes: int = PASSES,
+    in_task: int = IN_TASK,
 ) -> DataFrame:
     """(keys, fold, alpha, coef, converged) for every walk-forward fold, and fold ``n_splits`` for all rows.
 
-    A series too short for the folds has the last model only. Coefficients are checkpointed after each
-    pass, so the plan does not grow with the passes.
+    A series too short for the folds has the last model only. Series of more than ``in_task`` rows are fitted in
+    passes over all rows; coefficients are checkpointed after each pass, so the plan does not grow with them.
     """
     keys = list(keys)
+    few, many = indexed.agg(F.count_if(F.col("series_rows") <= in_task), F.count_if(F.col("series_rows") > in_task)).first()
+    small = indexed.filter(F.col("series_rows") <= in_task)
+    found = settled(_fit_in_tasks(small, target, features, keys, alphas, n_splits, gap, passes)) if few else None
+    if not many and found is not None:
+        return found
+    large = _fit_in_passes(indexed.filter(F.col("series_rows") > in_task), target, features, keys, alphas, n_splits, gap, passes)
+    return large if found is None else settled(found.unionByName(large))
+
+
+def _fit_in_passes(
+    indexed: DataFrame, target: str, features: list[str], keys: list[str], alphas: list[float], n_splits: int, gap: int, passes: int
+) -> DataFrame:
     train = fold_members(indexed, n_splits, gap, "skip", final=True).filter("role = 'train'")
     size = len(features) + 1
     start = _solve(_start_sums(train, [*keys, "fold"], features, target), [*keys, "fold"], size)
