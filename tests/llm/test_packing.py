@@ -18,7 +18,7 @@ def test_limits_pad_least(buckets):
     for _ in range(20):
         lengths = [rng.randint(0, 12) for _ in range(rng.randint(1, 40))]
         values, counts = np.unique(lengths, return_counts=True)
-        limits = packing.best_limits(values.astype(float), counts.astype(float), (values * counts).astype(float), buckets)
+        limits = packing.best_limits(values.astype(float), counts.astype(float), buckets)
         choices = itertools.combinations(values[:-1].tolist(), min(buckets, len(values)) - 1)
         assert padding(lengths, limits) == min(padding(lengths, [*c, values[-1]]) for c in choices)
 
@@ -46,12 +46,34 @@ def test_every_document_once_in_batches_within_the_budget(spark, monkeypatch):
     assert len(batches) == 4
 
 
-def test_given_lengths_bins_and_empty_table(spark):
+def test_many_lengths_are_parted_as_by_trying_every_start():
+    rng = np.random.default_rng(4)
+    for b, buckets in ((1, 3), (2, 2), (300, 7), (301, 16)):
+        lengths = np.unique(rng.integers(0, 40_000, b)).astype(float)
+        counts = rng.integers(1, 50, len(lengths)).astype(float)
+        n, s = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, counts * lengths))
+        cost = np.concatenate([[0.0], np.full(len(lengths), np.inf)])
+        for _ in range(min(buckets, len(lengths))):
+            new = np.full(len(cost), np.inf)
+            for j in range(1, len(cost)):
+                new[j] = (cost[:j] + lengths[j - 1] * (n[j] - n[:j]) - (s[j] - s[:j])).min()
+            cost = new
+        limits = np.array(packing.best_limits(lengths, counts, buckets))
+        assert len(limits) == min(buckets, len(lengths)) and limits[-1] == lengths[-1]
+        assert ((limits[np.searchsorted(limits, lengths)] - lengths) * counts).sum() == cost[-1]
+
+
+def test_rows_without_an_id_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS_NUMBERED", 10)
+    df = spark.createDataFrame([(None, "a b c")] * 200, "doc_id long, text string")
+    got = packing.pack(df, budget=9).collect()
+    assert sorted((r.batch_id, r.slot) for r in got) == [(i // 3, i % 3) for i in range(200)]
+
+
+def test_given_lengths_and_empty_table(spark):
     df = spark.createDataFrame([(i, 1 << i) for i in range(25)] + [(99, None)], "doc_id long, tokens long")
     got = {r.doc_id: r for r in packing.pack(df.withColumn("text", F.lit("x")), F.col("tokens"), buckets=30).collect()}
     assert got[24].n_tokens == got[24].padded_to == 1 << 24 and got[99].n_tokens == 0
-    ends = spark.range(1, 5000).select("id", packing.bin_of(F.col("id")).alias("b")).collect()
-    assert all(r.b >= r.id and r.b <= r.id * 1.01 + 1 for r in ends) and all(r.b == r.id for r in ends if r.id <= 256)
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 

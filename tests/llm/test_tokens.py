@@ -74,3 +74,21 @@ def test_forced_boundaries_come_from_the_vocabulary():
     assert codec.splits and not bpe.Codec(BYTES).splits
     assert codec.fragments(b"abc.def12") == [b"abc", b".", b"def", b"1", b"2"]
     assert codec.fragments(b"don't") == [b"don't"]
+
+
+def test_places_of_a_chunk_are_those_of_its_whole_encoding():
+    counter = token_counts.WordCounts(BYTES)
+    rng = random.Random(6)
+    cut = 0
+    for text in [*texts()[len(ODD):], *(" ".join(map(str, rng.choices(ODD[5:], k=40))) for _ in range(30)), "x" * 400, " " * 300 + "\n" * 99]:
+        for overlap in (70, 90):
+            if len(text) <= 2 * overlap:
+                continue
+            cut += token_counts.safe_ends(text, overlap) != (0, 0)
+            encoding = counter.tokenizer.encode(text, add_special_tokens=False)
+            every = token_counts.piece_starts(encoding)
+            left, right, n = token_counts.chunk_places(counter, text, overlap)
+            assert n == len(encoding)
+            assert left == [p for p in every if p[0] < overlap]
+            assert right == [p for p in every if len(text) - overlap <= p[0] <= len(text) - token_counts.MARGIN]
+    assert cut > 50

@@ -25,21 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from wattline.llm.common import ship, text_of
-from wattline.llm.token_counts import BATCH, MEMO_LENGTH, MEMO_WORDS, load
+from wattline.llm.token_counts import BATCH, MEMO_LENGTH, byte_of_symbol, load
 
+#: Fragments that a worker remembers at once.
+MEMO_WORDS = 300_000
 SPACES = b" \t\n\r\x0b\x0c"
 #: Where the class of ASCII bytes may change: a letter run, a digit, a sign run, anything else.
 RUNS = re.compile(rb"[A-Za-z]+|[0-9]|[!-&(-/:-@\[-`{-~]+|[^!-~]+|'")
 
 
-def byte_of_symbol() -> dict[str, int]:
-    """The byte that each symbol of byte-level vocabularies stands for: printable Latin-1 bytes stand
-    for themselves, the others, in order, for the symbols from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
-
-
 def pair_table(tokens: list[bytes]) -> np.ndarray:
     """[a, b]: whether byte b follows byte a inside any token."""
     table = np.zeros((256, 256), dtype=bool)

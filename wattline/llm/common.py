@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +43,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of stored tables, for as long as their DataFrames are held.
+_PATHS: "WeakKeyDictionary[DataFrame, str]" = WeakKeyDictionary()
+#: Whether a query's shuffle files go when it has ended, rather than when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once into a table of the shared folder: lineage ends there, no executor holds it alone."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` computed once into a table of the shared folder: lineage ends there, no executor holds it alone, and
+    the shuffle files it took are not needed any longer."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def free(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any longer."""
+    for table in tables:
+        path = _PATHS.pop(table, None)
+        if path:
+            context = table.sparkSession.sparkContext
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_of(docs: DataFrame) -> Column:
@@ -59,6 +88,26 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+class Memo:
+    """A dictionary of bounded size: what wasn't asked for while ``size`` other entries came in is forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 #: Bits of the filter of ``likely``, in bitmaps of Spark's 32,768 bits: 4 MB at any input size.
 FILTER_BITS, BITMAP_BITS = 1 << 25, 1 << 15
 

@@ -1,10 +1,10 @@
 """Packing: optimal length buckets from the global histogram, token-budget batches inside each.
 
-Lengths are counted over all documents. Lengths above 256 share bins of under 1 % width, so the
-histogram has a few thousand bins at any input size; dynamic programming over it chooses the bucket
-limits with the least padding. A document longer than the token budget makes a batch of its own.
-Null and empty texts have length 0 and go to the shortest bucket. Rows without an id and repeated
-rows are packed like any other. Other columns are not read. An empty table gives no rows.
+Lengths are counted over all documents; there are no more different lengths than tokens in the longest
+document. Dynamic programming over their histogram chooses the bucket limits with the least padding of
+all. A document longer than the token budget makes a batch of its own. Null and empty texts have length 0
+and go to the shortest bucket. Rows without an id and repeated rows are packed like any other. Other
+columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,31 +29,18 @@ def n_words(docs: DataFrame) -> Column:
     return F.regexp_count(text_of(docs), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def bin_of(n: Column) -> Column:
-    """Upper end of the bin of length ``n``: exact up to 256, then 128 bins an octave."""
-    octave = F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double")))
-    step = F.pow(F.lit(2.0), F.greatest(octave - 7, F.lit(0))).cast("long")
-    return F.ceil(n / step) * step
-
-
-def best_limits(lengths: np.ndarray, counts: np.ndarray, sums: np.ndarray, buckets: int) -> list[int]:
-    """Bucket limits among ``lengths`` (ascending, the longest of each bin) with the least total padding."""
+def best_limits(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
+    """Bucket limits among ``lengths`` (ascending) with the least total padding."""
     b = len(lengths)
     if not b:
         return []
-    n, s = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(sums)])
+    n, s = (np.concatenate([[0.0], np.cumsum(x)]) for x in (counts, counts * lengths))
     cost = np.full(b + 1, np.inf)
     cost[0] = 0.0
     came: list[np.ndarray] = []
-    for _ in range(min(buckets, b)):
-        new, frm = np.full(b + 1, np.inf), np.zeros(b + 1, dtype=np.int64)
-        for j in range(1, b + 1):
-            # Bins i..j-1 in one bucket padded to lengths[j-1].
-            total = cost[:j] + lengths[j - 1] * (n[j] - n[:j]) - (s[j] - s[:j])
-            frm[j] = int(np.argmin(total))
-            new[j] = total[frm[j]]
+    for used in range(min(buckets, b)):
+        cost, frm = _next_bucket(cost, lengths, n, s, used)
         came.append(frm)
-        cost = new
     # Exactly min(buckets, b) buckets: one more never adds padding.
     limits, j = [], b
     for frm in reversed(came):
@@ -62,6 +49,36 @@ def best_limits(lengths: np.ndarray, counts: np.ndarray, sums: np.ndarray, bucke
     return limits[::-1]
 
 
+def _next_bucket(cost: np.ndarray, lengths: np.ndarray, n: np.ndarray, s: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least padding of the first j lengths with one bucket more, for every j, and where that bucket starts.
+
+    The best start never moves back as j grows. So the middle of a range of j is solved first, over the starts that
+    remain possible, and parts the starts for both halves; all ranges of one size are solved at once."""
+    b = len(lengths)
+    new, frm = np.full(b + 1, np.inf), np.zeros(b + 1, dtype=np.int64)
+    # Ranges of j, and of starts; with ``used`` buckets before, at least so many lengths lie before.
+    low, high, first, last = (np.array([x]) for x in (used + 1, b, used, b - 1))
+    while len(low):
+        middle = (low + high) // 2
+        ends = np.minimum(last, middle - 1)
+        sizes = ends - first + 1
+        at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        start = np.repeat(first - at, sizes) + np.arange(sizes.sum())
+        j = np.repeat(middle, sizes)
+        total = cost[start] + lengths[j - 1] * (n[j] - n[start]) - (s[j] - s[start])
+        least = np.minimum.reduceat(total, at)
+        hit = np.flatnonzero(total == np.repeat(least, sizes))
+        _, pick = np.unique(j[hit], return_index=True)
+        best = start[hit[pick]]
+        new[middle], frm[middle] = least, best
+        halves = [(low, middle - 1, first, best), (middle + 1, high, best, last)]
+        low, high, first, last = (np.concatenate([x[k] for x in halves]) for k in range(4))
+        order = np.argsort(low, kind="stable")
+        keep = order[low[order] <= high[order]]
+        low, high, first, last = low[keep], high[keep], first[keep], last[keep]
+    return new, frm
+
+
 def pack(
     docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET
 ) -> DataFrame:
@@ -72,11 +89,9 @@ def pack(
     words between white space, of which a text in a script without spaces has one.
     """
     n = F.greatest(F.coalesce(length if length is not None else n_words(docs), F.lit(0)).cast("long"), F.lit(0).cast("long"))
-    rows = stored(docs.select(F.col("doc_id"), n.alias("n")), "packing-lengths")
-    bins = rows.groupBy(bin_of(F.col("n")).alias("bin")).agg(
-        F.count("*").alias("count"), F.sum("n").alias("sum"), F.max("n").alias("longest")
-    )
-    got = sorted((r.longest, r["count"], r["sum"]) for r in bins.collect())
+    rows = stored(docs.select("doc_id", n.alias("n")).withColumn("row", F.monotonically_increasing_id()), "packing-lengths")
+    # A row for each different length.
+    got = sorted((r.n, r["count"]) for r in rows.groupBy("n").count().collect())
     total = sum(r[1] for r in got)
     if not total:
         kind = rows.schema["doc_id"].dataType.simpleString()
@@ -85,13 +100,13 @@ def pack(
     shards = int(min(MOST_SHARDS, -(-total // ROWS_NUMBERED)))
     ends = F.array(*[F.lit(x).cast("long") for x in limits])
     dealt = rows.withColumn("bucket", F.size(F.filter(ends, lambda e: e < F.col("n")))).withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", "n"), F.lit(shards)).cast("int")
+        "shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     )
     # Up to buckets x MOST_SHARDS rows, hence a broadcast of bounded size.
     sizes = dealt.groupBy("bucket", "shard").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("bucket", "shard").orderBy("doc_id", "n")
+    within = Window.partitionBy("bucket", "shard").orderBy("doc_id", "n", "row")
     at = F.col("offset") + F.row_number().over(within) - 1
     padded = F.element_at(ends, F.col("bucket") + 1)
     limit = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(padded, F.lit(1)))).cast("int")

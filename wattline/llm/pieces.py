@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from wattline.llm.common import ship, text_of
+from wattline.llm.common import Memo, ship, text_of
 
 #: The space mark of pieces.
 MARK = "▁"
@@ -46,26 +46,6 @@ RUNS = re.compile(f"[{MARK}A-Za-z]+|[^{MARK}A-Za-z]+")
 BATCH = 64
 
 
-class Memo:
-    """A dictionary of bounded size: what wasn't asked for while ``size`` other entries came in is forgotten."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def get(self, key):
-        found = self.young.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.put(key, found)
-        return found
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-
 def merged(symbols: list[str], ranks: dict[str, float]) -> list[str]:
     """Plain byte-pair merging: best rank first, leftmost among equals."""
     symbols = list(symbols)

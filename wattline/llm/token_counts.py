@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,17 +24,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from wattline.llm.common import ship, stored, text_of
+from wattline.llm.common import Memo, ship, stored, text_of
 
 #: Characters of a chunk and of its overlap with the one before.
 CHUNK, OVERLAP = 32_768, 1_024
+#: Chunks of a task.
+CHUNKS = 128
 #: A left chunk's last characters may be encoded otherwise than in the whole text: a contraction or a
 #: special token may be cut there. Longer than either.
 MARGIN = 64
-#: Words whose counts a worker remembers at once, and how long such a word may be.
-MEMO_WORDS, MEMO_LENGTH = 300_000, 64
+#: Words whose counts a worker remembers in each of two generations, and how long such a word may be.
+MEMO_WORDS, MEMO_LENGTH = 450_000, 64
 #: Texts that the library encodes in one call.
 BATCH = 64
+#: A space behind any other character than white space: a piece starts there, whatever follows.
+CUT = re.compile(r"(?<=\S) ")
 LIMIT = 1_024
 
 
@@ -48,6 +53,14 @@ def load(path: str):
     return tokenizer
 
 
+def byte_of_symbol() -> dict[str, int]:
+    """The byte that each symbol of byte-level vocabularies stands for: printable Latin-1 bytes stand
+    for themselves, the others, in order, for the symbols from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
+
+
 class WordCounts:
     """Token counts of texts, with the counts of words remembered.
 
@@ -61,8 +74,13 @@ class WordCounts:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.merge = self.tokenizer.model.tokenize
-        self.memo: dict[str, int] = {}
-        self.signs = {"": 0}
+        self.memo, self.letters, self.signs = (Memo(MEMO_WORDS) for _ in range(3))
+
+    def encode(self, texts: list[str]) -> list[int]:
+        found: list[int] = []
+        for i in range(0, len(texts), BATCH):
+            found += map(len, self.tokenizer.encode_batch_fast(texts[i : i + BATCH], add_special_tokens=False))
+        return found
 
     def count_word(self, word: str) -> int:
         """Tokens of a space and ``word``. U+0120 is the vocabulary's symbol for the space."""
@@ -70,41 +88,58 @@ class WordCounts:
         if not plain:
             return self.encode([" " + word])[0]
         letters, signs = plain.groups()
-        if signs not in self.signs:
-            if len(self.signs) > MEMO_WORDS:
-                self.signs = {"": 0}
-            self.signs[signs] = self.encode([signs])[0]
-        return len(self.merge("\u0120" + letters)) + self.signs[signs]
+        n = self.letters.get(letters)
+        if n is None:
+            n = len(self.merge("\u0120" + letters))
+            if len(letters) <= MEMO_LENGTH:
+                self.letters.put(letters, n)
+        if not signs:
+            return n
+        more = self.signs.get(signs)
+        if more is None:
+            more = self.encode([signs])[0]
+            if len(signs) <= MEMO_LENGTH:
+                self.signs.put(signs, more)
+        return n + more
+
+    def learn(self, words: list[str]) -> dict[str, int]:
+        """Tokens of each word with a space before it; -1 for one that ends in white space or is empty, as the next
+        space is no cut then."""
+        found = {}
+        for w in words:
+            n = self.memo.get(w)
+            if n is None:
+                n = self.count_word(w) if w and not w[-1].isspace() else -1
+                if len(w) <= MEMO_LENGTH:
+                    self.memo.put(w, n)
+            found[w] = n
+        return found
 
-    def encode(self, texts: list[str]) -> list[int]:
-        found: list[int] = []
-        for i in range(0, len(texts), BATCH):
-            found += map(len, self.tokenizer.encode_batch_fast(texts[i : i + BATCH], add_special_tokens=False))
+    def counts(self, words: list[str]) -> list[int]:
+        found = list(map(self.memo.young.get, words))
+        if None in found:
+            new = self.learn(list({w for w, n in zip(words, found, strict=True) if n is None}))
+            found = [new[w] if n is None else n for w, n in zip(words, found, strict=True)]
         return found
 
     def count(self, text: str) -> int:
         first, *words = text.split(" ")
-        if not words:
-            return self.encode([text])[0]
-        counts = list(map(self.memo.get, words))
-        if None in counts:
-            missing = list({w for w, n in zip(words, counts, strict=True) if n is None})
-            # A word that ends in white space makes the next space no safe cut; so does an empty word.
-            safe = [w for w in missing if w and not w[-1].isspace()]
-            new = dict.fromkeys(missing, -1) | {w: self.count_word(w) for w in safe}
-            counts = [new[w] if n is None else n for w, n in zip(words, counts, strict=True)]
-            if len(self.memo) > MEMO_WORDS:
-                self.memo.clear()
-            self.memo.update((w, n) for w, n in new.items() if len(w) <= MEMO_LENGTH)
+        counts = self.counts(words)
         # The last word has no cut behind it, so its end matters only inside.
-        if min(counts) < 0 or first and first[-1].isspace():
+        if not words or min(counts) < 0 or first and first[-1].isspace():
             return self.encode([text])[0]
         return sum(counts) + (self.encode([first])[0] if first else 0)
 
 
+@lru_cache(2)
+def word_counts(path: str) -> WordCounts:
+    """One for each worker, kept from task to task."""
+    return WordCounts(path)
+
+
 def _count_small(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = WordCounts(path)
+        counter = word_counts(path)
         for batch in batches:
             counts = [counter.count(t.as_py()) for t in batch.column("text")]
             yield pa.record_batch(
@@ -147,18 +182,43 @@ def piece_starts(encoding) -> list[tuple[int, int]]:
     return found
 
 
+def safe_ends(text: str, overlap: int) -> tuple[int, int]:
+    """Places of certain cuts, the first behind the left overlap and the last before the right one; 0 and 0 for none."""
+    first = CUT.search(text, overlap)
+    last = len(text) - overlap
+    while last > 0 and not (text[last] == " " and not text[last - 1].isspace()):
+        last = text.rfind(" ", 0, last)
+    return (first.start(), last) if first and first.start() < last else (0, 0)
+
+
+def chunk_places(counter: WordCounts, text: str, overlap: int) -> tuple[list, list, int]:
+    """Where pieces start in a chunk's left and right overlap, with the tokens before each, and the tokens of all.
+
+    What lies between the overlaps is counted by words; its ends are certain cuts, so that its tokens, and those of
+    the parts around it, are the ones of the whole chunk."""
+    start, end = safe_ends(text, overlap)
+    tokenizer, size = counter.tokenizer, len(text)
+    head = tokenizer.encode(text[:start] if end else text, add_special_tokens=False)
+    left = piece_starts(head)
+    if not end:
+        return [p for p in left if p[0] < overlap], [p for p in left if size - overlap <= p[0] <= size - MARGIN], len(head)
+    tail = tokenizer.encode(text[end:], add_special_tokens=False)
+    before = len(head) + counter.count(text[start:end])
+    right = [(end + p, before + k) for p, k in piece_starts(tail)]
+    return [p for p in left if p[0] < overlap], [p for p in right if size - overlap <= p[0] <= size - MARGIN], before + len(tail)
+
+
 def _encode_chunks(path: str, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
+        counter = word_counts(path)
         kind = pa.map_(pa.int64(), pa.int64())
         for batch in batches:
             head, tail, total = [], [], []
             for start, text in zip(batch.column("start").to_pylist(), batch.column("chunk").to_pylist(), strict=True):
-                encoding = tokenizer.encode(text, add_special_tokens=False)
-                starts = piece_starts(encoding)
-                head.append([(start + p, k) for p, k in starts if p < overlap])
-                tail.append([(start + p, k) for p, k in starts if len(text) - overlap <= p <= len(text) - MARGIN])
-                total.append(len(encoding))
+                left, right, n = chunk_places(counter, text, overlap)
+                head.append([(start + p, k) for p, k in left])
+                tail.append([(start + p, k) for p, k in right])
+                total.append(n)
             yield pa.record_batch(
                 [
                     *(batch.column(c) for c in ("row", "i", "last")),
@@ -193,7 +253,9 @@ def _count_large(large: DataFrame, path: str, chunk: int, overlap: int) -> DataF
         cut = large.select("row", "text").mapInArrow(
             _chunks(chunk, overlap), "row long, i int, start long, last boolean, chunk string"
         )
-        spread = cut.repartition(F.xxhash64("row", "i"))
+        # A number of tasks by what there is to do, not by bytes: chunks are small and dear.
+        chunks = large.agg(F.sum(F.ceil(F.length("text") / (chunk - overlap)))).first()[0] or 1
+        spread = cut.repartition(max(1, -(-int(chunks) // CHUNKS)), F.xxhash64("row", "i"))
         encoded = spread.mapInArrow(
             _encode_chunks(path, overlap),
             "row long, i int, last boolean, head map<long,long>, tail map<long,long>, total long",
