@@ -11,7 +11,7 @@ tokenizers = pytest.importorskip("tokenizers")
 sentencepiece = pytest.importorskip("sentencepiece")
 P = pytest.importorskip("public_tokenizers")
 
-from wattline.llm import alignment, bpe, queries
+from wattline.llm import alignment, queries, token_counts
 from wattline.llm.common import table
 
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
@@ -26,7 +26,7 @@ ODD = [
 def libraries():
     a = tokenizers.Tokenizer.from_file(A)
     a.encode_special_tokens = True
-    symbols = bpe.byte_of_symbol()
+    symbols = token_counts.byte_of_symbol()
     b = sentencepiece.SentencePieceProcessor(model_file=B)
 
     def a_tokens(text):
@@ -107,20 +107,25 @@ def test_equals_the_libraries(spark, libraries, sizes):
     assert sorted(map(tuple, hashed.collect()), key=str) == sorted(((i, *r) for i, r in zip(ids, shown, strict=True)), key=str)
 
 
-def test_whole_texts_equal_words(libraries, monkeypatch):
+def test_whole_texts_equal_words(monkeypatch):
+    monkeypatch.setattr(alignment, "MEMO_WORDS", 50)
     words, whole = alignment.Aligner(A, B), alignment.Aligner(A, B)
     assert words.cuts
     whole.cuts = False
-    monkeypatch.setattr(alignment, "MEMO_WORDS", 50)
     for text in filter(None, texts(200)):
-        one = whole.forms([text])[text]
-        own = words.words(text)
-        parts = words.forms(list(set(own)))
-        parts = [parts[w] for w in own]
-        assert (one is None) == (None in parts)
-        if one is not None:
-            assert one[3] == ";".join(p[3] for p in parts) and one[:3] == tuple(sum(p[k] for p in parts) for k in range(3))
-            assert one[4].tolist() == np.concatenate([p[4] for p in parts]).tolist()
+        one, other = words.align(text), whole.align(text)
+        assert (one is None) == (other is None)
+        if one:
+            assert one.groups() == other.groups() and (one.links() == other.links()).all()
+            assert (len(one.a), len(one.b), len(one.common)) == (len(other.a), len(other.b), len(other.common))
+
+
+def test_links_are_counted_in_parts(spark, libraries, monkeypatch):
+    monkeypatch.setattr(alignment, "LINKS", 3)
+    values = texts(5)
+    _, counts = by_hand(values, libraries)
+    _, pairs = alignment.aligned(frame(spark, values), A, B)
+    assert {(r.a_id, r.b_id): r.n for r in pairs.collect()} == counts
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 100, 20_000])

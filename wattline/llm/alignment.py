@@ -3,8 +3,8 @@
 Both tokenizers encode each text; byte offsets where tokens of both end cut the text into groups, and tokens
 whose byte ranges overlap are linked. How often a pair of ids is linked is counted over the whole corpus:
 
-* Documents are dealt to blocks of bounded size. A first pass aligns them and keeps, with each block, its
-  distinct pairs and their counts.
+* Documents are dealt to blocks of bounded size. A first pass aligns them and keeps, with each block, the ids of
+  its different words, its distinct pairs and their counts, and each document as the numbers of its words.
 * The distinct pairs of all blocks are dealt to shards, and each shard gets a minimal perfect hash: levels of
   bit arrays, in which a key that is alone at its place has it, and the others go on to the next level. Blocks'
   counts become dense vectors indexed by the hash and are summed as a tree, first by node, then by shard.
@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,26 +35,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.llm import pieces, token_counts
-from wattline.llm.bpe import byte_of_symbol
-from wattline.llm.common import ship, stored, text_of
+from wattline.llm.common import Memo, ship, stored, text_of
 
 #: Characters of a block, about: what one task of the second pass holds.
-BLOCK = 1 << 24
+BLOCK = 1 << 23
 #: Pairs of a shard, about, counted once for each block they occur in.
 SHARD = 1 << 20
 #: Blocks whose counts are summed in one node of the tree.
 FAN = 64
-#: Words whose alignment a worker remembers in each of two generations, and how long such a word may be.
-MEMO_WORDS, MEMO_LENGTH = 100_000, 64
+#: Words whose ids a worker remembers in each of two generations, and how long such a word may be.
+MEMO_WORDS, MEMO_LENGTH = 150_000, 64
+#: Words that are encoded in a row, and links that are counted at a time.
+ROW, LINKS = 1_024, 1 << 20
 #: Size of a level of the hash for each key still to be placed, and the number of levels.
 LOAD, LEVELS = 2, 48
 #: Words are cut before a space behind any other character than white space.
 CUT, UNCUT = re.compile(r"(?<=\S) "), re.compile(r"\s ")
-Form = tuple[int, int, int, str, np.ndarray]  # tokens of both, groups, the groups in writing, linked pairs
-
-
-def pair_key(a: int, b: int) -> int:
-    return a << 32 | b
 
 
 class Aligner:
@@ -67,12 +62,23 @@ class Aligner:
         self.b = pieces.load(b_path)
         with open(a_path, encoding="utf-8") as file:
             spec = json.load(file)
-        symbols = byte_of_symbol()
-        self.a_raw = {i: bytes([symbols[c] for c in t]) for t, i in spec["model"]["vocab"].items() if all(c in symbols for c in t)}
+        symbols = token_counts.byte_of_symbol()
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.a_raw = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            if all(c in symbols for c in token):
+                self.a_raw[i] = bytes([symbols[c] for c in token])
+        self.b_raw = self.b.raw
+        self.a_size, self.b_size = (np.array([len(r) for r in raw], np.int64) for raw in (self.a_raw, self.b_raw))
+        most = max(len(self.a_raw), len(self.b_raw))
+        # How ids are written: a comma behind most, another sign behind the last of a side.
+        self.written = {
+            sign: np.array([f"{i}{sign}" for i in range(most)], dtype=object) for sign in ",|;"
+        }
         split = spec["pre_tokenizer"] or {}
         plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         self.cuts = plain and not spec["normalizer"] and self.b.tabled
-        self.memo = pieces.Memo(MEMO_WORDS)
+        self.memo = Memo(MEMO_WORDS)
 
     def words(self, text: str) -> list[str]:
         """A text that isn't empty as words behind one space each; the whole text where no cut is certain."""
@@ -80,54 +86,133 @@ class Aligner:
             return [text]
         return CUT.split(text) if UNCUT.search(text) or text[0] == " " else text.split(" ")
 
-    def b_ids(self, word: str) -> list[int]:
-        b = self.b
-        if not b.tabled:
-            return b.library.encode(word)
-        return [i for w in b.words(word) for i in b.encode_word(w)] if word else b.encode_word("")
-
-    def forms(self, words: list[str]) -> dict[str, Form | None]:
-        """The alignment of each word with the space before it; none where bytes get lost."""
-        found: dict[str, Form | None] = {}
-        new = []
-        for w in words:
-            known = self.memo.get(w)
-            if known is None:
-                new.append(w)
-            else:
-                found[w] = known or None
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            encoded = self.a.encode_batch_fast([" " + w for w in part], add_special_tokens=False)
-            for w, e in zip(part, encoded, strict=True):
-                found[w] = self.form(w, e.ids, self.b_ids(w))
-                if len(w) <= MEMO_LENGTH:
-                    self.memo.put(w, found[w] or ())
+    def learn(self, words: list[str]) -> dict[str, tuple]:
+        """The ids of each word with the space before it, in bytes; nothing where bytes get lost."""
+        found = {w: known for w in words if (known := self.memo.get(w)) is not None}
+        new = [w for w in words if w not in found]
+        # In a row, words that end in no white space are encoded as they are alone; the mark is the one thing lost.
+        safe = [w for w in new if self.cuts and w and not w[-1].isspace() and pieces.MARK not in w]
+        for i in range(0, len(safe), ROW):
+            found |= self.row(safe[i : i + ROW])
+        for w in new:
+            if w not in found:
+                # The library adds no space to an empty text.
+                b = self.b.library.encode(w) if w or not self.b.tabled else self.b.encode_word(w)
+                ids = [np.array(x, np.int32) for x in (self.a.encode(" " + w, add_special_tokens=False).ids, b)]
+                found[w] = tuple(x.tobytes() for x in ids) if self.given_back(w, *ids) else ()
+            if len(w) <= MEMO_LENGTH:
+                self.memo.put(w, found[w])
         return found
 
-    def form(self, word: str, a: list[int], b: list[int]) -> Form | None:
-        raw = (" " + word).encode()
-        a_raw, b_raw = [self.a_raw.get(i, b"") for i in a], [self.b.raw[i] for i in b]
-        if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
-            return None
-        groups, pairs = [], []
-        i = j = a_from = b_from = 0
-        a_end, b_end = len(a_raw[0]), len(b_raw[0])
-        while True:
-            pairs.append(pair_key(a[i], b[j]))
-            ends = a_end == b_end
-            if ends:
-                groups.append(f"{','.join(map(str, a[a_from : i + 1]))}|{','.join(map(str, b[b_from : j + 1]))}")
-                a_from, b_from = i + 1, j + 1
-                if a_from == len(a):
-                    return len(a), len(b), len(groups), ";".join(groups), np.array(pairs, np.int64)
-            go_a, go_b = ends or a_end < b_end, ends or b_end < a_end
-            if go_a:
-                i += 1
-                a_end += len(a_raw[i])
-            if go_b:
-                j += 1
-                b_end += len(b_raw[j])
+    def row(self, words: list[str]) -> dict[str, tuple]:
+        """Words encoded together, and their ids parted by the bytes of each."""
+        text = " ".join(words)
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        sides = []
+        encoded = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.library.encode(text)
+        for ids, size in zip(encoded, (self.a_size, self.b_size), strict=True):
+            ids = np.array(ids, np.int32)
+            at = np.cumsum(size[ids])
+            cut = np.searchsorted(at, ends)
+            if (at[cut] != ends).any():
+                raise ValueError("a token reaches over the end of a word")
+            raw, cut = ids.tobytes(), (4 * cut + 4).tolist()
+            sides.append([raw[i:j] for i, j in zip([0, *cut], cut, strict=False)])
+        return dict(zip(words, zip(*sides, strict=True), strict=True))
+
+    def given_back(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+        return b"".join([self.a_raw[k] for k in a]) == (" " + text).encode() == b"".join([self.b_raw[k] for k in b])
+
+    def align(self, text: str | None) -> "Aligned | None":
+        words = Words(self)
+        numbers = words.numbers(text) if text else None
+        return None if numbers is None else Aligned(self, *words.ids(numbers))
+
+
+class Words:
+    """The different words of a block of texts, by number, with the ids of both tokenizers."""
+
+    def __init__(self, aligner: Aligner):
+        self.aligner, self.number, self.forms = aligner, {}, []
+
+    def numbers(self, text: str) -> np.ndarray | None:
+        """The words of a text, or none if a word's bytes get lost."""
+        words = self.aligner.words(text)
+        found = list(map(self.number.get, words))
+        if None in found:
+            new = {w for w, n in zip(words, found, strict=True) if n is None}
+            for w, form in self.aligner.learn(list(new)).items():
+                self.number[w] = len(self.forms) if form else -1
+                if form:
+                    self.forms.append(form)
+            found = list(map(self.number.__getitem__, words))
+        return None if -1 in found else np.array(found, np.int32)
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        forms = [self.forms[n] for n in numbers.tolist()]
+        return tuple(np.frombuffer(b"".join([f[k] for f in forms]), np.int32) for k in (0, 1))
+
+    def write(self) -> list[bytes]:
+        """The ids of all words, and how many each has, for both tokenizers."""
+        out = []
+        for k in (0, 1):
+            own = [f[k] for f in self.forms]
+            out += [planes(np.frombuffer(b"".join(own), np.int32)), planes(np.array([len(x) // 4 for x in own], np.int32))]
+        return out
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as their lower halves and then their upper ones, which are mostly alike and compress well."""
+    return np.ascontiguousarray(numbers.astype(np.int32).view(np.uint16).reshape(-1, 2).T).tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint16).reshape(2, -1).T).view(np.int32).ravel()
+
+
+class ReadWords:
+    """What ``Words.write`` has kept."""
+
+    def __init__(self, a_ids: bytes, a_sizes: bytes, b_ids: bytes, b_sizes: bytes):
+        self.sides = []
+        for ids, sizes in ((a_ids, a_sizes), (b_ids, b_sizes)):
+            sizes = from_planes(sizes).astype(np.int64)
+            self.sides.append((from_planes(ids), sizes, np.cumsum(sizes) - sizes))
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        for ids, sizes, starts in self.sides:
+            own = sizes[numbers]
+            before = np.cumsum(own) - own
+            out.append(ids[np.repeat(starts[numbers] - before, own) + np.arange(own.sum())])
+        return tuple(out)
+
+
+class Aligned:
+    """A text's tokens on both sides and where they end."""
+
+    def __init__(self, aligner: Aligner, a: np.ndarray, b: np.ndarray):
+        self.aligner, self.a, self.b = aligner, a, b
+        self.a_ends, self.b_ends = np.cumsum(aligner.a_size[a]), np.cumsum(aligner.b_size[b])
+        both = np.sort(np.concatenate([self.a_ends, self.b_ends]), kind="stable")
+        twice = both[1:] == both[:-1]
+        #: Ends of tokens of either side, and of both: each link overlaps just up to one of the former.
+        self.ends, self.common = both[np.r_[True, ~twice]], both[1:][twice]
+
+    def links(self) -> np.ndarray:
+        """The pair of ids of each link."""
+        a = self.a[np.searchsorted(self.a_ends, self.ends)].astype(np.int64)
+        return a << 32 | self.b[np.searchsorted(self.b_ends, self.ends)]
+
+    def groups(self) -> str:
+        """The groups in writing."""
+        written, parts, order = self.aligner.written, [], []
+        for side, (ids, ends, sign) in enumerate(((self.a, self.a_ends, "|"), (self.b, self.b_ends, ";"))):
+            group = np.searchsorted(self.common, ends)
+            parts.append(np.where(self.common[group] == ends, written[sign][ids], written[","][ids]))
+            order.append(2 * group + side)
+        place = np.argsort(np.concatenate(order), kind="stable")
+        return "".join(np.concatenate(parts)[place].tolist())[:-1]
 
 
 @lru_cache(2)
@@ -207,50 +292,54 @@ def longs(raw: bytes) -> np.ndarray:
 
 
 def _blocks(a_path: str, b_path: str, block: int, id_type: pa.DataType):
-    """First pass: documents with their block, and one row for each block with its distinct pairs."""
+    """First pass: documents with their block as numbers of words, and one row for each block with the ids of its
+    words, its distinct pairs and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, seen, size = load(a_path, b_path), Counter(), 0
-        number = TaskContext.get().partitionId() << 32
-
-        def pairs() -> pa.RecordBatch:
-            words = list(seen)
-            parts, weights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i in range(0, len(words), 4096):
-                for w, form in aligner.forms(words[i : i + 4096]).items():
-                    parts.append(form[4])
-                    weights.append(np.full(len(form[4]), seen[w], np.int64))
-            keys, counts = summed(np.concatenate(parts), np.concatenate(weights))
-            columns = [
-                pa.array([number], pa.int64()), pa.nulls(1, id_type), pa.nulls(1, pa.string()),
-                pa.array([keys.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary()),
-            ]
+        aligner, number = load(a_path, b_path), TaskContext.get().partitionId() << 32
+        words, parts, waiting, size, held = Words(aligner), [], [], 0, 0
+
+        def count() -> None:
+            parts.append(np.unique(np.concatenate(waiting), return_counts=True))
+            waiting.clear()
+
+        def whole() -> pa.RecordBatch:
+            if waiting:
+                count()
+            keys, counts = (np.concatenate([np.zeros(0, np.int64), *[p[k] for p in parts]]) for k in (0, 1))
+            raw = [*words.write(), *(x.tobytes() for x in summed(keys, counts))]
+            columns = [pa.array([number], pa.int64()), pa.nulls(1, id_type), *(pa.array([x], pa.binary()) for x in (None, *raw))]
             return pa.record_batch(columns, names=NAMES)
 
         for batch in batches:
-            start = 0
+            start, rows = 0, []
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py()
-                if text:
-                    words = aligner.words(text)
-                    if None not in aligner.forms(list(set(words))).values():
-                        seen.update(words)
-                    size += len(text)
+                own = words.numbers(text) if text else None
+                rows.append(None if own is None else planes(own))
+                if own is not None:
+                    waiting.append(Aligned(aligner, *words.ids(own)).links())
+                    held += len(waiting[-1])
+                    if held >= LINKS:
+                        count()
+                        held = 0
+                size += len(text)
                 if size >= block or i == batch.num_rows - 1:
-                    part = batch.slice(start, i + 1 - start)
-                    numbers, nothing = pa.array([number] * part.num_rows, pa.int64()), pa.nulls(part.num_rows, pa.binary())
-                    yield pa.record_batch([numbers, part.column("doc_id"), part.column("text"), nothing, nothing], names=NAMES)
-                    start = i + 1
+                    numbers, nothing = pa.array([number] * len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())
+                    ids = batch.column("doc_id").slice(start, len(rows))
+                    yield pa.record_batch([numbers, ids, pa.array(rows, pa.binary()), *[nothing] * 6], names=NAMES)
+                    start, rows = i + 1, []
                 if size >= block:
-                    yield pairs()
-                    seen, size, number = Counter(), 0, number + 1
+                    yield whole()
+                    words, parts, waiting, size, held, number = Words(aligner), [], [], 0, 0, number + 1
         if size:
-            yield pairs()
+            yield whole()
 
     return run
 
 
-NAMES = ["block", "doc_id", "text", "keys", "counts"]
+WORDS = ["a_ids", "a_sizes", "b_ids", "b_sizes"]
+NAMES = ["block", "doc_id", "words", *WORDS, "keys", "counts"]
 
 
 def _split(shards: int, nodes: int):
@@ -368,7 +457,7 @@ def _look_up(highest: dict[int, int]):
 def _finish(a_path: str, b_path: str, full: bool):
     """Second pass: the documents of a block, aligned again, with the counts of their pairs."""
 
-    def run(docs: pa.Table, looked_up: pa.Table) -> pa.Table:
+    def run(block: pa.Table, looked_up: pa.Table) -> pa.Table:
         aligner = load(a_path, b_path)
         order, counts, best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         if looked_up.num_rows:
@@ -378,45 +467,23 @@ def _finish(a_path: str, b_path: str, full: bool):
             )
             by = np.argsort(order, kind="stable")
             order, counts, best = order[by], counts[by], best[by]
-        index, forms, inside = {}, [], []
-        for text in docs.column("text"):
-            text = text.as_py()
-            places = None
-            if text:
-                words = aligner.words(text)
-                new = [w for w in dict.fromkeys(words) if w not in index]
-                for w, form in aligner.forms(new).items():
-                    index[w] = len(forms)
-                    forms.append(form)
-                places = np.fromiter(map(index.__getitem__, words), np.int32, len(words))
-            inside.append(places)
-        ok = np.array([f is not None for f in forms], dtype=bool)
-        sums = np.zeros((6, len(forms)), np.int64)
-        for i, f in enumerate(forms):
-            # Words that only occur in texts without tokens were not counted.
-            if f is not None:
-                sums[:4, i] = (*f[:3], len(f[4]))
-        counted = np.zeros(len(forms), dtype=bool)
-        for i in range(0, len(forms) if len(order) else 0, 4096):
-            own = [(i + k, f[4]) for k, f in enumerate(forms[i : i + 4096]) if f is not None]
-            if own:
-                keys = np.concatenate([p for _, p in own])
-                at = np.minimum(np.searchsorted(order, keys), len(order) - 1)
-                starts = np.cumsum([0] + [len(p) for _, p in own[:-1]])
-                to = [k for k, _ in own]
-                counted[to] = np.logical_and.reduceat(order[at] == keys, starts)
-                sums[4, to] = np.add.reduceat(best[at].astype(np.int64), starts)
-                sums[5, to] = np.add.reduceat(counts[at], starts)
-        strings = [f[3] if f is not None else "" for f in forms]
+        is_words = np.array([x.is_valid for x in block.column("a_ids")], dtype=bool)
+        held = block.filter(pa.array(is_words))
+        words = ReadWords(*(held.column(c)[0].as_py() for c in WORDS)) if held.num_rows else None
+        docs = block.filter(pa.array(~is_words))
         rows, written = np.zeros((6, docs.num_rows), np.int64), []
-        for k, places in enumerate(inside):
-            if places is None or not ok[places].all():
+        for k, own in enumerate(docs.column("words")):
+            numbers = own.as_py()
+            if numbers is None:
                 written.append("")
                 continue
-            if not counted[places].all():
+            text = Aligned(aligner, *words.ids(from_planes(numbers)))
+            links = text.links()
+            at = np.minimum(np.searchsorted(order, links), len(order) - 1)
+            if (order[at] != links).any():
                 raise ValueError("a pair of a document was not counted")
-            rows[:, k] = sums[:, places].sum(axis=1)
-            groups = ";".join(map(strings.__getitem__, places.tolist()))
+            rows[:, k] = len(text.a), len(text.b), len(text.common), len(links), best[at].sum(), counts[at].sum()
+            groups = text.groups()
             written.append(groups if full else hashlib.sha256(groups.encode()).hexdigest())
         columns = dict(zip(COUNTS, (pa.array(r) for r in rows), strict=True))
         return pa.table({"doc_id": docs.column("doc_id"), **columns, "groups" if full else "groups_sha256": pa.array(written, pa.string())})
@@ -441,8 +508,7 @@ def aligned(
     id_field = rows.schema["doc_id"]
     id_arrow = _arrow_type(id_field)
     kept = T.StructType(
-        [T.StructField("block", T.LongType()), id_field, T.StructField("text", T.StringType())]
-        + [T.StructField(c, T.BinaryType()) for c in ("keys", "counts")]
+        [T.StructField("block", T.LongType()), id_field] + [T.StructField(c, T.BinaryType()) for c in NAMES[2:]]
     )
     first = stored(rows.mapInArrow(_blocks(a_path, b_path, block, id_arrow), kept), "align-blocks")
     lists = first.where("keys IS NOT NULL").select("block", "keys", "counts")
@@ -472,8 +538,7 @@ def aligned(
     )
     shown = T.StructField("groups" if full else "groups_sha256", T.StringType())
     schema = T.StructType([id_field, *[T.StructField(c, T.LongType()) for c in COUNTS], shown])
-    own = first.where("keys IS NULL").select("block", "doc_id", "text")
-    documents = own.groupBy("block").cogroup(looked_up.groupBy("block")).applyInArrow(_finish(a_path, b_path, full), schema)
+    documents = first.select(*NAMES[:-2]).groupBy("block").cogroup(looked_up.groupBy("block")).applyInArrow(_finish(a_path, b_path, full), schema)
     return documents, table.select("keys", "counts").mapInArrow(_pairs, "a_id long, b_id long, n long")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import join_groups, stored
+from wattline.llm.common import free, join_groups, stored
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
@@ -23,12 +23,14 @@ def _steps(edges: DataFrame) -> DataFrame:
     )
     children = near.groupBy("p").agg(F.count("*").alias("n"))
     parents = stored(children.join(near.select(F.col("u").alias("p"), F.col("p").alias("to")), "p"), "parents")
-    return stored(
+    steps = stored(
         join_groups(near.select("u", "p", F.col("n").alias("edges")), parents, ["p"], ["u"]).select(
             "u", F.col("edges").alias("n"), "to"
         ),
         "steps",
     )
+    free(near, parents)
+    return steps
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -47,15 +49,18 @@ def components(edges: DataFrame) -> DataFrame:
         moved = join_groups(
             moved.select("b", "to_a"), steps.select(F.col("u").alias("b"), "n", F.col("to").alias("to_b")), ["b"], ["to_a"]
         )
-        edges = stored(_ordered(moved.select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))), "edges")
+        last, edges = edges, stored(_ordered(moved.select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))), "edges")
+        free(last)
         if labels is None:
-            labels = steps.select(F.col("u").alias("node"), F.col("to").alias("root"))
+            labels = stored(steps.select(F.col("u").alias("node"), F.col("to").alias("root")), "labels")
+            free(steps)
             continue
         sizes = labels.groupBy("root").agg(F.count("*").alias("n"))
         roots = stored(sizes.join(steps.select(F.col("u").alias("root"), "to"), "root", "left"), "roots")
-        labels = stored(
+        before, labels = labels, stored(
             join_groups(labels, roots, ["root"], ["node"]).select("node", F.coalesce("to", "root").alias("root")), "labels"
         )
+        free(before, roots, steps)
     if labels is None:
         kind = edges.schema["a"].dataType.simpleString()
         return edges.sparkSession.createDataFrame([], f"node {kind}, root {kind}")

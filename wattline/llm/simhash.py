@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import join_groups, likely, ship, stored, text_of
+from wattline.llm.common import free, join_groups, likely, ship, stored, text_of
 from wattline.llm.graph import components
 
 SEED = 42
@@ -516,14 +516,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> D
     left = join_groups(pairs, texts.withColumnRenamed("text", "text_a"), ["a"], ["b"]).select("a", "b", "text_a")
     both = join_groups(left, texts.toDF("b", "text_b", "n"), ["b"], ["a"]).select("a", "b", "text_a", "text_b")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(both.mapInArrow(_similar(k, similarity), f"a {kind}, b {kind}"), "near-verified")
+    good = stored(both.mapInArrow(_similar(k, similarity), f"a {kind}, b {kind}"), "near-verified")
+    free(involved, texts)
+    return good
 
 
 def _open_groups(shared: DataFrame, good: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their root, and the groups of a token, that verified links have not yet made one."""
-    roots = components(good).withColumnRenamed("node", "id")
-    rooted = shared.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    roots = components(good)
+    rooted = shared.drop("root").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     rooted = stored(rooted, "near-rooted")
+    free(roots)
     leader = F.min_by(F.struct("id", "size", "at", "root"), F.xxhash64("tok", "id"))
     groups = rooted.groupBy("tok").agg(
         F.count("*").alias("n"), leader.alias("lead"), F.min("root").alias("_least"), F.max("root").alias("_most")
@@ -552,6 +555,7 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
     first = rows.groupBy("tok").agg(F.count("*").alias("n"), F.min(F.struct("id", "size", "at")).alias("lead"))
     groups = stored(first.where("n > 1"), "near-groups")
     shared = stored(join_groups(likely(rows, groups, ["tok"]), groups, ["tok"], ["id"]), "near-shared")
+    free(rows, groups)
 
     apart = shared.where((F.col("id") != F.col("lead.id")) & _possible("lead", similarity))
     checked = _new_pairs(apart.select(F.col("lead.id").alias("a"), F.col("id").alias("b")), None)
@@ -559,6 +563,7 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
 
     # Groups of two are settled.
     rooted, groups = _open_groups(shared.where("n > 2").select("tok", "id", "size", "at"), good)
+    free(shared)
     if not groups.isEmpty():
         led = join_groups(rooted, groups, ["tok"], ["id"])
         apart = led.where((F.col("root") != F.col("lead.root")) & _possible("lead", similarity))
@@ -566,7 +571,9 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
         checked = checked.unionByName(pairs)
         good = good.unionByName(_verified(pairs, with_id, k, similarity))
 
+        led_rows, led_groups = rooted, groups
         rooted, groups = _open_groups(rooted, good)
+        free(led_rows, led_groups)
         parts = F.ceil(F.col("n") / MEMBERS).cast("int")
         salted = join_groups(rooted, groups.drop("lead"), ["tok"], ["id"]).withColumn("salt", F.pmod(F.xxhash64("id"), parts))
         every = join_groups(rooted, groups.drop("lead"), ["tok"], ["id"]).withColumn(
@@ -578,6 +585,8 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
         )
         pairs = _new_pairs(apart.select(F.col("id").alias("a"), F.col("other.id").alias("b")), checked)
         good = good.unionByName(_verified(pairs, with_id, k, similarity))
+        free(pairs)
+    free(rooted, groups)
     roots = components(good)
     gone = roots.where("node <> root").select(F.col("node").alias("doc_id"))
     return docs.join(gone, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
