@@ -1,21 +1,22 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
-from wattline.llm import toxicity
+from wattline.llm import queries, toxicity
 
 
 def test_index_returns_the_exact_nearest():
     rng = random.Random(4)
     vectors = [{t: rng.random() for t in rng.sample(range(40), rng.randint(1, 6))} for _ in range(500)]
     vectors += [dict(vectors[3]) for _ in range(40)]  # ties
-    index = toxicity.BlockMaxIndex(vectors, 40)
+    index = toxicity.BlockMaxIndex([(np.array(list(v)), np.array(list(v.values()))) for v in vectors], 40)
     for _ in range(60):
         query = {t: rng.random() for t in rng.sample(range(40), rng.randint(1, 5))}
         dots = [(-round(sum(w * v.get(t, 0.0) for t, w in query.items()), 12), i) for i, v in enumerate(vectors)]
         want = sorted(d for d in dots if d[0] < 0)[:15]
-        got = index.nearest(query, 15)
+        got = index.nearest(np.array(list(query)), np.array(list(query.values())), 15)
         assert [i for _, i in got] == [i for _, i in want]
         assert [s for s, _ in got] == pytest.approx([-s for s, _ in want])
 
@@ -75,3 +76,32 @@ def test_no_labels_and_no_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [(r.score, r.predicted) for r in toxicity.toxicity(frame, labels).collect()] == [(0.0, 0)]
     assert toxicity.toxicity(frame.limit(0), labels).collect() == [] and toxicity.drop_toxic(frame, labels).count() == 1
+
+
+def test_every_word_counts_and_learned_ones_more(spark):
+    docs, labels, _ = corpus()
+    # A text without any word that goes with the label still has neighbours, by its other words.
+    toxic = next(i for i, _, y in labels if y and zlib.crc32(str(i).encode()) % 5)
+    own = docs[toxic][1]
+    edited = " ".join("zzz" if w in ("VILE!", "nasty", "grimlok", "grimsty", "grimz.") else w for w in own.split())
+    docs += [(5_000, edited, "x", 0.5), (5_001, "unheard of words", "x", 0.5)]
+    model, counted = toxicity.fit(
+        spark.createDataFrame(docs, "doc_id long, text string, a string, b double"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    )
+    assert {"bamin$", "nasty$", "grim"} <= set(model.chosen) and "bami" not in model.chosen
+    weight = dict(zip(model.chosen, model.weights, strict=True))
+    assert weight["nasty$"] > 3 * weight["bamin$"] > 0
+    rows = {r.doc_id: r for r in counted.where("doc_id >= 5000").collect()}
+    assert len(rows[5_000].terms) >= 10 and rows[5_001].terms == []
+    score, evidence = model.score(np.array(rows[5_000].terms), np.array(rows[5_000].counts))
+    assert 0 < score < 1 and len(evidence) == 3
+    assert model.score(np.zeros(0, np.int64), np.zeros(0, np.int64)) == (model.empty, [])
+
+
+def test_held_out_recall_on_the_table(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = [r for r in queries.op5_toxicity(spark, sf_dir).collect() if r.held_out and r.doc_id in truth]
+    hits = sum(r.predicted and truth[r.doc_id] for r in rows)
+    assert hits >= 0.9 * sum(truth[r.doc_id] for r in rows) and hits >= 0.95 * sum(r.predicted for r in rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -78,6 +79,13 @@ def free(*tables: DataFrame) -> None:
             where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of queries that have ended: it does so when the driver's garbage is
+    collected, which a driver with little to do puts off while its executors' disks fill."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def text_of(docs: DataFrame) -> Column:
     """The text, null as empty."""
     return F.coalesce(docs["text"].cast("string"), F.lit(""))

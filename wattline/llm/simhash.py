@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import free, join_groups, likely, ship, stored, text_of
+from wattline.llm.common import free, join_groups, likely, ship, stored, sweep, text_of
 from wattline.llm.graph import components
 
 SEED = 42
@@ -518,6 +518,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> D
     kind = docs.schema["doc_id"].dataType.simpleString()
     good = stored(both.mapInArrow(_similar(k, similarity), f"a {kind}, b {kind}"), "near-verified")
     free(involved, texts)
+    sweep(docs.sparkSession)
     return good
 
 

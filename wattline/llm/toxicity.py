@@ -1,21 +1,21 @@
 """Toxicity by the nearest labelled examples, in exact TF-IDF cosine over block-max inverted lists.
 
-Terms are whole words and the first letters of words (many toxic words share a stem). Those that
-labelled texts show to go with the label are kept, by likelihood ratio. Document frequencies of the
-terms are counted over all documents. A text's score is the distance-weighted vote of its nearest
-examples, drawn towards the share of toxic examples; a text with none of the terms gets the share
-among the examples that have none.
+Terms are all words of the examples, and those first letters of words that go with the label (many toxic
+words share a stem). Every word weighs something; how much more a term weighs is learned from the
+likelihood ratio of its label counts. Document frequencies of the terms are counted over all documents.
+A text's score is the distance-weighted vote of its nearest examples, drawn towards the share of toxic
+examples; a text without any term gets the share among the examples that have none.
 
 The model is fitted on at most ``examples`` labelled rows, those with the smallest hashed ids; every
 document is scored over its whole text. Rows whose crc32(doc_id as text) is divisible by 5 are held
 out. Labels other than 0 and 1, and rows without an id, teach nothing; contradicting labels of one
 document are averaged. Null and empty texts are scored as texts without terms. Without any labels
-every score is 0. Only ``doc_id`` and ``text`` are read; scores depend on the text alone.
+every score is 0. Only ``doc_id`` and ``text`` are read; scores depend on the text alone, so a text that is
+an example is a neighbour of itself: quality is measured on held-out rows.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,17 +27,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import ship, stored, text_of
+from wattline.llm.common import Memo, ship, stored, text_of
 
-#: Labelled rows that the model is fitted on, terms that it may use, neighbours that vote.
-EXAMPLES, TERMS, NEIGHBOURS = 8_192, 2_048, 15
-#: Letters of word beginnings; how many times as frequent a term is in toxic texts, at least.
+#: Labelled rows that the model is fitted on, neighbours that vote.
+EXAMPLES, NEIGHBOURS = 8_192, 15
+#: Letters of word beginnings; how many times as frequent a term is in toxic texts if its label counts say anything.
 PREFIXES, LIFT = range(3, 8), 3.0
-#: Examples of a block of the inverted lists.
-BLOCK = 64
+#: Likelihood ratio above which the beginning of words is a term of its own, and the weight of any word beside that of
+#: the term with the highest ratio.
+RATIO, LEAST = 0.0, 0.025
+#: Examples of a block of the inverted lists, and blocks that are looked at together first.
+BLOCK, FIRST = 64, 4
 FOLDS = 5
-#: Words whose terms, and texts' terms whose scores, a worker remembers.
-MEMO = 300_000
+#: Words whose terms a worker remembers in each of two generations.
+MEMO = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -51,100 +54,110 @@ def word_terms(word: str) -> list[str]:
 
 
 class Terms:
-    """Finds the chosen terms in texts."""
+    """Finds the terms of a model in texts."""
 
     def __init__(self, chosen: list[str]):
         self.number = {t: i for i, t in enumerate(chosen)}
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo = Memo(MEMO)
 
     def of_word(self, word: str) -> tuple[int, ...]:
-        found = tuple(self.number[t] for t in word_terms(word) if t in self.number)
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        if len(word) <= 64:
-            self.memo[word] = found
+        found = self.memo.get(word)
+        if found is None:
+            found = tuple(self.number[t] for t in word_terms(word) if t in self.number)
+            if len(word) <= 64:
+                self.memo.put(word, found)
         return found
 
     def count(self, text: str) -> dict[int, int]:
-        counts: Counter[int] = Counter()
-        get = self.memo.get
-        for word in WORD.findall(text.lower()):
-            found = get(word)
-            if found is None:
-                found = self.of_word(word)
-            if found:
-                counts.update(found)
+        counts: dict[int, int] = {}
+        for word, n in Counter(WORD.findall(text.lower())).items():
+            for term in self.of_word(word):
+                counts[term] = counts.get(term, 0) + n
         return dict(sorted(counts.items()))
 
 
 class BlockMaxIndex:
-    """Inverted lists in blocks of examples, with each term's largest weight in each block."""
-
-    def __init__(self, vectors: list[dict[int, float]], terms: int):
-        # Like vectors next to each other, so that most blocks have low bounds for a query.
-        self.order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i].items()), i))
-        blocks = max(1, -(-len(vectors) // BLOCK))
-        self.bound = np.zeros((terms, blocks))
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for at, i in enumerate(self.order):
-            for term, weight in vectors[i].items():
-                block = at // BLOCK
-                self.bound[term, block] = max(self.bound[term, block], weight)
-                lists.setdefault((term, block), []).append((at % BLOCK, weight))
-        self.lists = {k: (np.array([p for p, _ in v]), np.array([w for _, w in v])) for k, v in lists.items()}
-
-    def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
+    """Inverted lists of examples in blocks, with each term's largest weight in each block it occurs in."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
+        """Of (terms, weights) of each example."""
+        # Like vectors next to each other, by their heaviest terms, so that most blocks have low bounds for a query.
+        heavy = [t[np.lexsort((t, -w))[:8]].tolist() for t, w in vectors]
+        self.order = np.array(sorted(range(len(vectors)), key=lambda i: (heavy[i], i)), dtype=np.int64)
+        self.blocks = max(1, -(-len(vectors) // BLOCK))
+        place = np.repeat(np.arange(len(vectors)), [len(vectors[i][0]) for i in self.order])
+        term, weight = (np.concatenate([np.zeros(0, kind), *(vectors[i][k] for i in self.order)]) for k, kind in ((0, np.int64), (1, np.float64)))
+        by = np.lexsort([place, term])
+        #: Postings by term, then place: where a term's postings of one block start, and their largest weight.
+        self.place, self.weight = place[by], weight[by]
+        key = term[by] * self.blocks + self.place // BLOCK
+        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        self.start = np.r_[at, len(key)]
+        self.block = key[at] % self.blocks
+        self.largest = np.maximum.reduceat(self.weight, at) if len(key) else np.zeros(0)
+        #: Where a term's blocks start.
+        self.first = np.searchsorted(key[at] // self.blocks, np.arange(terms + 1))
+
+    @staticmethod
+    def _spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All positions of ranges, and the range that each is from."""
+        sizes = end - start
+        of = np.repeat(np.arange(len(start)), sizes)
+        return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + start[of], of
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` largest (cosine, example) above 0, ties to the smaller example."""
-        terms = list(query)
-        bounds = np.array([query[t] for t in terms]) @ self.bound[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < -best[-1][0] - 1e-12:
+        entry, of = self._spread(self.first[terms], self.first[terms + 1])
+        block, query = self.block[entry], weights[of]
+        bounds = np.bincount(block, query * self.largest[entry], self.blocks)
+        order = np.argsort(-bounds, kind="stable")
+        rank = np.empty(self.blocks, np.int64)
+        rank[order] = np.arange(self.blocks)
+        score, example = np.zeros(0), np.zeros(0, np.int64)
+        done, step = 0, FIRST
+        while done < self.blocks and bounds[order[done]] > 0:
+            if len(score) == k and bounds[order[done]] < score[-1] - 1e-9:
                 break
-            scores = np.zeros(BLOCK)
-            for t in terms:
-                if (t, block) in self.lists:
-                    places, weights = self.lists[t, block]
-                    scores[places] += query[t] * weights
-            for place in np.flatnonzero(scores):
-                best.append((-round(float(scores[place]), 12), self.order[block * BLOCK + place]))
-            best = sorted(best)[:k]
-        return [(-s, i) for s, i in best]
+            # The next blocks by bound, of their postings only those of the query's terms.
+            own = np.flatnonzero((rank[block] >= done) & (rank[block] < done + step))
+            at, part = self._spread(self.start[entry[own]], self.start[entry[own] + 1])
+            total = np.bincount(self.place[at], query[own][part] * self.weight[at], len(self.order))
+            found = np.flatnonzero(total)
+            score, example = np.concatenate([score, np.round(total[found], 12)]), np.concatenate([example, self.order[found]])
+            best = np.lexsort((example, -score))[:k]
+            score, example = score[best], example[best]
+            done, step = done + step, 2 * step
+        return list(zip(score.tolist(), example.tolist(), strict=True))
 
 
 class Model:
-    """Scores texts; holds at most EXAMPLES examples over TERMS terms."""
-
-    def __init__(self, chosen: list[str], idf: dict[int, float], examples: list[tuple[int, dict[int, int], float]]):
-        self.chosen, self.idf, self.memo = chosen, idf, {}
-        examples = sorted(examples, key=lambda e: (e[0], sorted(e[1].items()), e[2]))
-        labels = [y for _, _, y in examples]
-        empty = [y for _, counts, y in examples if not counts]
+    """Scores texts; holds at most EXAMPLES examples over their own terms."""
+
+    def __init__(self, chosen: list[str], weights: np.ndarray, examples: list[tuple[int, np.ndarray, np.ndarray, float]]):
+        """Examples are (doc id, terms, counts, label)."""
+        self.chosen, self.weights = chosen, weights
+        examples = sorted(examples, key=lambda e: (e[0], e[1].tolist(), e[2].tolist(), e[3]))
+        labels = [y for *_, y in examples]
+        empty = [y for _, terms, _, y in examples if not len(terms)]
         self.base = sum(labels) / len(labels) if labels else 0.0
         # With few such examples their share is uncertain; at least the base rate's weight of one example.
         self.empty = (sum(empty) + self.base) / (len(empty) + 1)
-        some = [e for e in examples if e[1]]
-        self.ids, self.labels = [e[0] for e in some], [e[2] for e in some]
-        self.index = BlockMaxIndex([self.vector(e[1]) for e in some], len(chosen))
+        some = [e for e in examples if len(e[1])]
+        self.ids, self.labels = [e[0] for e in some], [e[3] for e in some]
+        self.index = BlockMaxIndex([(terms, self.vector(terms, counts)) for _, terms, counts, _ in some], len(chosen))
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        length = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / length for t, w in raw.items()}
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        raw = (1 + np.log(counts)) * self.weights[terms]
+        return raw / np.sqrt((raw * raw).sum())
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
+    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
         """Score and the examples (doc ids) that speak most for it."""
-        if not counts:
+        if not len(terms) or not self.ids:
             return self.empty, []
-        key = tuple(counts.items())
-        if key not in self.memo:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            found = self.index.nearest(self.vector(counts), NEIGHBOURS)
-            votes = [(1 / (1.05 - s), i) for s, i in found]
-            toxic = sum(w * self.labels[i] for w, i in votes) + self.base
-            self.memo[key] = (toxic / (sum(w for w, _ in votes) + 1), [self.ids[i] for _, i in found[:3]])
-        return self.memo[key]
+        found = self.index.nearest(terms, self.vector(terms, counts), NEIGHBOURS)
+        votes = [(1 / (1.05 - s), i) for s, i in found]
+        toxic = sum(w * self.labels[i] for w, i in votes) + self.base
+        return toxic / (sum(w for w, _ in votes) + 1), [self.ids[i] for _, i in found[:3]]
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, examples: int) -> DataFrame:
@@ -158,8 +171,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, examples: int) -> DataFrame:
     return stored(texts.dropDuplicates(["doc_id", "text"]), "toxic-examples")
 
 
-def _choose(examples: DataFrame) -> list[str]:
-    """Terms that go with the label, by the likelihood ratio of their counts of documents."""
+def _choose(examples: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Terms of the examples, as many as they hold, and each term's likelihood ratio; 0 if it doesn't go with the label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, every = Counter(), Counter()
@@ -178,18 +191,18 @@ def _choose(examples: DataFrame) -> list[str]:
     found = examples.mapInArrow(run, "term string, pos long, `all` long")
     totals = examples.agg(F.sum((F.col("toxic") >= 0.5).cast("long")), F.count("*")).first()
     positive, rows = totals[0] or 0, totals[1]
-    if not 0 < positive < rows:
-        return []
+    if not rows:
+        return [], np.zeros(0)
     base = positive / rows
-    counted = stored(found.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("all").alias("all")), "toxic-terms")
-    # One in all candidate terms would pass by chance.
-    least = 2 * math.log(max(2, counted.count()))
+    counted = found.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("all").alias("all"))
     neg = F.col("all") - F.col("pos")
     part = lambda n, share: F.when(n > 0, n * F.log(n / (F.col("all") * share))).otherwise(0.0)
-    scored = counted.withColumn("ratio", 2 * (part(F.col("pos"), base) + part(neg, 1 - base)))
+    ratio = 2 * (part(F.col("pos"), base) + part(neg, 1 - base)) if 0 < base < 1 else F.lit(0.0)
     lifted = F.col("pos") * (rows - positive) >= LIFT * neg * positive
-    best = scored.where(lifted & (F.col("ratio") > least)).orderBy(F.desc("ratio"), "term").limit(TERMS)
-    return sorted(r.term for r in best.collect())
+    scored = counted.withColumn("ratio", F.when(lifted, F.greatest(ratio, F.lit(0.0))).otherwise(0.0))
+    kept = scored.where(F.col("term").endswith("$") | (F.col("ratio") > RATIO)).select("term", "ratio")
+    got = sorted(map(tuple, kept.collect()))
+    return [t for t, _ in got], np.array([r for _, r in got])
 
 
 def _term_counts(docs: DataFrame, chosen: list[str]) -> DataFrame:
@@ -213,15 +226,18 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[M
     """The model, and the stored term counts of all documents."""
     ship(docs.sparkSession)
     some = _labelled(docs, labels, examples)
-    chosen = _choose(some)
+    chosen, ratio = _choose(some)
     counted = _term_counts(docs, chosen)
     total = counted.count()
-    seen = dict(counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect())  # TERMS rows at most
-    idf = {t: math.log((1 + total) / (1 + seen.get(t, 0))) + 1 for t in range(len(chosen))}
+    seen = np.zeros(len(chosen))
+    for term, n in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # the examples' terms
+        seen[term] = n
+    learned = np.sqrt(ratio / ratio.max()) if len(ratio) and ratio.max() > 0 else np.zeros(len(chosen))
+    weights = (np.log((1 + total) / (1 + seen)) + 1) * (learned + [LEAST * t.endswith("$") for t in chosen])
     vectors = counted.join(F.broadcast(some.select("doc_id", "toxic").distinct()), "doc_id")
     # An id's rows with one set of counts are one example: EXAMPLES rows, unless ids repeat.
     got = vectors.dropDuplicates(["doc_id", "terms", "counts"]).orderBy("doc_id", "terms", "counts").limit(2 * examples)
-    return Model(chosen, idf, [(r.doc_id, dict(zip(r.terms, r.counts)), r.toxic) for r in got.collect()]), counted
+    return Model(chosen, weights, [(r.doc_id, np.array(r.terms, np.int64), np.array(r.counts, np.int64), r.toxic) for r in got.collect()]), counted
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
@@ -231,8 +247,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)
-            found = [sent.value.score(dict(zip(t, c, strict=True))) for t, c in pairs]
+            pairs = zip(batch.column("terms"), batch.column("counts"), strict=True)
+            found = [sent.value.score(t.values.to_numpy(), c.values.to_numpy()) for t, c in pairs]
             evidence = pa.array([e for _, e in found], pa.list_(batch.schema.field("doc_id").type))
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), evidence],
@@ -256,6 +272,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) ->
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         terms = Terms(sent.value.chosen)
         for batch in batches:
-            yield pd.Series([sent.value.score(terms.count(t))[0] for t in batch], dtype="float64")
+            counts = (terms.count(t) for t in batch)
+            found = [sent.value.score(np.array(list(c), np.int64), np.array(list(c.values())))[0] for c in counts]
+            yield pd.Series(found, dtype="float64")
 
     return docs.where(score(text_of(docs)) < 0.5)
