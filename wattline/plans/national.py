@@ -1,4 +1,4 @@
-"""The national feature table: one lazy plan from three raw series to features."""
+"""The national feature table: from three raw series to features; building it runs the jobs that plan its chunks."""
 
 from __future__ import annotations
 
