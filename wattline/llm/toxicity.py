@@ -85,15 +85,15 @@ class BlockMaxIndex:
         heavy = [t[np.lexsort((t, -w))[:8]].tolist() for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda i: (heavy[i], i)), dtype=np.int64)
         self.blocks = max(1, -(-len(vectors) // BLOCK))
-        place = np.repeat(np.arange(len(vectors)), [len(vectors[i][0]) for i in self.order])
-        term, weight = (np.concatenate([np.zeros(0, kind), *(vectors[i][k] for i in self.order)]) for k, kind in ((0, np.int64), (1, np.float64)))
+        place = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(vectors[i][0]) for i in self.order])
+        term, weight = (np.concatenate([np.zeros(0, kind), *(vectors[i][k] for i in self.order)]) for k, kind in ((0, np.int32), (1, np.float64)))
         by = np.lexsort([place, term])
         #: Postings by term, then place: where a term's postings of one block start, and their largest weight.
         self.place, self.weight = place[by], weight[by]
-        key = term[by] * self.blocks + self.place // BLOCK
+        key = term[by].astype(np.int64) * self.blocks + self.place // BLOCK
         at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        self.start = np.r_[at, len(key)]
-        self.block = key[at] % self.blocks
+        self.start = np.r_[at, len(key)].astype(np.int32)
+        self.block = (key[at] % self.blocks).astype(np.int16)
         self.largest = np.maximum.reduceat(self.weight, at) if len(key) else np.zeros(0)
         #: Where a term's blocks start.
         self.first = np.searchsorted(key[at] // self.blocks, np.arange(terms + 1))
@@ -136,7 +136,7 @@ class Model:
     def __init__(self, chosen: list[str], weights: np.ndarray, examples: list[tuple[int, np.ndarray, np.ndarray, float]]):
         """Examples are (doc id, terms, counts, label)."""
         self.chosen, self.weights = chosen, weights
-        examples = sorted(examples, key=lambda e: (e[0], e[1].tolist(), e[2].tolist(), e[3]))
+        examples = sorted(examples, key=lambda e: (e[0], e[1].tobytes(), e[2].tobytes(), e[3]))
         labels = [y for *_, y in examples]
         empty = [y for _, terms, _, y in examples if not len(terms)]
         self.base = sum(labels) / len(labels) if labels else 0.0
@@ -201,8 +201,8 @@ def _choose(examples: DataFrame) -> tuple[list[str], np.ndarray]:
     lifted = F.col("pos") * (rows - positive) >= LIFT * neg * positive
     scored = counted.withColumn("ratio", F.when(lifted, F.greatest(ratio, F.lit(0.0))).otherwise(0.0))
     kept = scored.where(F.col("term").endswith("$") | (F.col("ratio") > RATIO)).select("term", "ratio")
-    got = sorted(map(tuple, kept.collect()))
-    return [t for t, _ in got], np.array([r for _, r in got])
+    got = stored(kept, "toxic-terms").orderBy("term").toArrow()
+    return got.column("term").to_pylist(), got.column("ratio").to_numpy()
 
 
 def _term_counts(docs: DataFrame, chosen: list[str]) -> DataFrame:
@@ -230,14 +230,17 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[M
     counted = _term_counts(docs, chosen)
     total = counted.count()
     seen = np.zeros(len(chosen))
-    for term, n in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # the examples' terms
-        seen[term] = n
+    found = counted.select(F.explode("terms").alias("t")).groupBy("t").count().toArrow()  # the examples' terms at most
+    seen[found.column("t").to_numpy()] = found.column("count").to_numpy()
     learned = np.sqrt(ratio / ratio.max()) if len(ratio) and ratio.max() > 0 else np.zeros(len(chosen))
     weights = (np.log((1 + total) / (1 + seen)) + 1) * (learned + [LEAST * t.endswith("$") for t in chosen])
     vectors = counted.join(F.broadcast(some.select("doc_id", "toxic").distinct()), "doc_id")
     # An id's rows with one set of counts are one example: EXAMPLES rows, unless ids repeat.
     got = vectors.dropDuplicates(["doc_id", "terms", "counts"]).orderBy("doc_id", "terms", "counts").limit(2 * examples)
-    return Model(chosen, weights, [(r.doc_id, np.array(r.terms, np.int64), np.array(r.counts, np.int64), r.toxic) for r in got.collect()]), counted
+    rows = got.select("doc_id", "terms", "counts", "toxic").toArrow()
+    values = [[x.values.to_numpy() for x in rows.column(c)] for c in ("terms", "counts")]
+    ids, toxic = rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist()
+    return Model(chosen, weights, list(zip(ids, *values, toxic, strict=True))), counted
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
