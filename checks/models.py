@@ -103,6 +103,8 @@ def train_quantiles(t: Tables):
     and quantile the rows tested, their sum, and whether stored models give the same losses and fitted shares."""
     indexed, names = _national(t)
     indexed = settled(indexed)
+    if indexed.isEmpty():
+        return t.spark.createDataFrame([], "fold long, alpha double, n_rows long, y_total long, loss_agrees boolean, share_fits boolean")
     base = work_path(t.spark, "models")
     predicted, losses = training.train_trees(indexed, TARGET, names, base, "national", dt.date(2024, 2, 1))
     total = _losses_by_hand(predicted, []).join(losses, "alpha").select("alpha", (F.abs(F.col("by_hand") - F.col("pinball_loss")) < 1e-9).alias("loss_agrees"))
@@ -129,6 +131,8 @@ def importance(t: Tables):
     attributions of every row add up to its prediction."""
     indexed, names = _national(t)
     indexed = settled(indexed)
+    if indexed.isEmpty():
+        return t.spark.createDataFrame([], "feature string, n_rows long, mean_abs_bounds_mean boolean, adds_up boolean")
     base = work_path(t.spark, "models")
     models, _ = boosting.train_quantiles(indexed, TARGET, names, alphas=[0.5])
     store.save_models(models.filter("fold = 5"), base, "national", dt.date(2024, 2, 1))
@@ -204,7 +208,8 @@ _FOLDS = """SELECT *, (n - (5 * (n // 6))) AS first_test, n // 6 AS size FROM (S
 def _tested(rows: str, key: str = "") -> str:
     part = f"PARTITION BY {key}" if key else ""
     inner = _FOLDS.format(part=part, part_only=part, rows=rows)
-    return f"SELECT *, (row_no - first_test) // size AS fold FROM ({inner}) WHERE row_no >= first_test"
+    return f"""SELECT *, (row_no - first_test) // size AS fold FROM ({inner}) WHERE row_no >= first_test
+        AND size >= 1 AND n - 48 - 5 * size > 0"""
 
 
 _ALPHAS = "(SELECT unnest([0.1e0, 0.5e0, 0.9e0]) AS alpha)"
@@ -243,7 +248,7 @@ SQL = {
         FROM (SELECT count(*) AS n_rows FROM ({_tested(_DENSE_GOLD, 'region_id')}))""",
     ),
     "importance": f"""SELECT column_name AS feature, (SELECT count(*) FROM ({_FEATURES})) AS n_rows, TRUE AS mean_abs_bounds_mean,
-        TRUE AS adds_up FROM (DESCRIBE {_FEATURES}) WHERE column_name NOT IN ('settlement_period', 'carbon_intensity')""",
+        TRUE AS adds_up FROM (DESCRIBE {_FEATURES}) WHERE column_name NOT IN ('settlement_period', 'carbon_intensity') AND n_rows > 0""",
     "model_store": sql(
         "dense",
         f"""SELECT 'no_weather' AS variant, '2024-03-02' AS model_date, region_id, 6 AS n_models, 6 AS n_coefficients

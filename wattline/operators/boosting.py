@@ -307,6 +307,8 @@ def prepare(
     numbers = [F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")).alias(f"f{i}") for i, f in enumerate(features)]
     narrow = kept.select("_row", F.col(target).cast("double").alias("_y"), "_test_fold", "_train_from", *numbers)
     n = narrow.count()
+    if not n:
+        raise ValueError("no rows to train on")
     edges = feature_edges(narrow, [f"f{i}" for i in range(len(features))])
     binned = narrow.repartition(max(1, -(-n // block_rows))).mapInArrow(_to_blocks(edges, block_rows), BLOCK)
     path = work_path(indexed.sparkSession, "binned")
