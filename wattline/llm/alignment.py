@@ -44,7 +44,7 @@ SHARD = 1 << 20
 #: Blocks whose counts are summed in one node of the tree.
 FAN = 64
 #: Words whose ids a worker remembers in each of two generations, and how long such a word may be.
-MEMO_WORDS, MEMO_LENGTH = 150_000, 64
+MEMO_WORDS, MEMO_LENGTH = 250_000, 64
 #: Words that are encoded in a row, and links that are counted at a time.
 ROW, LINKS = 1_024, 1 << 20
 #: Size of a level of the hash for each key still to be placed, and the number of levels.
