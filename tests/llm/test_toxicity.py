@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wattline.llm import queries, toxicity
@@ -21,6 +22,36 @@ def test_index_returns_the_exact_nearest():
         assert [s for s, _ in got] == pytest.approx([-s for s, _ in want])
 
 
+def test_many_queries_at_once_by_frequent_and_rare_terms(monkeypatch):
+    rng = random.Random(14)
+    vectors = [{t: rng.random() for t in {rng.randrange(12), *(int(300 * rng.random() ** 2) for _ in range(9))}} for _ in range(700)]
+    vectors += [dict(vectors[5]) for _ in range(30)]  # ties
+    queries = [{t: rng.random() for t in rng.sample(range(300), rng.randint(0, 12))} for _ in range(50)] + [vectors[5]]
+    of = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+    terms, weights = np.array([t for q in queries for t in q]), np.array([w for q in queries for w in q.values()])
+    for share, most in ((1, 0), (16, 10), (64, 1_000), (1_000, 1_000)):
+        monkeypatch.setattr(toxicity, "DENSE", share)
+        monkeypatch.setattr(toxicity, "MOST_DENSE", most)
+        index = toxicity.BlockMaxIndex([(np.array(list(v)), np.array(list(v.values()))) for v in vectors], 300)
+        query, score, example = index.nearest_each(of, terms, weights, len(queries), 15)
+        for i, q in enumerate(queries):
+            dots = [(-round(sum(w * v.get(t, 0.0) for t, w in q.items()), 12), j) for j, v in enumerate(vectors)]
+            want = sorted(d for d in dots if d[0] < 0)[:15]
+            assert example[query == i].tolist() == [j for _, j in want]
+            assert score[query == i] == pytest.approx([-s for s, _ in want])
+
+
+def test_terms_of_texts_are_counted_as_one_by_one(monkeypatch):
+    monkeypatch.setattr(toxicity, "TEXTS", 3)
+    chosen = sorted({"grimlok$", "grim", "griml", "nasty$", "nas", "té$", "a$"})
+    texts = ["Grimlok grimlok GRIMSTY", "", "nasty Té a nas x9grim", "none of them", "grim grimm", "", "", "nasty " * 5]
+    terms, counts = toxicity.Terms(chosen).lists(pa.array(texts))
+    for text, got in zip(texts, map(dict, map(zip, terms.to_pylist(), counts.to_pylist())), strict=True):
+        found = [t for w in toxicity.WORD.findall(text.lower()) for t in toxicity.word_terms(w) if t in chosen]
+        assert got == {chosen.index(t): found.count(t) for t in sorted(set(found))} and list(got) == sorted(got)
+    assert [x.to_pylist() for x in toxicity.Terms(chosen).lists(pa.array([], pa.string()))] == [[], []]
+
+
 def corpus(n=600):
     rng = random.Random(8)
     vocabulary = [f"{a}{b}{c}" for a in ("ba", "ke", "lo") for b in ("mi", "su", "té") for c in ("n", "rak", "vo")]

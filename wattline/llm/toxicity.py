@@ -3,7 +3,8 @@
 Terms are all words of the examples, and those first letters of words that go with the label (many toxic
 words share a stem). Every word weighs something; how much more a term weighs is learned from the
 likelihood ratio of its label counts. Document frequencies of the terms are counted over all documents.
-A text's score is the distance-weighted vote of its nearest examples, drawn towards the share of toxic
+Texts are scored many at once: a block's bound decides for each whether its lists are added up, those of
+frequent terms as a matrix product. A text's score is the distance-weighted vote of its nearest examples, drawn towards the share of toxic
 examples; a text without any term gets the share among the examples that have none.
 
 The model is fitted on at most ``examples`` labelled rows, those with the smallest hashed ids; every
@@ -17,17 +18,19 @@ an example is a neighbour of itself: quality is measured on held-out rows.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from wattline.llm.common import Memo, ship, stored, text_of
+from wattline.llm.common import Memo, free, ship, stored, text_of
 
 #: Labelled rows that the model is fitted on, neighbours that vote.
 EXAMPLES, NEIGHBOURS = 8_192, 15
@@ -38,9 +41,12 @@ PREFIXES, LIFT = range(3, 8), 3.0
 RATIO, LEAST = 0.0, 0.025
 #: Examples of a block of the inverted lists, and blocks that are looked at together first.
 BLOCK, FIRST = 64, 4
+#: A term in one of so many examples, of at most so many terms, has its weights in a matrix, too; texts that are scored,
+#: and counted, at once.
+DENSE, MOST_DENSE, QUERIES, TEXTS = 32, 1_024, 128, 256
 FOLDS = 5
-#: Words whose terms a worker remembers in each of two generations.
-MEMO = 200_000
+#: Words that are no terms whose beginnings a worker remembers in each of two generations.
+MEMO = 50_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -54,26 +60,77 @@ def word_terms(word: str) -> list[str]:
 
 
 class Terms:
-    """Finds the terms of a model in texts."""
+    """Finds the terms of a model in texts. Sent as the terms alone; each worker prepares its tables once."""
 
     def __init__(self, chosen: list[str]):
-        self.number = {t: i for i, t in enumerate(chosen)}
-        self.memo = Memo(MEMO)
+        self.chosen, self.words = chosen, None
+
+    def __getstate__(self) -> dict:
+        return {"chosen": self.chosen, "words": None}
 
-    def of_word(self, word: str) -> tuple[int, ...]:
+    def _prepare(self) -> None:
+        self.words = {t[:-1]: i for i, t in enumerate(self.chosen) if t.endswith("$")}
+        self.beginnings = {t: i for i, t in enumerate(self.chosen) if not t.endswith("$")}
+        self.memo = Memo(MEMO)
+        #: Beginnings of all words that are terms; word i has those from start[i] to start[i + 1].
+        self.start, own = np.zeros(len(self.chosen) + 1, np.int64), array("i")
+        for word, i in self.words.items():
+            found = self._of(word)
+            self.start[i + 1] = len(found)
+            own.extend(found)
+        self.start, self.own = np.cumsum(self.start), np.array(own, np.int32)
+
+    def _of(self, word: str) -> list[int]:
+        return [self.beginnings[t] for t in word_terms(word)[1:] if t in self.beginnings]
+
+    def _of_other(self, word: str) -> list[int]:
+        """The beginnings of a word that isn't a term."""
         found = self.memo.get(word)
         if found is None:
-            found = tuple(self.number[t] for t in word_terms(word) if t in self.number)
+            found = self._of(word)
             if len(word) <= 64:
                 self.memo.put(word, found)
         return found
 
-    def count(self, text: str) -> dict[int, int]:
-        counts: dict[int, int] = {}
-        for word, n in Counter(WORD.findall(text.lower())).items():
-            for term in self.of_word(word):
-                counts[term] = counts.get(term, 0) + n
-        return dict(sorted(counts.items()))
+    def lists(self, texts: pa.Array) -> list[pa.Array]:
+        """Terms, ascending, and how often each occurs, of every text."""
+        if self.words is None:
+            self._prepare()
+        parts = [self._lists(texts[i : i + TEXTS]) for i in range(0, len(texts), TEXTS)]
+        ends, *numbers = (np.concatenate([np.zeros(0, np.int32), *x]) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int32)] * 3
+        at = pa.array(np.r_[0, np.cumsum(ends)].astype(np.int32))
+        return [pa.ListArray.from_arrays(at, pa.array(x)) for x in numbers]
+
+    def _lists(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of terms of every text; terms; counts."""
+        sizes, words, times, more = [], array("i"), array("i"), []
+        get, unknown = self.words.get, repeat(-1)
+        for i, text in enumerate(texts):
+            counts = Counter(WORD.findall(text.as_py().lower()))
+            found = list(map(get, counts, unknown))
+            sizes.append(len(found))
+            words.extend(found)
+            times.extend(counts.values())
+            if -1 in found:
+                more += [(i, t, n) for (word, n), w in zip(counts.items(), found, strict=True) if w < 0 for t in self._of_other(word)]
+        word, n, of = np.array(words, np.int32), np.array(times, np.int32), np.repeat(np.arange(len(sizes)), sizes)
+        word, n, of = word[word >= 0], n[word >= 0], of[word >= 0]
+        at, part = spread(self.start[word], self.start[word + 1])
+        others = np.array(more, np.int64).reshape(-1, 3)
+        key = np.concatenate([of, of[part], others[:, 0]]) * len(self.chosen) + np.concatenate([word, self.own[at], others[:, 1]])
+        order = np.argsort(key)
+        key, n = key[order], np.concatenate([n, n[part], others[:, 2]])[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        counts = np.add.reduceat(n, first) if len(key) else n
+        text, term = np.divmod(key[first], max(1, len(self.chosen)))
+        return np.bincount(text, minlength=len(sizes)).astype(np.int32), term.astype(np.int32), counts.astype(np.int32)
+
+
+def spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of ranges, and the range that each is from."""
+    sizes = end - start
+    of = np.repeat(np.arange(len(start)), sizes)
+    return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + start[of], of
 
 
 class BlockMaxIndex:
@@ -97,36 +154,72 @@ class BlockMaxIndex:
         self.largest = np.maximum.reduceat(self.weight, at) if len(key) else np.zeros(0)
         #: Where a term's blocks start.
         self.first = np.searchsorted(key[at] // self.blocks, np.arange(terms + 1))
-
-    @staticmethod
-    def _spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All positions of ranges, and the range that each is from."""
-        sizes = end - start
-        of = np.repeat(np.arange(len(start)), sizes)
-        return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + start[of], of
+        #: Rows of the frequent terms, -1 for the others; their weights and largest weights as matrices, made when needed.
+        postings = np.diff(self.start[self.first])
+        often = np.flatnonzero(postings * DENSE >= max(1, len(vectors)))
+        often = np.sort(often[np.argsort(-postings[often], kind="stable")[:MOST_DENSE]])
+        self.row = np.full(terms, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.often, self.matrices = often, None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"matrices": None}
+
+    def _dense(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.matrices is None:
+            weights = np.zeros((len(self.often), self.blocks * BLOCK))
+            for row, term in enumerate(self.often.tolist()):
+                own = slice(self.start[self.first[term]], self.start[self.first[term + 1]])
+                weights[row, self.place[own]] = self.weight[own]
+            self.matrices = weights, weights.reshape(len(self.often), self.blocks, BLOCK).max(axis=2, initial=0.0)
+        return self.matrices
+
+    def nearest_each(self, query: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, cosine, example) of the ``k`` largest cosines above 0 of each of ``n`` queries, best first, ties to
+        the smaller example; a query's terms and weights are those with its number in ``query``."""
+        dense, most = self._dense()
+        width, row = self.blocks * BLOCK, self.row[terms]
+        common = row >= 0
+        heavy = np.zeros((n, len(dense)))
+        heavy[query[common], row[common]] = weights[common]
+        query, terms, weights = query[~common], terms[~common], weights[~common]
+        entry, of = spread(self.first[terms], self.first[terms + 1])
+        bounds = np.bincount(query[of] * self.blocks + self.block[entry], weights[of] * self.largest[entry], n * self.blocks)
+        bounds = bounds.reshape(n, self.blocks) + heavy @ most
+        at, of = spread(self.start[self.first[terms]], self.start[self.first[terms + 1]])
+        score = np.bincount(query[of] * width + self.place[at], weights[of] * self.weight[at], n * width)
+        score = score.astype(np.float64, copy=False).reshape(n, width)  # without postings bincount counts in whole numbers
+
+        def finish(wanted: np.ndarray) -> None:
+            """Adds the frequent terms in the wanted blocks of each query."""
+            for block in np.flatnonzero(wanted.any(axis=0)).tolist():
+                own, part = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                if len(own) == n:
+                    score[:, part] += heavy @ dense[:, part]
+                else:
+                    score[own, part] += heavy[own] @ dense[:, part]
+
+        # First the blocks with the highest bounds; their k-th score is what the others' bounds must reach.
+        order = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
+        first = np.zeros(bounds.shape, bool)
+        np.put_along_axis(first, order, True, axis=1)
+        finish(first)
+        some = np.take_along_axis(score.reshape(n, self.blocks, BLOCK), order[:, :, None], axis=1).reshape(n, -1)
+        least = np.partition(some, -k, axis=1)[:, -k] - 1e-9 if some.shape[1] >= k else np.zeros(n)
+        finish(~first & (bounds > 0) & (bounds >= least[:, None]))
+        # What other blocks have of the rarer terms is below their bounds.
+        found, place = np.nonzero(score >= np.maximum(least, 1e-12)[:, None])
+        score, example = np.round(score[found, place], 12), self.order[place]
+        best = np.lexsort((example, -score, found))
+        best = best[score[best] > 0]
+        found = found[best]
+        rank = np.arange(len(found)) - np.searchsorted(found, found)
+        keep = best[rank < k]
+        return found[rank < k], score[keep], example[keep]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The ``k`` largest (cosine, example) above 0, ties to the smaller example."""
-        entry, of = self._spread(self.first[terms], self.first[terms + 1])
-        block, query = self.block[entry], weights[of]
-        bounds = np.bincount(block, query * self.largest[entry], self.blocks)
-        order = np.argsort(-bounds, kind="stable")
-        rank = np.empty(self.blocks, np.int64)
-        rank[order] = np.arange(self.blocks)
-        score, example = np.zeros(0), np.zeros(0, np.int64)
-        done, step = 0, FIRST
-        while done < self.blocks and bounds[order[done]] > 0:
-            if len(score) == k and bounds[order[done]] < score[-1] - 1e-9:
-                break
-            # The next blocks by bound, of their postings only those of the query's terms.
-            own = np.flatnonzero((rank[block] >= done) & (rank[block] < done + step))
-            at, part = self._spread(self.start[entry[own]], self.start[entry[own] + 1])
-            total = np.bincount(self.place[at], query[own][part] * self.weight[at], len(self.order))
-            found = np.flatnonzero(total)
-            score, example = np.concatenate([score, np.round(total[found], 12)]), np.concatenate([example, self.order[found]])
-            best = np.lexsort((example, -score))[:k]
-            score, example = score[best], example[best]
-            done, step = done + step, 2 * step
+        """The ``k`` largest (cosine, example) above 0 of one query."""
+        _, score, example = self.nearest_each(np.zeros(len(terms), np.int64), terms, weights, 1, k)
         return list(zip(score.tolist(), example.tolist(), strict=True))
 
 
@@ -146,18 +239,43 @@ class Model:
         self.ids, self.labels = [e[0] for e in some], [e[3] for e in some]
         self.index = BlockMaxIndex([(terms, self.vector(terms, counts)) for _, terms, counts, _ in some], len(chosen))
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"chosen": []}  # scoring goes by their numbers
+
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         raw = (1 + np.log(counts)) * self.weights[terms]
         return raw / np.sqrt((raw * raw).sum())
 
+    def score_each(self, ends: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+        """Scores of texts and the examples (doc ids) that speak most for each; text i has the terms from ends[i] to
+        ends[i + 1]."""
+        scores, evidence = [np.zeros(0)], []
+        for i in range(0, len(ends) - 1, QUERIES):
+            own = ends[i : i + QUERIES + 1]
+            part = slice(own[0], own[-1])
+            found, best = self._score(np.diff(own), terms[part], counts[part])
+            scores.append(found)
+            evidence += best
+        return np.concatenate(scores), evidence
+
+    def _score(self, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+        n = len(sizes)
+        if not self.ids:
+            return np.full(n, self.empty), [[] for _ in range(n)]
+        query = np.repeat(np.arange(n), sizes)
+        raw = (1 + np.log(counts)) * self.weights[terms]
+        norm = np.sqrt(np.bincount(query, raw * raw, n))
+        of, cosine, example = self.index.nearest_each(query, terms, raw / norm[query], n, NEIGHBOURS)
+        vote = 1 / (1.05 - cosine)
+        toxic = np.bincount(of, vote * np.array(self.labels, np.float64)[example], n) + self.base
+        score = np.where(sizes > 0, toxic / (np.bincount(of, vote, n) + 1), self.empty)
+        start = np.searchsorted(of, np.arange(n + 1)).tolist()
+        return score, [[self.ids[e] for e in example[a : min(a + 3, b)]] for a, b in zip(start, start[1:])]
+
     def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
-        """Score and the examples (doc ids) that speak most for it."""
-        if not len(terms) or not self.ids:
-            return self.empty, []
-        found = self.index.nearest(terms, self.vector(terms, counts), NEIGHBOURS)
-        votes = [(1 / (1.05 - s), i) for s, i in found]
-        toxic = sum(w * self.labels[i] for w, i in votes) + self.base
-        return toxic / (sum(w for w, _ in votes) + 1), [self.ids[i] for _, i in found[:3]]
+        """Score and evidence of one text."""
+        score, evidence = self.score_each(np.array([0, len(terms)]), terms, counts)
+        return float(score[0]), evidence[0]
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, examples: int) -> DataFrame:
@@ -206,20 +324,22 @@ def _choose(examples: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def _term_counts(docs: DataFrame, chosen: list[str]) -> DataFrame:
-    """doc_id, terms, counts of every document."""
-    rows = docs.select("doc_id", text_of(docs).alias("text"))
+    """doc_id, key (hash of the text), terms, counts of every document."""
+    sent = docs.sparkSession.sparkContext.broadcast(Terms(chosen))
+    rows = docs.select("doc_id", _key(docs).alias("key"), text_of(docs).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(chosen)
         for batch in batches:
-            counts = [terms.count(t.as_py()) for t in batch.column("text")]
-            numbers = pa.list_(pa.int32())
-            arrays = [pa.array([list(c) for c in counts], numbers), pa.array([list(c.values()) for c in counts], numbers)]
-            yield pa.record_batch([batch.column("doc_id"), *arrays], names=["doc_id", "terms", "counts"])
+            kept = [batch.column("doc_id"), batch.column("key")]
+            yield pa.record_batch([*kept, *sent.value.lists(batch.column("text"))], names=["doc_id", "key", "terms", "counts"])
 
     numbers = T.ArrayType(T.IntegerType())
     fields = [T.StructField("terms", numbers), T.StructField("counts", numbers)]
-    return stored(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *fields])), "toxic-counts")
+    return stored(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], rows.schema["key"], *fields])), "toxic-counts")
+
+
+def _key(docs: DataFrame) -> Column:
+    return F.unhex(F.md5(text_of(docs)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[Model, DataFrame]:
@@ -243,40 +363,36 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[M
     return Model(chosen, weights, list(zip(ids, *values, toxic, strict=True))), counted
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, evidence (ids of the nearest examples)."""
-    model, counted = fit(docs, labels, examples)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def _scores(model: Model, counted: DataFrame, column: str) -> DataFrame:
+    """A column of ``counted``, score, evidence of every row."""
+    sent = counted.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("terms"), batch.column("counts"), strict=True)
-            found = [sent.value.score(t.values.to_numpy(), c.values.to_numpy()) for t, c in pairs]
-            evidence = pa.array([e for _, e in found], pa.list_(batch.schema.field("doc_id").type))
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), evidence],
-                names=["doc_id", "score", "evidence"],
-            )
-
-    id_field = counted.schema["doc_id"]
-    fields = [T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(id_field.dataType))]
-    scored = counted.mapInArrow(run, T.StructType([id_field, *fields]))
+            terms, counts = batch.column("terms"), batch.column("counts")
+            found, best = sent.value.score_each(terms.offsets.to_numpy(), terms.values.to_numpy(), counts.values.to_numpy())
+            evidence = pa.array(best, ids)
+            yield pa.record_batch([batch.column(column), pa.array(found, pa.float64()), evidence], names=[column, "score", "evidence"])
+
+    id_type = counted.schema["doc_id"].dataType
+    ids = pa.list_(to_arrow_type(id_type))
+    fields = [T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(id_type))]
+    return counted.select("terms", "counts", column).mapInArrow(run, T.StructType([counted.schema[column], *fields]))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted, evidence (ids of the nearest examples)."""
+    scored = _scores(*fit(docs, labels, examples), "doc_id")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence"
     )
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
-    """The documents, in all their columns, with a score under 0.5."""
-    model, _ = fit(docs, labels, examples)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """The documents, in all their columns, with a score under 0.5.
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        terms = Terms(sent.value.chosen)
-        for batch in batches:
-            counts = (terms.count(t) for t in batch)
-            found = [sent.value.score(np.array(list(c), np.int64), np.array(list(c.values())))[0] for c in counts]
-            yield pd.Series(found, dtype="float64")
-
-    return docs.where(score(text_of(docs)) < 0.5)
+    A score depends on the text alone, so the documents that go are told by the hashes of their texts."""
+    model, counted = fit(docs, labels, examples)
+    toxic = stored(_scores(model, counted, "key").where("score >= 0.5").select("key").distinct(), "toxic-keys")
+    free(counted)
+    return docs.join(toxic, _key(docs) == toxic["key"], "left_anti")
