@@ -150,6 +150,38 @@ def test_stage_equals_brute_force_on_families_near_the_threshold(spark):
     assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == brute_kept(texts)
 
 
+def test_stage_links_near_fingerprints_by_the_tree(spark, monkeypatch):
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    texts = ["", " ", "one text", "One  text"]
+    for _ in range(30):
+        base = rng.choices(vocabulary, k=300)
+        texts += [" ".join(edited(rng, base, n)) for n in (0, 0, 1, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = [brute_print(t) for t in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    root = brute_roots(range(len(texts)), near)
+    assert 40 < len(texts) - len(set(root.values())) and any(prints[i] != prints[j] for i, j in near)
+    pairs = [(r.a, r.b) for r in simhash._close_pairs(docs).collect()]
+    assert brute_roots(range(len(texts)), pairs) == root and len(pairs) == len(texts) - len(set(root.values()))
+    # Without the prefix join the stage still has these links, and only these.
+    prefixes = simhash._prefixes
+    monkeypatch.setattr(simhash, "_prefixes", lambda *a: prefixes(*a).where("false"))
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == sorted(set(root.values()))
+
+
+def test_stage_checks_near_fingerprints_on_shingles(spark):
+    rng = random.Random(22)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(900)], k=40)) for _ in range(12)]
+    # Of a line that is repeated, fingerprints see the line alone; sets see all that differs.
+    line = " ".join(f"l{i}" for i in range(7))
+    texts += [" ".join([line] * 40 + [f"t{i}x{j}" for j in range(12)]) for i in range(5)]
+    prints = [brute_print(t) for t in texts]
+    assert sum((prints[i] ^ prints[j]).bit_count() <= 4 for i in range(12, 17) for j in range(12, i)) > 0
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == brute_kept(texts) == list(range(17))
+
+
 def test_stage_finds_repeated_lines_and_short_copies(spark):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(4000)]

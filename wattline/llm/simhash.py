@@ -10,8 +10,9 @@ vantage points. Shards above the capacity are compared in blocks, so no task hol
 Neither pairs of equal texts nor all pairs of a dense group are written: every task returns a
 spanning forest of the links it has found, shortest links first.
 
-The corpus stage (``drop_near_copies``) needs no fingerprints: it finds all pairs of similar shingle
-sets by a prefix-filter join.
+The corpus stage (``drop_near_copies``) takes its first links from fingerprints and tree and checks them
+on shingle sets. Similar sets may have far fingerprints; a prefix-filter join finds the pairs that these
+links leave apart.
 
 Words are what stands between white space, A-Z lower-cased. Null and empty texts have no words and
 fingerprint zero, linked like any other. Only ``doc_id`` and ``text`` are read.
@@ -33,6 +34,8 @@ from wattline.llm.common import free, join_groups, likely, ship, stored, sweep,
 from wattline.llm.graph import components
 
 SEED = 42
+#: Words of a shingle of the fingerprints, most differing bits of a link.
+WORDS, RADIUS = 4, 4
 #: Points that the tree is fitted on; all points are routed through it.
 SAMPLE, MOST_SHARDS, VANTAGES = 4_096, 4_096, 8
 #: Points of a shard, and queries to it, that one task compares.
@@ -377,14 +380,19 @@ def links(points: DataFrame, radius: int, ratio: float = 0.0, home: int = HOME,
     return flat.groupBy("shard", "i", "j").applyInArrow(compare, out)
 
 
-def near_groups(docs: DataFrame, k: int = 4, radius: int = 4) -> DataFrame:
+def _prints(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, fp of every document; fp, n, low (smallest doc_id) of every fingerprint."""
+    prints = stored(fingerprints(docs, k, 1).select("doc_id", "fp"), "simhash-prints")
+    return prints, stored(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")), "simhash-distinct")
+
+
+def near_groups(docs: DataFrame, k: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of all
     documents that links of at most ``radius`` differing bits reach, itself included).
 
     Rows without an id take part; a component in which no row has one has a null component_id.
     """
-    prints = stored(fingerprints(docs, k, 1).select("doc_id", "fp"), "simhash-prints")
-    distinct = stored(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")), "simhash-distinct")
+    prints, distinct = _prints(docs, k)
     found = links(distinct.select("fp", F.lit(0).alias("size")), radius)
     roots = components(found.select("a", "b"))
     rooted = stored(
@@ -522,15 +530,34 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> D
     return good
 
 
-def _open_groups(shared: DataFrame, good: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with their root, and the groups of a token, that verified links have not yet made one."""
+def _close_pairs(docs: DataFrame) -> DataFrame:
+    """a, b: the documents, by their ids, that links of the tree between fingerprints connect. Of documents with one
+    fingerprint, the others are linked to the smallest id, which stands for them in links to other fingerprints."""
+    prints, distinct = _prints(docs, WORDS)
+    found = stored(links(distinct.select("fp", F.lit(0).alias("size")), RADIUS).select("a", "b"), "simhash-links")
+    ends = found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).groupBy("fp").agg(F.count("*").alias("n"))
+    named = stored(ends.join(distinct.select("fp", "low"), "fp"), "simhash-ends")
+    left = join_groups(found, named.toDF("a", "n", "low_a"), ["a"], ["b"]).select("a", "b", "low_a")
+    both = join_groups(left, named.toDF("b", "n", "low_b"), ["b"], ["a"])
+    several = distinct.where("n > 1")
+    same = join_groups(likely(prints, several, ["fp"]), several, ["fp"], ["doc_id"]).where(F.col("doc_id") != F.col("low"))
+    pairs = both.select(F.col("low_a").alias("a"), F.col("low_b").alias("b")).unionByName(
+        same.select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    )
+    pairs = _new_pairs(pairs.where("a <> b"), None)
+    free(prints, distinct, found, named)
+    sweep(docs.sparkSession)
+    return pairs
+
+
+def _open_groups(shared: DataFrame, good: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows with their root, and the groups of a token that verified links have not yet made one, with ``more`` of each."""
     roots = components(good)
     rooted = shared.drop("root").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     rooted = stored(rooted, "near-rooted")
     free(roots)
-    leader = F.min_by(F.struct("id", "size", "at", "root"), F.xxhash64("tok", "id"))
     groups = rooted.groupBy("tok").agg(
-        F.count("*").alias("n"), leader.alias("lead"), F.min("root").alias("_least"), F.max("root").alias("_most")
+        F.count("*").alias("n"), F.min("root").alias("_least"), F.max("root").alias("_most"), *more
     )
     groups = stored(groups.where("_least <> _most").drop("_least", "_most"), "near-open")
     return rooted, groups
@@ -545,39 +572,41 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
     """The documents, in all their columns, without near copies: of each group the smallest id stays.
 
     Groups are what links connect; a link is a pair whose k-word shingle sets have at least
-    ``similarity`` of their union in common. Similar sets share one of their rarest shingles (see
-    ``_prefixes``). Of the documents with one such shingle, all are compared with the one of smallest
-    id, then, where these links have not made them one, with another, and at last all pairs that are
-    still in different groups: every possible pair is verified or connected by verified links.
+    ``similarity`` of their union in common. Pairs with near fingerprints (see ``links``) are compared
+    first. Similar sets share one of their rarest shingles (see ``_prefixes``). Of the documents with one
+    such shingle that are not yet one group, all are compared with the one of smallest id, then with
+    another, and at last all pairs that are still in different groups: every possible pair is verified
+    or connected by verified links.
     Rows without an id stay. Rows that share an id are one document and stay or go together.
     """
     with_id = docs.where(F.col("doc_id").isNotNull())
+    checked = _close_pairs(with_id)
+    good = _verified(checked, with_id, k, similarity)
+
     rows = stored(_prefixes(with_id, k, similarity), "near-prefixes")
-    first = rows.groupBy("tok").agg(F.count("*").alias("n"), F.min(F.struct("id", "size", "at")).alias("lead"))
-    groups = stored(first.where("n > 1"), "near-groups")
-    shared = stored(join_groups(likely(rows, groups, ["tok"]), groups, ["tok"], ["id"]), "near-shared")
+    groups = stored(rows.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1"), "near-groups")
+    shared = stored(join_groups(likely(rows, groups, ["tok"]), groups, ["tok"], ["id"]).drop("n"), "near-shared")
     free(rows, groups)
 
-    apart = shared.where((F.col("id") != F.col("lead.id")) & _possible("lead", similarity))
-    checked = _new_pairs(apart.select(F.col("lead.id").alias("a"), F.col("id").alias("b")), None)
-    good = _verified(checked, with_id, k, similarity)
-
-    # Groups of two are settled.
-    rooted, groups = _open_groups(shared.where("n > 2").select("tok", "id", "size", "at"), good)
-    free(shared)
-    if not groups.isEmpty():
+    member = F.struct("id", "size", "at", "root")
+    for leader in (F.min(member), F.min_by(member, F.xxhash64("tok", "id"))):
+        rooted, groups = _open_groups(shared, good, leader.alias("lead"))
+        free(shared)
         led = join_groups(rooted, groups, ["tok"], ["id"])
         apart = led.where((F.col("root") != F.col("lead.root")) & _possible("lead", similarity))
         pairs = _new_pairs(apart.select(F.col("lead.id").alias("a"), F.col("id").alias("b")), checked)
         checked = checked.unionByName(pairs)
         good = good.unionByName(_verified(pairs, with_id, k, similarity))
+        # Groups of two are settled.
+        shared = stored(led.where("n > 2").select("tok", "id", "size", "at"), "near-shared")
+        free(rooted, groups)
 
-        led_rows, led_groups = rooted, groups
-        rooted, groups = _open_groups(rooted, good)
-        free(led_rows, led_groups)
+    rooted, groups = _open_groups(shared, good)
+    free(shared)
+    if not groups.isEmpty():
         parts = F.ceil(F.col("n") / MEMBERS).cast("int")
-        salted = join_groups(rooted, groups.drop("lead"), ["tok"], ["id"]).withColumn("salt", F.pmod(F.xxhash64("id"), parts))
-        every = join_groups(rooted, groups.drop("lead"), ["tok"], ["id"]).withColumn(
+        salted = join_groups(rooted, groups, ["tok"], ["id"]).withColumn("salt", F.pmod(F.xxhash64("id"), parts))
+        every = join_groups(rooted, groups, ["tok"], ["id"]).withColumn(
             "salt", F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))
         )
         others = every.select("tok", "salt", F.struct("id", "size", "at", "root").alias("other"))

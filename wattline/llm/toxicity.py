@@ -3,9 +3,9 @@
 Terms are all words of the examples, and those first letters of words that go with the label (many toxic
 words share a stem). Every word weighs something; how much more a term weighs is learned from the
 likelihood ratio of its label counts. Document frequencies of the terms are counted over all documents.
-Texts are scored many at once: a block's bound decides for each whether its lists are added up, those of
-frequent terms as a matrix product. A text's score is the distance-weighted vote of its nearest examples, drawn towards the share of toxic
-examples; a text without any term gets the share among the examples that have none.
+Texts are scored many at once: bounds decide which blocks a text needs, and what frequent terms add to these
+is a matrix product. A text's score is the distance-weighted vote of its nearest examples, drawn towards the
+share of toxic examples; a text without any term gets the share among the examples that have none.
 
 The model is fitted on at most ``examples`` labelled rows, those with the smallest hashed ids; every
 document is scored over its whole text. Rows whose crc32(doc_id as text) is divisible by 5 are held
