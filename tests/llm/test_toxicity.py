@@ -41,8 +41,7 @@ def test_many_queries_at_once_by_frequent_and_rare_terms(monkeypatch):
             assert score[query == i] == pytest.approx([-s for s, _ in want])
 
 
-def test_terms_of_texts_are_counted_as_one_by_one(monkeypatch):
-    monkeypatch.setattr(toxicity, "TEXTS", 3)
+def test_terms_of_texts_are_counted_as_one_by_one():
     chosen = sorted({"grimlok$", "grim", "griml", "nasty$", "nas", "té$", "a$"})
     texts = ["Grimlok grimlok GRIMSTY", "", "nasty Té a nas x9grim", "none of them", "grim grimm", "", "", "nasty " * 5]
     terms, counts = toxicity.Terms(chosen).lists(pa.array(texts))

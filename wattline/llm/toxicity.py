@@ -44,6 +44,8 @@ BLOCK, FIRST = 64, 4
 #: A term in one of so many examples, of at most so many terms, has its weights in a matrix, too; texts that are scored,
 #: and counted, at once.
 DENSE, MOST_DENSE, QUERIES, TEXTS = 32, 1_024, 128, 256
+#: Texts whose lists of rarer terms are added up at once: a worker's memory.
+FEW = 16
 FOLDS = 5
 #: Words that are no terms whose beginnings a worker remembers in each of two generations.
 MEMO = 50_000
@@ -63,22 +65,19 @@ class Terms:
     """Finds the terms of a model in texts. Sent as the terms alone; each worker prepares its tables once."""
 
     def __init__(self, chosen: list[str]):
-        self.chosen, self.words = chosen, None
-
-    def __getstate__(self) -> dict:
-        return {"chosen": self.chosen, "words": None}
+        self.chosen, self.size, self.words = chosen, len(chosen), None
 
     def _prepare(self) -> None:
         self.words = {t[:-1]: i for i, t in enumerate(self.chosen) if t.endswith("$")}
         self.beginnings = {t: i for i, t in enumerate(self.chosen) if not t.endswith("$")}
         self.memo = Memo(MEMO)
         #: Beginnings of all words that are terms; word i has those from start[i] to start[i + 1].
-        self.start, own = np.zeros(len(self.chosen) + 1, np.int64), array("i")
+        self.start, own = np.zeros(self.size + 1, np.int64), array("i")
         for word, i in self.words.items():
             found = self._of(word)
             self.start[i + 1] = len(found)
             own.extend(found)
-        self.start, self.own = np.cumsum(self.start), np.array(own, np.int32)
+        self.start, self.own, self.chosen = np.cumsum(self.start), np.array(own, np.int32), None
 
     def _of(self, word: str) -> list[int]:
         return [self.beginnings[t] for t in word_terms(word)[1:] if t in self.beginnings]
@@ -96,9 +95,8 @@ class Terms:
         """Terms, ascending, and how often each occurs, of every text."""
         if self.words is None:
             self._prepare()
-        parts = [self._lists(texts[i : i + TEXTS]) for i in range(0, len(texts), TEXTS)]
-        ends, *numbers = (np.concatenate([np.zeros(0, np.int32), *x]) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int32)] * 3
-        at = pa.array(np.r_[0, np.cumsum(ends)].astype(np.int32))
+        sizes, *numbers = self._lists(texts)
+        at = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
         return [pa.ListArray.from_arrays(at, pa.array(x)) for x in numbers]
 
     def _lists(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,12 +115,12 @@ class Terms:
         word, n, of = word[word >= 0], n[word >= 0], of[word >= 0]
         at, part = spread(self.start[word], self.start[word + 1])
         others = np.array(more, np.int64).reshape(-1, 3)
-        key = np.concatenate([of, of[part], others[:, 0]]) * len(self.chosen) + np.concatenate([word, self.own[at], others[:, 1]])
+        key = np.concatenate([of, of[part], others[:, 0]]) * self.size + np.concatenate([word, self.own[at], others[:, 1]])
         order = np.argsort(key)
         key, n = key[order], np.concatenate([n, n[part], others[:, 2]])[order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         counts = np.add.reduceat(n, first) if len(key) else n
-        text, term = np.divmod(key[first], max(1, len(self.chosen)))
+        text, term = np.divmod(key[first], max(1, self.size))
         return np.bincount(text, minlength=len(sizes)).astype(np.int32), term.astype(np.int32), counts.astype(np.int32)
 
 
@@ -176,19 +174,23 @@ class BlockMaxIndex:
 
     def nearest_each(self, query: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, cosine, example) of the ``k`` largest cosines above 0 of each of ``n`` queries, best first, ties to
-        the smaller example; a query's terms and weights are those with its number in ``query``."""
+        the smaller example; a query's terms and weights are those with its number in ``query``, which ascends."""
         dense, most = self._dense()
         width, row = self.blocks * BLOCK, self.row[terms]
         common = row >= 0
         heavy = np.zeros((n, len(dense)))
         heavy[query[common], row[common]] = weights[common]
         query, terms, weights = query[~common], terms[~common], weights[~common]
-        entry, of = spread(self.first[terms], self.first[terms + 1])
-        bounds = np.bincount(query[of] * self.blocks + self.block[entry], weights[of] * self.largest[entry], n * self.blocks)
-        bounds = bounds.reshape(n, self.blocks) + heavy @ most
-        at, of = spread(self.start[self.first[terms]], self.start[self.first[terms + 1]])
-        score = np.bincount(query[of] * width + self.place[at], weights[of] * self.weight[at], n * width)
-        score = score.astype(np.float64, copy=False).reshape(n, width)  # without postings bincount counts in whole numbers
+        bounds, score = heavy @ most, np.zeros((n, width))
+        for i in range(0, n, FEW):
+            few, own = min(FEW, n - i), slice(*np.searchsorted(query, (i, i + FEW)))
+            low, high, asks, times = self.first[terms[own]], self.first[terms[own] + 1], query[own] - i, weights[own]
+            at, of = spread(low, high)
+            bound = np.bincount(asks[of] * self.blocks + self.block[at], times[of] * self.largest[at], few * self.blocks)
+            bounds[i : i + few] += bound.reshape(few, self.blocks)
+            at, of = spread(self.start[low], self.start[high])
+            found = np.bincount(asks[of] * width + self.place[at], times[of] * self.weight[at], few * width)
+            score[i : i + few] = found.reshape(few, width)
 
         def finish(wanted: np.ndarray) -> None:
             """Adds the frequent terms in the wanted blocks of each query."""
@@ -330,8 +332,9 @@ def _term_counts(docs: DataFrame, chosen: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [batch.column("doc_id"), batch.column("key")]
-            yield pa.record_batch([*kept, *sent.value.lists(batch.column("text"))], names=["doc_id", "key", "terms", "counts"])
+            for part in (batch.slice(i, TEXTS) for i in range(0, batch.num_rows, TEXTS)):
+                kept = [part.column("doc_id"), part.column("key")]
+                yield pa.record_batch([*kept, *sent.value.lists(part.column("text"))], names=["doc_id", "key", "terms", "counts"])
 
     numbers = T.ArrayType(T.IntegerType())
     fields = [T.StructField("terms", numbers), T.StructField("counts", numbers)]
