@@ -65,11 +65,12 @@ class Terms:
     """Finds the terms of a model in texts. Sent as the terms alone; each worker prepares its tables once."""
 
     def __init__(self, chosen: list[str]):
-        self.chosen, self.size, self.words = chosen, len(chosen), None
+        self.chosen, self.size, self.words = "\n".join(chosen), len(chosen), None
 
     def _prepare(self) -> None:
-        self.words = {t[:-1]: i for i, t in enumerate(self.chosen) if t.endswith("$")}
-        self.beginnings = {t: i for i, t in enumerate(self.chosen) if not t.endswith("$")}
+        chosen = self.chosen.split("\n")
+        self.words = {t[:-1]: i for i, t in enumerate(chosen) if t.endswith("$")}
+        self.beginnings = {t: i for i, t in enumerate(chosen) if not t.endswith("$")}
         self.memo = Memo(MEMO)
         #: Beginnings of all words that are terms; word i has those from start[i] to start[i + 1].
         self.start, own = np.zeros(self.size + 1, np.int64), array("i")
@@ -144,8 +145,10 @@ class BlockMaxIndex:
         term, weight = (np.concatenate([np.zeros(0, kind), *(vectors[i][k] for i in self.order)]) for k, kind in ((0, np.int32), (1, np.float64)))
         by = np.lexsort([place, term])
         #: Postings by term, then place: where a term's postings of one block start, and their largest weight.
-        self.place, self.weight = place[by], weight[by]
-        key = term[by].astype(np.int64) * self.blocks + self.place // BLOCK
+        self.place, self.weight, term = place[by], weight[by], term[by]
+        del by, place, weight  # the driver's memory
+        key = term * np.int64(self.blocks) + self.place // BLOCK
+        del term
         at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         self.start = np.r_[at, len(key)].astype(np.int32)
         self.block = (key[at] % self.blocks).astype(np.int16)
@@ -231,7 +234,7 @@ class Model:
     def __init__(self, chosen: list[str], weights: np.ndarray, examples: list[tuple[int, np.ndarray, np.ndarray, float]]):
         """Examples are (doc id, terms, counts, label)."""
         self.chosen, self.weights = chosen, weights
-        examples = sorted(examples, key=lambda e: (e[0], e[1].tobytes(), e[2].tobytes(), e[3]))
+        examples = sorted(examples, key=lambda e: e[0])
         labels = [y for *_, y in examples]
         empty = [y for _, terms, _, y in examples if not len(terms)]
         self.base = sum(labels) / len(labels) if labels else 0.0
