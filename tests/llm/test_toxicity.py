@@ -1,11 +1,13 @@
+import pickle
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from wattline.llm import queries, toxicity
+from wattline.llm import common, queries, toxicity
 
 
 def test_index_returns_the_exact_nearest():
@@ -41,6 +43,21 @@ def test_many_queries_at_once_by_frequent_and_rare_terms(monkeypatch):
             assert score[query == i] == pytest.approx([-s for s, _ in want])
 
 
+def test_a_worker_that_waits_holds_postings_alone():
+    rng = random.Random(21)
+    examples = [(i, np.array(sorted({*rng.sample(range(20), 8), *rng.sample(range(20, 5_000), 30)}), np.int32)) for i in range(2_000)]
+    model = toxicity.Model([f"w{i}$" for i in range(5_000)], np.ones(5_000), [(i, t, np.ones(len(t), np.int32), i % 2) for i, t in examples])
+    postings = sum(len(t) for _, t in examples)
+    assert len(pickle.dumps(model.index)) < 11 * postings + 100_000  # eight bytes of weight, two of place
+    assert common.keep(list, "abc") is common.keep(list, "abc")
+    texts = pa.record_batch([[7, 8], [t for _, t in examples[:2]], [np.ones(len(t), np.int32) for _, t in examples[:2]]], names=["doc_id", "terms", "counts"])
+    run = toxicity._score_batches(SimpleNamespace(value=model), "doc_id", pa.list_(pa.int64()))
+    batches = run(iter([texts, texts]))
+    first = next(batches)
+    assert first.column("evidence").to_pylist()[1][0] == 1 and not common._KEPT and model.index.tables is not None
+    assert next(batches).equals(first) and list(batches) == [] and model.index.tables is None
+
+
 def test_terms_of_texts_are_counted_as_one_by_one():
     chosen = sorted({"grimlok$", "grim", "griml", "nasty$", "nas", "té$", "a$"})
     texts = ["Grimlok grimlok GRIMSTY", "", "nasty Té a nas x9grim", "none of them", "grim grimm", "", "", "nasty " * 5]

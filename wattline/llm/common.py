@@ -6,6 +6,7 @@ import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 from weakref import WeakKeyDictionary
 
@@ -116,6 +117,23 @@ class Memo:
         self.young[key] = value
 
 
+#: What this worker keeps from task to task, and what it was made of.
+_KEPT: dict[tuple, object] = {}
+
+
+def keep(make: Callable, *of):
+    """``make(*of)``, made once for each worker and kept from task to task until something else is."""
+    if (make, *of) not in _KEPT:
+        let_go()
+        _KEPT[make, *of] = make(*of)
+    return _KEPT[make, *of]
+
+
+def let_go() -> None:
+    """Drops what this worker keeps, for tasks that need the memory for something else."""
+    _KEPT.clear()
+
+
 #: Bits of the filter of ``likely``, in bitmaps of Spark's 32,768 bits: 4 MB at any input size.
 FILTER_BITS, BITMAP_BITS = 1 << 25, 1 << 15
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from wattline.llm.common import Memo, ship, stored, text_of
+from wattline.llm.common import Memo, keep, ship, stored, text_of
 
 #: Characters of a chunk and of its overlap with the one before.
 CHUNK, OVERLAP = 32_768, 1_024
@@ -131,15 +130,9 @@ class WordCounts:
         return sum(counts) + (self.encode([first])[0] if first else 0)
 
 
-@lru_cache(2)
-def word_counts(path: str) -> WordCounts:
-    """One for each worker, kept from task to task."""
-    return WordCounts(path)
-
-
 def _count_small(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = word_counts(path)
+        counter = keep(WordCounts, path)
         for batch in batches:
             counts = [counter.count(t.as_py()) for t in batch.column("text")]
             yield pa.record_batch(
@@ -210,7 +203,7 @@ def chunk_places(counter: WordCounts, text: str, overlap: int) -> tuple[list, li
 
 def _encode_chunks(path: str, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = word_counts(path)
+        counter = keep(WordCounts, path)
         kind = pa.map_(pa.int64(), pa.int64())
         for batch in batches:
             head, tail, total = [], [], []

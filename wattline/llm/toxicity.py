@@ -25,12 +25,13 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from wattline.llm.common import Memo, free, ship, stored, text_of
+from wattline.llm.common import Memo, free, let_go, ship, stored, text_of
 
 #: Labelled rows that the model is fitted on, neighbours that vote.
 EXAMPLES, NEIGHBOURS = 8_192, 15
@@ -44,8 +45,8 @@ BLOCK, FIRST = 64, 4
 #: A term in one of so many examples, of at most so many terms, has its weights in a matrix, too; texts that are scored,
 #: and counted, at once.
 DENSE, MOST_DENSE, QUERIES, TEXTS = 32, 1_024, 128, 256
-#: Texts whose lists of rarer terms are added up at once: a worker's memory.
-FEW = 16
+#: Texts whose lists of rarer terms are added up at once, and postings whose blocks are looked for: a worker's memory.
+FEW, PIECE = 16, 200_000
 FOLDS = 5
 #: Words that are no terms whose beginnings a worker remembers in each of two generations.
 MEMO = 50_000
@@ -143,42 +144,56 @@ class BlockMaxIndex:
         self.blocks = max(1, -(-len(vectors) // BLOCK))
         place = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(vectors[i][0]) for i in self.order])
         term, weight = (np.concatenate([np.zeros(0, kind), *(vectors[i][k] for i in self.order)]) for k, kind in ((0, np.int32), (1, np.float64)))
-        by = np.lexsort([place, term])
-        #: Postings by term, then place: where a term's postings of one block start, and their largest weight.
-        self.place, self.weight, term = place[by], weight[by], term[by]
-        del by, place, weight  # the driver's memory
-        key = term * np.int64(self.blocks) + self.place // BLOCK
-        del term
-        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        self.start = np.r_[at, len(key)].astype(np.int32)
-        self.block = (key[at] % self.blocks).astype(np.int16)
-        self.largest = np.maximum.reduceat(self.weight, at) if len(key) else np.zeros(0)
-        #: Where a term's blocks start.
-        self.first = np.searchsorted(key[at] // self.blocks, np.arange(terms + 1))
-        #: Rows of the frequent terms, -1 for the others; their weights and largest weights as matrices, made when needed.
-        postings = np.diff(self.start[self.first])
-        often = np.flatnonzero(postings * DENSE >= max(1, len(vectors)))
-        often = np.sort(often[np.argsort(-postings[often], kind="stable")[:MOST_DENSE]])
+        #: Postings of each term; rows of the frequent terms, -1 for the others.
+        self.postings = np.bincount(term, minlength=terms)
+        often = np.flatnonzero(self.postings * DENSE >= max(1, len(vectors)))
+        self.often = np.sort(often[np.argsort(-self.postings[often], kind="stable")[:MOST_DENSE]])
         self.row = np.full(terms, -1, np.int32)
-        self.row[often] = np.arange(len(often))
-        self.often, self.matrices = often, None
+        self.row[self.often] = np.arange(len(self.often))
+        #: Postings by term, then place; those of the frequent terms last.
+        by = np.lexsort([place, term, self.row[term] >= 0])
+        self.place, self.weight = place[by].astype(np.min_scalar_type(len(vectors))), weight[by]
+        self.tables = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"matrices": None}
-
-    def _dense(self) -> tuple[np.ndarray, np.ndarray]:
-        if self.matrices is None:
-            weights = np.zeros((len(self.often), self.blocks * BLOCK))
-            for row, term in enumerate(self.often.tolist()):
-                own = slice(self.start[self.first[term]], self.start[self.first[term + 1]])
-                weights[row, self.place[own]] = self.weight[own]
-            self.matrices = weights, weights.reshape(len(self.often), self.blocks, BLOCK).max(axis=2, initial=0.0)
-        return self.matrices
+        return self.__dict__ | {"tables": None}
+
+    def _tables(self) -> tuple[np.ndarray, ...]:
+        """What follows from the postings, made when needed: where each rarer term's blocks start; a block's number, where
+        its postings start, and their largest weight; weights and largest weights of the frequent terms as matrices."""
+        if self.tables is None:
+            sizes = np.where(self.row < 0, self.postings, 0)
+            end = np.r_[0, np.cumsum(sizes)]
+            rarer, first, n = int(end[-1]), np.zeros(len(sizes) + 1, np.int64), 0
+            block, start, largest = (np.empty(rarer + 1, kind) for kind in (np.int16, np.int32, np.float64))
+            cuts = np.unique(np.r_[0, np.searchsorted(end, range(PIECE, rarer, PIECE)), len(sizes)]).tolist()
+            for a, b in zip(cuts, cuts[1:]):  # a worker's memory
+                own = slice(end[a], end[b])
+                key = np.repeat(np.arange(a, b) * self.blocks, sizes[a:b]) + self.place[own] // BLOCK
+                at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+                term, part = np.divmod(key[at], self.blocks)
+                first[a + 1 : b + 1] = n + np.cumsum(np.bincount(term - a, minlength=b - a))
+                found, n = slice(n, n + len(at)), n + len(at)
+                block[found], start[found] = part, end[a] + at
+                if len(at):
+                    largest[found] = np.maximum.reduceat(self.weight[own], at)
+            start[n] = rarer
+            dense = np.zeros((len(self.often), self.blocks * BLOCK))
+            ends = rarer + np.cumsum(self.postings[self.often])
+            for row, (end, size) in enumerate(zip(ends.tolist(), self.postings[self.often].tolist(), strict=True)):
+                dense[row, self.place[end - size : end]] = self.weight[end - size : end]
+            most = dense.reshape(len(self.often), self.blocks, BLOCK).max(axis=2, initial=0.0)
+            self.tables = first, block, start, largest, dense, most
+        return self.tables
+
+    def let_go(self) -> None:
+        """Of the tables, which are several times as large as the postings."""
+        self.tables = None
 
     def nearest_each(self, query: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, cosine, example) of the ``k`` largest cosines above 0 of each of ``n`` queries, best first, ties to
         the smaller example; a query's terms and weights are those with its number in ``query``, which ascends."""
-        dense, most = self._dense()
+        first_block, block_of, start, largest, dense, most = self._tables()
         width, row = self.blocks * BLOCK, self.row[terms]
         common = row >= 0
         heavy = np.zeros((n, len(dense)))
@@ -187,11 +202,11 @@ class BlockMaxIndex:
         bounds, score = heavy @ most, np.zeros((n, width))
         for i in range(0, n, FEW):
             few, own = min(FEW, n - i), slice(*np.searchsorted(query, (i, i + FEW)))
-            low, high, asks, times = self.first[terms[own]], self.first[terms[own] + 1], query[own] - i, weights[own]
+            low, high, asks, times = first_block[terms[own]], first_block[terms[own] + 1], query[own] - i, weights[own]
             at, of = spread(low, high)
-            bound = np.bincount(asks[of] * self.blocks + self.block[at], times[of] * self.largest[at], few * self.blocks)
+            bound = np.bincount(asks[of] * self.blocks + block_of[at], times[of] * largest[at], few * self.blocks)
             bounds[i : i + few] += bound.reshape(few, self.blocks)
-            at, of = spread(self.start[low], self.start[high])
+            at, of = spread(start[low], start[high])
             found = np.bincount(asks[of] * width + self.place[at], times[of] * self.weight[at], few * width)
             score[i : i + few] = found.reshape(few, width)
 
@@ -334,6 +349,7 @@ def _term_counts(docs: DataFrame, chosen: list[str]) -> DataFrame:
     rows = docs.select("doc_id", _key(docs).alias("key"), text_of(docs).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in (batch.slice(i, TEXTS) for i in range(0, batch.num_rows, TEXTS)):
                 kept = [part.column("doc_id"), part.column("key")]
@@ -369,19 +385,28 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[M
     return Model(chosen, weights, list(zip(ids, *values, toxic, strict=True))), counted
 
 
+def _score_batches(sent: Broadcast, column: str, ids: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        model = sent.value
+        try:
+            for batch in batches:
+                terms, counts = batch.column("terms"), batch.column("counts")
+                found, best = model.score_each(terms.offsets.to_numpy(), terms.values.to_numpy(), counts.values.to_numpy())
+                evidence = pa.array(best, ids)
+                yield pa.record_batch([batch.column(column), pa.array(found, pa.float64()), evidence], names=[column, "score", "evidence"])
+        finally:
+            model.index.let_go()  # workers wait for the next task in turn, more of them than run at once
+
+    return run
+
+
 def _scores(model: Model, counted: DataFrame, column: str) -> DataFrame:
     """A column of ``counted``, score, evidence of every row."""
     sent = counted.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            terms, counts = batch.column("terms"), batch.column("counts")
-            found, best = sent.value.score_each(terms.offsets.to_numpy(), terms.values.to_numpy(), counts.values.to_numpy())
-            evidence = pa.array(best, ids)
-            yield pa.record_batch([batch.column(column), pa.array(found, pa.float64()), evidence], names=[column, "score", "evidence"])
-
     id_type = counted.schema["doc_id"].dataType
-    ids = pa.list_(to_arrow_type(id_type))
+    run = _score_batches(sent, column, pa.list_(to_arrow_type(id_type)))
     fields = [T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(id_type))]
     return counted.select("terms", "counts", column).mapInArrow(run, T.StructType([counted.schema[column], *fields]))
 
