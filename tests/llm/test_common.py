@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from wattline.llm import common
@@ -19,3 +20,14 @@ def test_groups_join_whole_whatever_their_size(spark, monkeypatch):
     groups = rows.groupBy("k").agg(F.count("*").alias("n"))
     joined = common.join_groups(rows, common.stored(groups, "groups"), ["k"], ["id"])
     assert sorted((r.id, r.n) for r in joined.collect()) == [(i, 1000 if i % 3 == 0 else 1) for i in range(3_000)]
+
+
+def test_workers_get_no_more_rows_at_once(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.record_batch([[batch.num_rows]], names=["n"])
+
+    sizes = spark.range(0, 100, 1, 1).mapInArrow(run, "n long")
+    before = spark.conf.get(common.BATCH)
+    assert sorted(r.n for r in common.stored(sizes, "few-rows", 30).collect()) == [10, 30, 30, 30]
+    assert [r.n for r in common.stored(sizes, "all-rows").collect()] == [100] and spark.conf.get(common.BATCH) == before

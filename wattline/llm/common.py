@@ -49,22 +49,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _PATHS: "WeakKeyDictionary[DataFrame, str]" = WeakKeyDictionary()
 #: Whether a query's shuffle files go when it has ended, rather than when the driver happens to collect garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that Spark and a worker hand each other at once.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """``df`` computed once into a table of the shared folder: lineage ends there, no executor holds it alone, and
-    the shuffle files it took are not needed any longer."""
+    the shuffle files it took are not needed any longer. Workers get at most ``batch`` rows at once."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    wanted = {CLEANUP: "true"} | ({BATCH: str(batch)} if batch else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     table = spark.read.schema(df.schema).parquet(path)
     _PATHS[table] = path
     return table

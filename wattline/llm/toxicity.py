@@ -47,6 +47,8 @@ BLOCK, FIRST = 64, 4
 DENSE, MOST_DENSE, QUERIES, TEXTS = 32, 1_024, 128, 256
 #: Texts whose lists of rarer terms are added up at once, and postings whose blocks are looked for: a worker's memory.
 FEW, PIECE = 16, 200_000
+#: Rows that Spark and a worker hand each other at once: both hold them.
+ROWS = 1_024
 FOLDS = 5
 #: Words that are no terms whose beginnings a worker remembers in each of two generations.
 MEMO = 50_000
@@ -357,7 +359,7 @@ def _term_counts(docs: DataFrame, chosen: list[str]) -> DataFrame:
 
     numbers = T.ArrayType(T.IntegerType())
     fields = [T.StructField("terms", numbers), T.StructField("counts", numbers)]
-    return stored(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], rows.schema["key"], *fields])), "toxic-counts")
+    return stored(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], rows.schema["key"], *fields])), "toxic-counts", ROWS)
 
 
 def _key(docs: DataFrame) -> Column:
@@ -424,6 +426,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) ->
 
     A score depends on the text alone, so the documents that go are told by the hashes of their texts."""
     model, counted = fit(docs, labels, examples)
-    toxic = stored(_scores(model, counted, "key").where("score >= 0.5").select("key").distinct(), "toxic-keys")
+    toxic = stored(_scores(model, counted, "key").where("score >= 0.5").select("key").distinct(), "toxic-keys", ROWS)
     free(counted)
     return docs.join(toxic, _key(docs) == toxic["key"], "left_anti")
