@@ -179,3 +179,26 @@ def test_query_on_the_table(spark, libraries):
         r = found[i]
         assert (r.n_a, r.n_b, r.n_groups, r.n_links) == (n_a, n_b, n_groups, len(own))
         assert r.n_best == sum(counts[p] == highest[p[1]] for p in own) and r.count_sum == sum(counts[p] for p in own)
+
+
+def test_a_block_aligns_each_word_once(monkeypatch):
+    tokens, plain = [], alignment.Aligned.__init__
+
+    def counting(self, aligner, a, b):
+        tokens.append(len(a))
+        plain(self, aligner, a, b)
+
+    class Task:
+        get = classmethod(lambda cls: cls)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(alignment.Aligned, "__init__", counting)
+    monkeypatch.setattr(alignment, "TaskContext", Task)
+    pa, text = alignment.pa, "some words some more words"
+    once = len(alignment.Aligner(A, B).a.encode(" some words more", add_special_tokens=False).ids)
+    batch = pa.record_batch([pa.array(range(50), pa.int64()), pa.array([text] * 49 + ["lost ▁mark"])], names=["doc_id", "text"])
+    rows = pa.Table.from_batches(list(alignment._blocks(A, B, 1 << 20, pa.int64())(iter([batch]))))
+    assert sum(tokens) == once
+    assert rows.column("words").null_count == 2  # of the lossy text, and of the block's own row
+    links = np.concatenate([alignment.longs(x.as_py()) for x in rows.column("counts") if x.is_valid])
+    assert links.sum() == 49 * len(alignment.Aligner(A, B).align(text).links())

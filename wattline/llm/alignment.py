@@ -13,7 +13,8 @@ whose byte ranges overlap are linked. How often a pair of ids is linked is count
   is compared with the one stored at its place: a pair that the hash doesn't know is an error, never a wrong count.
 
 Where both tokenizers certainly start a token, before a space behind another character than white space,
-texts are cut into words, which are aligned once and remembered. Texts that are null or empty, or that a
+texts are cut into words, which are encoded once and remembered. Tokens of both sides end where a word ends, so
+links and groups of a text are those of its words: a block aligns each of its different words once. Texts that are null or empty, or that a
 tokenizer doesn't give back byte by byte (the second takes U+2581 for a space), have no tokens: zeros and an
 empty string. Each row is answered on its own, so repeated rows and rows without an id are, too. Only
 ``doc_id`` and ``text`` are read; other columns may have any name.
@@ -26,6 +27,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ SHARD = 1 << 20
 FAN = 64
 #: Words whose ids a worker remembers in each of two generations, and how long such a word may be.
 MEMO_WORDS, MEMO_LENGTH = 250_000, 64
-#: Words that are encoded in a row, and links that are counted at a time.
+#: Words that are encoded in a row, and tokens that are aligned at a time.
 ROW, LINKS = 1_024, 1 << 20
 #: Size of a level of the hash for each key still to be placed, and the number of levels.
 LOAD, LEVELS = 2, 48
@@ -126,31 +128,45 @@ class Aligner:
     def align(self, text: str | None) -> "Aligned | None":
         words = Words(self)
         numbers = words.numbers(text) if text else None
-        return None if numbers is None else Aligned(self, *words.ids(numbers))
+        words.learn()
+        return None if numbers is None or words.lose(numbers) else Aligned(self, *ReadWords(*words.write()).ids(numbers))
+
+
+class Numbers(dict):
+    """A number for each word, the next one for a word that has none."""
+
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
 
 
 class Words:
     """The different words of a block of texts, by number, with the ids of both tokenizers."""
 
     def __init__(self, aligner: Aligner):
-        self.aligner, self.number, self.forms = aligner, {}, []
+        self.aligner, self.number, self.forms, self.lost = aligner, Numbers(), [], []
 
-    def numbers(self, text: str) -> np.ndarray | None:
-        """The words of a text, or none if a word's bytes get lost."""
+    def numbers(self, text: str) -> np.ndarray:
+        """The words of a text, to be learned."""
         words = self.aligner.words(text)
-        found = list(map(self.number.get, words))
-        if None in found:
-            new = {w for w, n in zip(words, found, strict=True) if n is None}
-            for w, form in self.aligner.learn(list(new)).items():
-                self.number[w] = len(self.forms) if form else -1
-                if form:
-                    self.forms.append(form)
-            found = list(map(self.number.__getitem__, words))
-        return None if -1 in found else np.array(found, np.int32)
+        return np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
 
-    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        forms = [self.forms[n] for n in numbers.tolist()]
-        return tuple(np.frombuffer(b"".join([f[k] for f in forms]), np.int32) for k in (0, 1))
+    def learn(self) -> None:
+        """Encodes the words that came in since."""
+        new, self.number.new = self.number.new, []
+        found = self.aligner.learn(new)
+        for w in new:
+            if not found[w]:
+                self.lost.append(len(self.forms))
+            self.forms.append(found[w] or (b"", b""))
+
+    def lose(self, numbers: np.ndarray) -> bool:
+        """Whether a word's bytes get lost."""
+        return bool(self.lost) and bool(np.isin(numbers, self.lost).any())
 
     def write(self) -> list[bytes]:
         """The ids of all words, and how many each has, for both tokenizers."""
@@ -187,6 +203,14 @@ class ReadWords:
             out.append(ids[np.repeat(starts[numbers] - before, own) + np.arange(own.sum())])
         return tuple(out)
 
+    def aligned(self, aligner: Aligner, numbers: np.ndarray) -> "Iterator[tuple[np.ndarray, Aligned, np.ndarray]]":
+        """Some of the words in a row, their alignment, and where each ends, until it was all of them."""
+        tokens = np.cumsum(sum(sizes[numbers] for _, sizes, _ in self.sides))
+        cuts = np.searchsorted(tokens, np.arange(LINKS, tokens[-1], LINKS)) if len(numbers) else []
+        for i, j in pairwise(np.unique(np.r_[0, cuts, len(numbers)].astype(np.int64)).tolist()):
+            text = Aligned(aligner, *self.ids(numbers[i:j]))
+            yield numbers[i:j], text, text.a_ends[np.cumsum(self.sides[0][1][numbers[i:j]]) - 1]
+
 
 class Aligned:
     """A text's tokens on both sides and where they end."""
@@ -204,15 +228,19 @@ class Aligned:
         a = self.a[np.searchsorted(self.a_ends, self.ends)].astype(np.int64)
         return a << 32 | self.b[np.searchsorted(self.b_ends, self.ends)]
 
-    def groups(self) -> str:
-        """The groups in writing."""
+    def written(self) -> list[str]:
+        """The tokens in writing, both sides' of a group after each other, with the signs behind them."""
         written, parts, order = self.aligner.written, [], []
         for side, (ids, ends, sign) in enumerate(((self.a, self.a_ends, "|"), (self.b, self.b_ends, ";"))):
             group = np.searchsorted(self.common, ends)
             parts.append(np.where(self.common[group] == ends, written[sign][ids], written[","][ids]))
             order.append(2 * group + side)
         place = np.argsort(np.concatenate(order), kind="stable")
-        return "".join(np.concatenate(parts)[place].tolist())[:-1]
+        return np.concatenate(parts)[place].tolist()
+
+    def groups(self) -> str:
+        """The groups in writing."""
+        return "".join(self.written())[:-1]
 
 
 @lru_cache(2)
@@ -297,17 +325,15 @@ def _blocks(a_path: str, b_path: str, block: int, id_type: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, number = load(a_path, b_path), TaskContext.get().partitionId() << 32
-        words, parts, waiting, size, held = Words(aligner), [], [], 0, 0
-
-        def count() -> None:
-            parts.append(np.unique(np.concatenate(waiting), return_counts=True))
-            waiting.clear()
+        words, seen, size = Words(aligner), [], 0
 
         def whole() -> pa.RecordBatch:
-            if waiting:
-                count()
-            keys, counts = (np.concatenate([np.zeros(0, np.int64), *[p[k] for p in parts]]) for k in (0, 1))
-            raw = [*words.write(), *(x.tobytes() for x in summed(keys, counts))]
+            raw, found = words.write(), [(np.zeros(0, np.int64),) * 2]
+            times = np.bincount(np.concatenate([np.zeros(0, np.int32), *seen]), minlength=len(words.forms))
+            for part, text, ends in ReadWords(*raw).aligned(aligner, np.flatnonzero(times)):
+                links = np.diff(np.searchsorted(text.ends, ends, "right"), prepend=0)
+                found.append(summed(text.links(), np.repeat(times[part], links)))
+            raw += [x.tobytes() for x in summed(*(np.concatenate(x) for x in zip(*found, strict=True)))]
             columns = [pa.array([number], pa.int64()), pa.nulls(1, id_type), *(pa.array([x], pa.binary()) for x in (None, *raw))]
             return pa.record_batch(columns, names=NAMES)
 
@@ -315,23 +341,19 @@ def _blocks(a_path: str, b_path: str, block: int, id_type: pa.DataType):
             start, rows = 0, []
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py()
-                own = words.numbers(text) if text else None
-                rows.append(None if own is None else planes(own))
-                if own is not None:
-                    waiting.append(Aligned(aligner, *words.ids(own)).links())
-                    held += len(waiting[-1])
-                    if held >= LINKS:
-                        count()
-                        held = 0
+                rows.append(words.numbers(text) if text else None)
                 size += len(text)
                 if size >= block or i == batch.num_rows - 1:
+                    words.learn()
+                    rows = [None if own is None or words.lose(own) else own for own in rows]
+                    seen += [own for own in rows if own is not None]
                     numbers, nothing = pa.array([number] * len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())
-                    ids = batch.column("doc_id").slice(start, len(rows))
-                    yield pa.record_batch([numbers, ids, pa.array(rows, pa.binary()), *[nothing] * 6], names=NAMES)
+                    written = pa.array([None if own is None else planes(own) for own in rows], pa.binary())
+                    yield pa.record_batch([numbers, batch.column("doc_id").slice(start, len(rows)), written, *[nothing] * 6], names=NAMES)
                     start, rows = i + 1, []
                 if size >= block:
                     yield whole()
-                    words, parts, waiting, size, held, number = Words(aligner), [], [], 0, 0, number + 1
+                    words, seen, size, number = Words(aligner), [], 0, number + 1
         if size:
             yield whole()
 
@@ -471,19 +493,33 @@ def _finish(a_path: str, b_path: str, full: bool):
         held = block.filter(pa.array(is_words))
         words = ReadWords(*(held.column(c)[0].as_py() for c in WORDS)) if held.num_rows else None
         docs = block.filter(pa.array(~is_words))
-        rows, written = np.zeros((6, docs.num_rows), np.int64), []
-        for k, own in enumerate(docs.column("words")):
-            numbers = own.as_py()
-            if numbers is None:
-                written.append("")
-                continue
-            text = Aligned(aligner, *words.ids(from_planes(numbers)))
+        numbers = [None if own is None else from_planes(own) for own in docs.column("words").to_pylist()]
+        known = [own for own in numbers if own is not None]
+        # Of each word that texts hold, what adds up to a text's counts, and its groups in writing.
+        used = np.flatnonzero(np.bincount(np.concatenate(known))) if known else np.zeros(0, np.int64)
+        place, of_word, forms = np.zeros(used.max(initial=-1) + 1, np.int64), np.zeros((len(used), 6), np.int64), []
+        place[used] = np.arange(len(used))
+        for part, text, ends in words.aligned(aligner, used) if known else ():
             links = text.links()
             at = np.minimum(np.searchsorted(order, links), len(order) - 1)
             if (order[at] != links).any():
                 raise ValueError("a pair of a document was not counted")
-            rows[:, k] = len(text.a), len(text.b), len(text.common), len(links), best[at].sum(), counts[at].sum()
-            groups = text.groups()
+            to = np.searchsorted(text.ends, ends, "right")
+            of = np.r_[0, to[:-1]]
+            own = of_word[len(forms) : len(forms) + len(part)].T
+            own[0], own[1] = (sizes[part] for _, sizes, _ in words.sides)
+            own[2] = np.diff(np.searchsorted(text.common, ends, "right"), prepend=0)
+            own[3], own[4], own[5] = to - of, np.add.reduceat(best[at].astype(np.int64), of), np.add.reduceat(counts[at], of)
+            signs, last = text.written(), np.cumsum(own[0] + own[1]).tolist()
+            forms += ["".join(signs[i:j]) for i, j in pairwise([0, *last])]
+        rows, written = np.zeros((6, docs.num_rows), np.int64), []
+        for k, own in enumerate(numbers):
+            if own is None:
+                written.append("")
+                continue
+            own = place[own]
+            rows[:, k] = of_word[own].sum(axis=0)
+            groups = "".join([forms[n] for n in own.tolist()])[:-1]
             written.append(groups if full else hashlib.sha256(groups.encode()).hexdigest())
         columns = dict(zip(COUNTS, (pa.array(r) for r in rows), strict=True))
         return pa.table({"doc_id": docs.column("doc_id"), **columns, "groups" if full else "groups_sha256": pa.array(written, pa.string())})
