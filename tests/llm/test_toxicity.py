@@ -24,6 +24,25 @@ def test_index_returns_the_exact_nearest():
         assert [s for s, _ in got] == pytest.approx([-s for s, _ in want])
 
 
+def test_bounds_that_spare_little_are_left_out_for_a_while(monkeypatch):
+    monkeypatch.setattr(toxicity, "AGAIN", 2)
+    rng = np.random.default_rng(5)
+    dense = rng.random((1_000, 40)) * (rng.random((1_000, 40)) < 0.3)
+    vectors = [(np.flatnonzero(v), v[np.flatnonzero(v)]) for v in dense]
+    index = toxicity.BlockMaxIndex(vectors, 40)
+    seen = []
+    for queries in rng.random((4, 6, 40)):
+        of, terms = np.nonzero(queries)
+        query, score, example = index.nearest_each(of, terms, queries[of, terms], 6, 15)
+        seen.append(index.since)
+        by_hand = np.round(queries @ dense.T, 12)
+        for q in range(6):
+            best = sorted(range(1_000), key=lambda e: (-by_hand[q, e], e))[:15]
+            assert example[query == q].tolist() == best
+            assert np.allclose(score[query == q], by_hand[q, best], atol=1e-11)
+    assert seen == [0, 1, 2, 0] and index.share >= toxicity.SHARE
+
+
 def test_many_queries_at_once_by_frequent_and_rare_terms(monkeypatch):
     rng = random.Random(14)
     vectors = [{t: rng.random() for t in {rng.randrange(12), *(int(300 * rng.random() ** 2) for _ in range(9))}} for _ in range(700)]

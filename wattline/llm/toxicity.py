@@ -4,7 +4,7 @@ Terms are all words of the examples, and those first letters of words that go wi
 words share a stem). Every word weighs something; how much more a term weighs is learned from the
 likelihood ratio of its label counts. Document frequencies of the terms are counted over all documents.
 Texts are scored many at once: bounds decide which blocks a text needs, and what frequent terms add to these
-is a matrix product. A text's score is the distance-weighted vote of its nearest examples, drawn towards the
+is a matrix product; of all blocks at once, without bounds, as long as texts need so many that bounds spare little. A text's score is the distance-weighted vote of its nearest examples, drawn towards the
 share of toxic examples; a text without any term gets the share among the examples that have none.
 
 The model is fitted on at most ``examples`` labelled rows, those with the smallest hashed ids; every
@@ -45,6 +45,8 @@ BLOCK, FIRST = 64, 4
 #: A term in one of so many examples, of at most so many terms, has its weights in a matrix, too; texts that are scored,
 #: and counted, at once.
 DENSE, MOST_DENSE, QUERIES, TEXTS = 32, 1_024, 128, 256
+#: Share of blocks from which on all are looked at; bounds are tried again after so many times.
+SHARE, AGAIN = 0.25, 64
 #: Texts whose lists of rarer terms are added up at once, and postings whose blocks are looked for: a worker's memory.
 FEW, PIECE = 16, 200_000
 #: Rows that Spark and a worker hand each other at once: both hold them.
@@ -156,6 +158,8 @@ class BlockMaxIndex:
         by = np.lexsort([place, term, self.row[term] >= 0])
         self.place, self.weight = place[by].astype(np.min_scalar_type(len(vectors))), weight[by]
         self.tables = None
+        #: Share of blocks that bounds left when they were tried, and how often all blocks were looked at since.
+        self.share, self.since = 0.0, 0
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"tables": None}
@@ -201,13 +205,15 @@ class BlockMaxIndex:
         heavy = np.zeros((n, len(dense)))
         heavy[query[common], row[common]] = weights[common]
         query, terms, weights = query[~common], terms[~common], weights[~common]
-        bounds, score = heavy @ most, np.zeros((n, width))
+        pruned = self.share < SHARE or self.since >= AGAIN
+        bounds, score = heavy @ most if pruned else None, np.zeros((n, width))
         for i in range(0, n, FEW):
             few, own = min(FEW, n - i), slice(*np.searchsorted(query, (i, i + FEW)))
             low, high, asks, times = first_block[terms[own]], first_block[terms[own] + 1], query[own] - i, weights[own]
-            at, of = spread(low, high)
-            bound = np.bincount(asks[of] * self.blocks + block_of[at], times[of] * largest[at], few * self.blocks)
-            bounds[i : i + few] += bound.reshape(few, self.blocks)
+            if pruned:
+                at, of = spread(low, high)
+                bound = np.bincount(asks[of] * self.blocks + block_of[at], times[of] * largest[at], few * self.blocks)
+                bounds[i : i + few] += bound.reshape(few, self.blocks)
             at, of = spread(start[low], start[high])
             found = np.bincount(asks[of] * width + self.place[at], times[of] * self.weight[at], few * width)
             score[i : i + few] = found.reshape(few, width)
@@ -221,14 +227,21 @@ class BlockMaxIndex:
                 else:
                     score[own, part] += heavy[own] @ dense[:, part]
 
-        # First the blocks with the highest bounds; their k-th score is what the others' bounds must reach.
-        order = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
-        first = np.zeros(bounds.shape, bool)
-        np.put_along_axis(first, order, True, axis=1)
-        finish(first)
-        some = np.take_along_axis(score.reshape(n, self.blocks, BLOCK), order[:, :, None], axis=1).reshape(n, -1)
-        least = np.partition(some, -k, axis=1)[:, -k] - 1e-9 if some.shape[1] >= k else np.zeros(n)
-        finish(~first & (bounds > 0) & (bounds >= least[:, None]))
+        if pruned:
+            # First the blocks with the highest bounds; their k-th score is what the others' bounds must reach.
+            order = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
+            first = np.zeros(bounds.shape, bool)
+            np.put_along_axis(first, order, True, axis=1)
+            finish(first)
+            some = np.take_along_axis(score.reshape(n, self.blocks, BLOCK), order[:, :, None], axis=1).reshape(n, -1)
+            least = np.partition(some, -k, axis=1)[:, -k] - 1e-9 if some.shape[1] >= k else np.zeros(n)
+            more = ~first & (bounds > 0) & (bounds >= least[:, None])
+            finish(more)
+            self.share, self.since = float((first | more).mean()) if n else 0.0, 0
+        else:
+            score += heavy @ dense
+            least = np.partition(score, -k, axis=1)[:, -k] - 1e-9 if width >= k else np.zeros(n)
+            self.since += 1
         # What other blocks have of the rarer terms is below their bounds.
         found, place = np.nonzero(score >= np.maximum(least, 1e-12)[:, None])
         score, example = np.round(score[found, place], 12), self.order[place]
