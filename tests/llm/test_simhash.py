@@ -196,3 +196,36 @@ def test_stage_finds_repeated_lines_and_short_copies(spark):
     want = brute_kept(texts)
     assert want == list(range(0, len(texts), 2))
     assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == want
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_hashes():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 31, 32, 33, 100, 511, 513, 4000):
+        for gone, new in ((0, 0), (1, 0), (n // 10, n // 10), (n // 2, n), (n, 3 * n)):
+            a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**64, new, dtype=np.uint64)]))
+            s, t = simhash.sketch(a.view(np.int64)), simhash.sketch(b)
+            assert simhash.sketches_differ(s, t) == simhash.sketches_differ(t, s) <= len(np.setxor1d(a, b))
+            assert 16 * n <= 64 * len(s) <= max(32 * n, 512)
+
+
+def test_stage_fetches_no_texts_of_pairs_that_are_far_apart(spark, monkeypatch):
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(6000)]
+    texts = []
+    for _ in range(6):  # pages of a kind have half of their shingles in common, far from 0.8
+        template = rng.choices(vocabulary, k=200)
+        texts += [" ".join(template + rng.choices(vocabulary, k=rng.randint(70, 80))) for _ in range(30)]
+    texts += [" ".join(edited(rng, t.split(), 2)) for t in texts[::30]]
+    compared, stored = [], simhash.stored
+
+    def noted(df, name, *more):
+        table = stored(df, name, *more)
+        if name == "near-texts":
+            compared.append(table.count())
+        return table
+
+    monkeypatch.setattr(simhash, "stored", noted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == brute_kept(texts) == list(range(180))
+    assert 0 < sum(compared) < 40

@@ -12,7 +12,7 @@ spanning forest of the links it has found, shortest links first.
 
 The corpus stage (``drop_near_copies``) takes its first links from fingerprints and tree and checks them
 on shingle sets. Similar sets may have far fingerprints; a prefix-filter join finds the pairs that these
-links leave apart.
+links leave apart. Sketches of a few bits a shingle settle most of these pairs, texts are fetched for the rest.
 
 Words are what stands between white space, A-Z lower-cased. Null and empty texts have no words and
 fingerprint zero, linked like any other. Only ``doc_id`` and ``text`` are read.
@@ -429,6 +429,28 @@ def least_common(size: int, similarity: float) -> int:
     return int(np.ceil(similarity * size - 1e-9))
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Of each bit, whether an odd number of the different hashes ``own`` fall on it: two to four bits a hash.
+
+    What two sets have in common cancels out, so their sketches differ in no more bits than the sets in hashes."""
+    bits = max(64, 1 << int(2 * len(own) - 1).bit_length() if len(own) else 0)
+    odd = np.bincount((own.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketches_differ(s: bytes, t: bytes) -> int:
+    """Differing bits; a longer sketch is folded to the length of the other, which leaves the bound as it is."""
+    a, b = int.from_bytes(s, "little"), int.from_bytes(t, "little")
+    n, m = 8 * len(s), 8 * len(t)
+    while n > m:
+        n //= 2
+        a = (a >> n) ^ (a & ((1 << n) - 1))
+    while m > n:
+        m //= 2
+        b = (b >> m) ^ (b & ((1 << m) - 1))
+    return (a ^ b).bit_count()
+
+
 def _common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, ascending, of shingles that several of a sample of texts hold, and how many do.
 
@@ -447,7 +469,8 @@ def _common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(docs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """tok, id, size, at: the rarest shingles of each set, with their places in the order of rarity.
+    """tok, id, size, at: the rarest shingles of each set, with their places in the order of rarity; at place 0 also
+    the sketch of the set, else null.
 
     All sets are ordered alike. Two similar sets have at least ``least_common`` shingles in common, so
     each has one of these among its first size - least_common + 1: similar sets always share a row."""
@@ -459,10 +482,10 @@ def _prefixes(docs: DataFrame, k: int, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = sent.value
         for batch in batches:
-            toks, sizes, ats, take = [], [], [], []
+            toks, sizes, ats, take, sketches = [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 own = shingle_set(text.as_py(), k).view(np.int64)
-                n = len(own)
+                n, drawn = len(own), sketch(own)
                 if not n:  # sets without shingles meet at a token of their own
                     own = np.zeros(1, dtype=np.int64)
                 elif len(known):
@@ -474,6 +497,7 @@ def _prefixes(docs: DataFrame, k: int, similarity: float) -> DataFrame:
                 sizes.append(np.full(len(own), n, dtype=np.int32))
                 ats.append(np.arange(len(own), dtype=np.int32))
                 take.append(np.full(len(own), i, dtype=np.int64))
+                sketches += [drawn, *[None] * (len(own) - 1)]
             if toks:
                 yield pa.record_batch(
                     [
@@ -481,11 +505,12 @@ def _prefixes(docs: DataFrame, k: int, similarity: float) -> DataFrame:
                         batch.column("id").take(pa.array(np.concatenate(take))),
                         pa.array(np.concatenate(sizes)),
                         pa.array(np.concatenate(ats)),
+                        pa.array(sketches, pa.binary()),
                     ],
-                    names=["tok", "id", "size", "at"],
+                    names=["tok", "id", "size", "at", "sketch"],
                 )
 
-    more = [T.StructField("size", T.IntegerType()), T.StructField("at", T.IntegerType())]
+    more = [T.StructField("size", T.IntegerType()), T.StructField("at", T.IntegerType()), T.StructField("sketch", T.BinaryType())]
     return rows.mapInArrow(run, T.StructType([T.StructField("tok", T.LongType()), rows.schema["id"], *more]))
 
 
@@ -499,6 +524,34 @@ def _possible(other: str, similarity: float) -> Column:
     )
 
 
+def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Passes all pairs of similar sets: of x and y hashes, these differ in (x + y)(1 - similarity)/(1 + similarity) at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("size_a").to_numpy().astype(np.int64) + batch.column("size_b").to_numpy()
+            pairs = zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), strict=True)
+            differ = np.fromiter((sketches_differ(s, t) for s, t in pairs), np.int64, batch.num_rows)
+            keep = differ * (1 + similarity) <= sizes * (1 - similarity) + 1e-6
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _possible_pairs(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """Those of the stored ``pairs`` (a, b) that ``sketches`` (a, size, sketch) do not show to be unlike. A sketch takes
+    a quarter to half a byte for each of a text's shingles, so few texts need be sent for the exact check."""
+    ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
+    involved = stored(ends.groupBy("a").agg(F.count("*").alias("n")), "near-involved")
+    drawn = stored(likely(sketches, involved, ["a"]).join(involved, "a").select("a", "size", "sketch", "n"), "near-drawn")
+    left = join_groups(pairs, drawn.toDF("a", "size_a", "sketch_a", "n"), ["a"], ["b"]).drop("n")
+    both = join_groups(left, drawn.toDF("b", "size_b", "sketch_b", "n"), ["b"], ["a"]).drop("n")
+    kind = pairs.schema["a"].dataType.simpleString()
+    possible = stored(both.mapInArrow(_alike(similarity), f"a {kind}, b {kind}").distinct(), "near-possible")
+    free(involved, drawn)
+    return possible
+
+
 def _similar(k: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -575,18 +628,20 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
     ``similarity`` of their union in common. Pairs with near fingerprints (see ``links``) are compared
     first. Similar sets share one of their rarest shingles (see ``_prefixes``). Of the documents with one
     such shingle that are not yet one group, all are compared with the one of smallest id, then with
-    another, and at last all pairs that are still in different groups: every possible pair is verified
-    or connected by verified links.
+    another, and at last all pairs that are still in different groups: every possible pair is verified,
+    connected by verified links, or unlike by its sketches.
     Rows without an id stay. Rows that share an id are one document and stay or go together.
     """
     with_id = docs.where(F.col("doc_id").isNotNull())
     checked = _close_pairs(with_id)
     good = _verified(checked, with_id, k, similarity)
 
-    rows = stored(_prefixes(with_id, k, similarity), "near-prefixes")
+    drawn = stored(_prefixes(with_id, k, similarity), "near-prefixes")
+    sketches = stored(drawn.where(F.col("sketch").isNotNull()).select(F.col("id").alias("a"), "size", "sketch"), "near-sketches")
+    rows = drawn.drop("sketch")
     groups = stored(rows.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1"), "near-groups")
     shared = stored(join_groups(likely(rows, groups, ["tok"]), groups, ["tok"], ["id"]).drop("n"), "near-shared")
-    free(rows, groups)
+    free(drawn, groups)
 
     member = F.struct("id", "size", "at", "root")
     for leader in (F.min(member), F.min_by(member, F.xxhash64("tok", "id"))):
@@ -596,7 +651,9 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
         apart = led.where((F.col("root") != F.col("lead.root")) & _possible("lead", similarity))
         pairs = _new_pairs(apart.select(F.col("lead.id").alias("a"), F.col("id").alias("b")), checked)
         checked = checked.unionByName(pairs)
-        good = good.unionByName(_verified(pairs, with_id, k, similarity))
+        possible = _possible_pairs(pairs, sketches, similarity)
+        good = good.unionByName(_verified(possible, with_id, k, similarity))
+        free(possible)
         # Groups of two are settled.
         shared = stored(led.where("n > 2").select("tok", "id", "size", "at"), "near-shared")
         free(rooted, groups)
@@ -614,9 +671,10 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMI
             (F.col("id") < F.col("other.id")) & (F.col("root") != F.col("other.root")) & _possible("other", similarity)
         )
         pairs = _new_pairs(apart.select(F.col("id").alias("a"), F.col("other.id").alias("b")), checked)
-        good = good.unionByName(_verified(pairs, with_id, k, similarity))
-        free(pairs)
-    free(rooted, groups)
+        possible = _possible_pairs(pairs, sketches, similarity)
+        good = good.unionByName(_verified(possible, with_id, k, similarity))
+        free(pairs, possible)
+    free(rooted, groups, sketches)
     roots = components(good)
     gone = roots.where("node <> root").select(F.col("node").alias("doc_id"))
     return docs.join(gone, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
